@@ -172,11 +172,12 @@ SNAP = ["flight_id", "dep_delay_minutes", "arr_delay_minutes", "weather_delay_mi
 
 
 @query("type2_history", with_tables("joined", extra={
-    "v1": (["joined"], f"SELECT {', '.join(SNAP)} FROM joined WHERE flight_number % 50 <> 2"),
-    "v2": (["joined"], f"""SELECT * REPLACE (CASE WHEN fn % 10 = 0 THEN arr_delay_minutes + 1
-        ELSE arr_delay_minutes END AS arr_delay_minutes) EXCLUDE (fn)
-      FROM (SELECT {', '.join(SNAP)}, flight_number AS fn FROM joined
-        WHERE flight_number % 50 <> 1)"""),
+    "v1": (["joined"], f"""SELECT {', '.join(SNAP)} FROM joined
+      WHERE flight_date <= DATE '2024-01-20'"""),
+    "v2": (["joined"], f"""SELECT {', '.join(SNAP)} FROM (
+      SELECT * REPLACE (CASE WHEN arr_delay_minutes > 60 THEN arr_delay_minutes + 1
+        ELSE arr_delay_minutes END AS arr_delay_minutes) FROM joined
+      WHERE flight_date >= DATE '2024-01-10')"""),
     "changed": (["v1", "v2"], """SELECT v1.flight_id FROM v1 JOIN v2 USING (flight_id)
       WHERE v1.dep_delay_minutes IS DISTINCT FROM v2.dep_delay_minutes
         OR v1.arr_delay_minutes IS DISTINCT FROM v2.arr_delay_minutes
@@ -192,12 +193,12 @@ SELECT v2.*, '2024-03-01', NULL, TRUE FROM v2
 WHERE flight_id IN (SELECT flight_id FROM changed)
   OR flight_id NOT IN (SELECT flight_id FROM v1)"""))
 def type2_history(spark, sf):
+    """First extract up to the 20th; the second from the 10th on, with corrected arrivals."""
     j = joins.join_weather(base.stg_flights(spark, sf), base.stg_weather(spark, sf))
-    n = F.col("flight_number")
-    first = j.where(n % 50 != 2).select(*SNAP)
-    bumped = F.when(n % 10 == 0, F.col("arr_delay_minutes") + 1).otherwise(
-        F.col("arr_delay_minutes"))
-    second = j.where(n % 50 != 1).withColumn("arr_delay_minutes", bumped).select(*SNAP)
+    arrival = F.col("arr_delay_minutes")
+    first = j.where("flight_date <= DATE '2024-01-20'").select(*SNAP)
+    second = j.where("flight_date >= DATE '2024-01-10'").withColumn(
+        "arr_delay_minutes", F.when(arrival > 60, arrival + 1).otherwise(arrival)).select(*SNAP)
     history = snapshot.snapshot_scd2(second, snapshot.open_history(first, "2024-02-01 00:00:00"),
                                      as_of="2024-03-01 00:00:00")
     return history.withColumns({c: F.date_format(c, "yyyy-MM-dd")

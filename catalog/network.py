@@ -6,7 +6,7 @@ from catalog import base
 from catalog.base import query, with_tables
 from catalog.reports import rounded
 from delaylens.functions import columns as C
-from delaylens.operators import graph, joins, matrix, reports, reshape
+from delaylens.operators import filters, graph, joins, matrix, reports, reshape
 
 # Shortest paths in SQL: min-plus doubling (2^5 hops), then all shortest paths.
 # A path is a row; costs rise along it, so the recursion ends.
@@ -224,15 +224,16 @@ def hubs(spark, sf):
                     (F.col("total_arrivals") / 50000).alias("betweenness"))
 
 
-@query("flights_with_centrality", with_tables("scores", extra=HUBS, body="""
+@query("flights_with_centrality", with_tables("scores", extra={**HUBS, "big": (["hubs"], """
+  SELECT * FROM hubs WHERE pagerank >= (SELECT avg(pagerank) FROM hubs)""")}, body="""
 SELECT flight_number, round(coalesce(o.pagerank, 0), 9) AS origin_pagerank,
   round(coalesce(o.betweenness, 0), 9) AS origin_betweenness,
   round(coalesce(d.pagerank, 0), 9) AS dest_pagerank,
   round(coalesce(d.betweenness, 0), 9) AS dest_betweenness
-FROM scores s LEFT JOIN (SELECT * FROM hubs WHERE airport <> 'A07') o ON s."Origin" = o.airport
-  LEFT JOIN (SELECT * FROM hubs WHERE airport <> 'A07') d ON s."Dest" = d.airport"""))
+FROM scores s LEFT JOIN big o ON s."Origin" = o.airport LEFT JOIN big d ON s."Dest" = d.airport"""))
 def flights_with_centrality(spark, sf):
-    known = hubs(spark, sf).where("airport <> 'A07'")
+    every = hubs(spark, sf)
+    known = every.where(F.col("pagerank") >= every.agg(F.avg("pagerank")).scalar())
     out = joins.add_centrality(base.scores(spark, sf), known)
     names = ["origin_pagerank", "origin_betweenness", "dest_pagerank", "dest_betweenness"]
     return rounded(out.select("flight_number", *names), *names)
@@ -261,7 +262,6 @@ def map_airports(spark, sf):
 
 
 def _map(spark, sf):
-    from delaylens.operators import filters
     placed = joins.with_coords(hubs(spark, sf), base.airports(spark, sf))
     return filters.within_box(joins.with_delay_rate(placed, base.scores(spark, sf)))
 
@@ -275,7 +275,6 @@ SELECT "Origin", "Dest", n FROM (SELECT src AS "Origin", dest AS "Dest", weight
   ORDER BY weight DESC, src, dest LIMIT 50)
 WHERE "Origin" IN {INSIDE} AND "Dest" IN {INSIDE}"""))
 def busiest_routes_on_map(spark, sf):
-    from delaylens.operators import filters
     routes = graph.network(base.legs(spark, sf)).toDF("Origin", "Dest", "n")
     top = reshape.top_k(routes, "n", 50, ["Origin", "Dest"])
     return joins.routes_within(top, filters.within_box(base.airports(spark, sf)))
@@ -303,11 +302,11 @@ def route_endpoints(spark, sf):
 SELECT src AS "Origin", dest AS "Dest", round(coalesce(2 * 3958.8 * asin(sqrt(
     pow(sin(radians(d.lat - o.lat) / 2), 2) + cos(radians(o.lat)) * cos(radians(d.lat))
       * pow(sin(radians(d.lon - o.lon) / 2), 2))), 679), 6) AS miles
-FROM routes LEFT JOIN (SELECT * FROM airports WHERE lat < 60) o ON src = o.airport
-  LEFT JOIN (SELECT * FROM airports WHERE lat < 60) d ON dest = d.airport"""))
+FROM routes LEFT JOIN (SELECT * FROM airports WHERE lat BETWEEN 24 AND 50) o ON src = o.airport
+  LEFT JOIN (SELECT * FROM airports WHERE lat BETWEEN 24 AND 50) d ON dest = d.airport"""))
 def route_miles(spark, sf):
     routes = graph.network(base.legs(spark, sf)).toDF("Origin", "Dest", "n")
-    known = base.airports(spark, sf).where("lat < 60")
+    known = filters.within_box(base.airports(spark, sf))
     return rounded(joins.distances(routes, known).select("Origin", "Dest", "miles"), "miles",
                    digits=6)
 
@@ -323,10 +322,10 @@ def state_delay_rates(spark, sf):
 
 
 @query("airport_names", with_tables("airports", extra=HUBS, body="""
-SELECT h.airport, coalesce(CASE WHEN a.airport < 'A20' THEN a.name END, h.airport) AS name
+SELECT h.airport, coalesce(a.name, h.airport) AS name
 FROM hubs h LEFT JOIN airports a USING (airport)"""))
 def airport_names(spark, sf):
-    named = base.airports(spark, sf).where("airport < 'A20'").select("airport", "name")
+    named = base.airports(spark, sf).select("airport", "name")
     return joins.with_label(hubs(spark, sf).select("airport"), "airport", named, "name")
 
 

@@ -1 +1,275 @@
-"""To be filled."""
+"""Features, splits, metrics and models."""
+
+from pyspark.sql import functions as F
+
+from catalog import base
+from catalog.base import query, with_tables
+from catalog.network import HUBS, hubs
+from catalog.reports import rounded
+from delaylens import schemas as S
+from delaylens.operators import quantiles, reports, reshape, risk
+from delaylens.plans import fact as plan, scoring
+
+# Model sizes for the registered queries; the library defaults are larger.
+SMALL = scoring.Settings(logistic_iterations=50, forest_trees=20, forest_depth=8,
+                         boosted_rounds=10, min_leaf=20)
+MEASURES = ["temperature_c", "precipitation_mm", "wind_speed_knots", "cloud_cover_total_pct"]
+
+
+@query("feature_medians", with_tables("joined", body=" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 9) AS median "
+    "FROM joined" for c in [*MEASURES, "distance_miles", "dep_delay_minutes"])))
+def feature_medians(spark, sf):
+    from delaylens.operators import joins
+    j = joins.join_weather(base.stg_flights(spark, sf), base.stg_weather(spark, sf))
+    return rounded(quantiles.medians(j, [*MEASURES, "distance_miles", "dep_delay_minutes"]),
+                   "median")
+
+
+@query("constant_imputation", with_tables("scores", body="""
+SELECT flight_number, coalesce(temperature_c, 24.5) AS temperature_c,
+  coalesce(precipitation_mm, 0) AS precipitation_mm,
+  coalesce(wind_speed_knots, 5) AS wind_speed_knots,
+  coalesce(cloud_cover_total_pct, 22) AS cloud_cover_total_pct FROM scores"""))
+def constant_imputation(spark, sf):
+    filled = reshape.impute(base.scores(spark, sf), S.WEATHER_MEDIANS)
+    return filled.select("flight_number", *MEASURES)
+
+
+@query("median_imputation", with_tables("scores", body="SELECT flight_number, " + ", ".join(
+    f"round(coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) "
+    f"FROM scores)), 9) AS {c}" for c in MEASURES) + " FROM scores"))
+def median_imputation(spark, sf):
+    filled, _ = quantiles.impute_medians(base.scores(spark, sf), MEASURES)
+    return rounded(filled.select("flight_number", *MEASURES), *MEASURES)
+
+
+@query("median_imputation_report", with_tables("scores", body=" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count(*) - count({c}) AS missing, "
+    f"round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 9) AS median FROM scores"
+    for c in MEASURES)))
+def median_imputation_report(spark, sf):
+    _, report = quantiles.impute_medians(base.scores(spark, sf), MEASURES)
+    return rounded(report, "median")
+
+
+@query("stratified_split", with_tables("scores", body="""
+SELECT flight_number, is_delayed, CASE WHEN rn <= goal THEN 'test' ELSE 'train' END AS split
+FROM (SELECT flight_number, is_delayed, row_number() OVER (PARTITION BY is_delayed
+    ORDER BY md5(CAST(flight_number AS VARCHAR)), flight_number) AS rn FROM scores)
+JOIN (SELECT is_delayed, round(count(*) * 0.2) AS goal FROM scores GROUP BY 1) USING (is_delayed)
+"""))
+def stratified_split(spark, sf):
+    out = risk.stratified_split(base.scores(spark, sf), "is_delayed", "flight_number")
+    return out.select("flight_number", "is_delayed", "split")
+
+
+@query("class_weights", with_tables("scores", body="""
+SELECT is_delayed, count(*) AS n, round((SELECT count(*) FROM scores) / (2.0 * count(*)), 9)::DOUBLE
+  AS weight FROM scores GROUP BY 1"""))
+def class_weights(spark, sf):
+    return rounded(risk.class_weights(base.scores(spark, sf)), "weight")
+
+
+@query("standardised_features", with_tables("scores", body="SELECT flight_number, " + ", ".join(
+    f'round((s."{c}" - (SELECT avg("{c}") FROM scores)) '
+    f'/ (SELECT stddev_pop("{c}") FROM scores), 7) AS "{c}"'
+    for c in ("Distance", "dep_delay_minutes", "scheduled_dep_hour")) + " FROM scores s"))
+def standardised_features(spark, sf):
+    names = ["Distance", "dep_delay_minutes", "scheduled_dep_hour"]
+    out = risk.standardise(base.scores(spark, sf), names)
+    return rounded(out.select("flight_number", *names), *names, digits=7)
+
+
+@query("confusion_matrix", with_tables("scores", body="""
+SELECT CAST(is_delayed AS INTEGER) AS label, CAST(prediction AS INTEGER) AS prediction,
+  count(*) AS n FROM scores GROUP BY 1, 2"""))
+def confusion_matrix(spark, sf):
+    return risk.confusion(base.scores(spark, sf))
+
+
+CURVE = {"curve": (["scores"], """SELECT risk_score AS score,
+      sum(is_delayed)::BIGINT AS pos, sum(1 - is_delayed)::BIGINT AS neg,
+      sum(sum(is_delayed)) OVER w::BIGINT AS running_pos,
+      sum(sum(1 - is_delayed)) OVER w::BIGINT AS running_neg
+    FROM scores GROUP BY 1 WINDOW w AS (ORDER BY risk_score DESC)""".replace(
+        "OVER w::BIGINT", "OVER w"))}
+
+
+@query("roc_curve", with_tables("scores", extra=CURVE, body="""
+SELECT round(score, 9) AS score, pos, neg, CAST(running_pos AS BIGINT) AS running_pos,
+  CAST(running_neg AS BIGINT) AS running_neg,
+  round(CAST(running_pos / (SELECT sum(pos) FROM curve) AS DOUBLE), 9) AS tpr,
+  round(CAST(running_neg / (SELECT sum(neg) FROM curve) AS DOUBLE), 9) AS fpr FROM curve"""))
+def roc_curve(spark, sf):
+    return rounded(risk.roc(base.scores(spark, sf)), "score", "tpr", "fpr")
+
+
+@query("binary_metrics", with_tables("scores", extra=CURVE, body="""
+SELECT round(count(*) FILTER (WHERE is_delayed = prediction) / count(*), 9) AS accuracy,
+  round(2 * sum(is_delayed * prediction) / (sum(is_delayed) + sum(prediction)), 9)::DOUBLE AS f1,
+  (SELECT round(CAST(sum(neg * (running_pos - pos / 2.0)) / (sum(pos) * sum(neg)) AS DOUBLE), 9)
+   FROM curve) AS auc FROM scores"""))
+def binary_metrics(spark, sf):
+    return rounded(risk.binary_metrics(base.scores(spark, sf)), "accuracy", "f1", "auc")
+
+
+def _class_row(value, name):
+    y, p = f"is_delayed = {value}", f"prediction = {value}"
+    return (f"SELECT '{name}' AS class, count(*) FILTER (WHERE {y} AND {p}) "
+            f"/ count(*) FILTER (WHERE {p}) AS precision, count(*) FILTER (WHERE {y} AND {p}) "
+            f"/ count(*) FILTER (WHERE {y}) AS recall, 2 * count(*) FILTER (WHERE {y} AND {p}) "
+            f"/ (count(*) FILTER (WHERE {p}) + count(*) FILTER (WHERE {y})) AS f1, "
+            f"count(*) FILTER (WHERE {y}) AS support FROM scores")
+
+
+@query("classification_report", with_tables("scores", extra={"pc": (["scores"],
+    _class_row(0, "On-time") + " UNION ALL " + _class_row(1, "Delayed >15min"))}, body="""
+SELECT class, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1,
+  support FROM (SELECT * FROM pc
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT)
+  FROM pc
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support),
+    sum(recall * support) / sum(support), sum(f1 * support) / sum(support),
+    CAST(sum(support) AS BIGINT) FROM pc)"""))
+def classification_report(spark, sf):
+    return rounded(risk.class_report(base.scores(spark, sf)), "precision", "recall", "f1")
+
+
+@query("mean_absolute_error", with_tables("scores", body="""
+SELECT round(avg(abs(dep_delay_minutes - risk_score * 100)), 7) AS mae FROM scores"""))
+def mean_absolute_error(spark, sf):
+    s = base.scores(spark, sf).withColumn("guess", F.col("risk_score") * 100)
+    return rounded(risk.mean_absolute_error(s, "dep_delay_minutes", "guess"), "mae", digits=7)
+
+
+# --- scenarios: every scored flight is taken as one form ---------------------------------
+
+FORM = {"form": (["scores", "hubs", "airports", "med"], """
+    SELECT flight_number AS scenario, s."Origin", s."Dest",
+      CAST(flight_month AS DOUBLE) AS flight_month, CAST(day_of_week AS DOUBLE) AS day_of_week,
+      CAST(scheduled_dep_hour AS DOUBLE) AS scheduled_dep_hour,
+      2 * 3958.8 * asin(sqrt(pow(sin(radians(d.lat - o.lat) / 2), 2)
+        + cos(radians(o.lat)) * cos(radians(d.lat)) * pow(sin(radians(d.lon - o.lon) / 2), 2)))
+        AS miles,
+      coalesce(temperature_c, (SELECT median FROM med WHERE feature = 'temperature_c'), 0)
+        AS temperature_c,
+      coalesce(wind_speed_knots, (SELECT median FROM med WHERE feature = 'wind_speed_knots'), 0)
+        AS wind_speed_knots,
+      coalesce(ho.pagerank, 0) AS origin_pagerank, coalesce(hd.betweenness, 0) AS dest_betweenness
+    FROM scores s LEFT JOIN airports o ON s."Origin" = o.airport
+      LEFT JOIN airports d ON s."Dest" = d.airport
+      LEFT JOIN hubs ho ON s."Origin" = ho.airport LEFT JOIN hubs hd ON s."Dest" = hd.airport"""),
+    "med": (["scores"], " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median FROM scores"
+        for c in ("temperature_c", "wind_speed_knots", "scheduled_dep_hour")))}
+USED = ["flight_month", "day_of_week", "scheduled_dep_hour", "Distance", "temperature_c",
+        "wind_speed_knots", "origin_pagerank", "dest_betweenness"]
+
+
+def _forms(spark, sf):
+    s = base.scores(spark, sf)
+    medians = quantiles.medians(s, ["temperature_c", "wind_speed_knots", "scheduled_dep_hour"])
+    forms = s.select(F.col("flight_number").alias("scenario"), "Origin", "Dest", "flight_month",
+                     "day_of_week", "scheduled_dep_hour", "temperature_c", "wind_speed_knots")
+    return risk.complete_features(forms, medians, hubs(spark, sf), base.airports(spark, sf),
+                                  USED), medians
+
+
+@query("completed_scenarios", with_tables(extra={**HUBS, **FORM}, body="""
+SELECT scenario, "Origin", "Dest", flight_month, day_of_week, scheduled_dep_hour,
+  round(miles, 6) AS "Distance", round(temperature_c, 9) AS temperature_c, wind_speed_knots,
+  round(origin_pagerank, 9) AS origin_pagerank, round(dest_betweenness, 9) AS dest_betweenness
+FROM form"""))
+def completed_scenarios(spark, sf):
+    full, _ = _forms(spark, sf)
+    return rounded(rounded(full, "Distance", digits=6), "temperature_c", "origin_pagerank",
+                   "dest_betweenness")
+
+
+WEIGHTS = {"scheduled_dep_hour": 0.142, "temperature_c": 0.015, "wind_speed_knots": 0.021}
+
+
+@query("scenario_drivers", with_tables(extra={**HUBS, **FORM, "long": (["form", "med"],
+    " UNION ALL ".join(f"""SELECT scenario, '{c}' AS feature, {c} AS value, {w}::DOUBLE AS importance,
+      (SELECT median FROM med WHERE feature = '{c}') AS median FROM form"""
+                       for c, w in WEIGHTS.items()))}, body="""
+SELECT scenario, feature, round(value, 9) AS value, importance, round(median, 9) AS median,
+  round(contribution, 9) AS contribution FROM (
+  SELECT *, row_number() OVER (PARTITION BY scenario ORDER BY abs(contribution) DESC, feature) AS rn
+  FROM (SELECT *, (value - median) / greatest(abs(median), 1) * importance AS contribution
+    FROM long)) WHERE rn <= 2"""))
+def scenario_drivers(spark, sf):
+    full, medians = _forms(spark, sf)
+    weights = spark.createDataFrame(list(WEIGHTS.items()), "feature string, importance double")
+    out = risk.drivers(full, medians, weights, 2, list(WEIGHTS))
+    return rounded(out, "value", "median", "contribution")
+
+
+# --- models: rows only ---------------------------------------------------------------
+
+def _frame(spark, sf):
+    frame = scoring.feature_frame(base.fact(spark, sf), hubs(spark, sf))
+    return risk.stratified_split(frame, "is_delayed", "flight_id")
+
+
+def _parts(spark, sf):
+    from delaylens.session import stored
+    split = stored(_frame(spark, sf), "features")
+    return split.where("split = 'train'"), split.where("split = 'test'"), split
+
+
+@query("feature_vectors")
+def feature_vectors(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    out = scoring.assembler().transform(_frame(spark, sf))
+    return out.select("flight_id", vector_to_array("features").alias("features"), "is_delayed")
+
+
+@query("model_comparison")
+def model_comparison(spark, sf):
+    fit, test, _ = _parts(spark, sf)
+    models = {n: scoring.train(fit, k, SMALL) for n, k in scoring.CLASSIFIERS.items()}
+    return scoring.compare(models, test)
+
+
+@query("scored_flights")
+def scored_flights(spark, sf):
+    fit, _, every = _parts(spark, sf)
+    return scoring.score_flights(every, scoring.train(fit, "boosted", SMALL))
+
+
+@query("delay_minutes_error")
+def delay_minutes_error(spark, sf):
+    fit, test, _ = _parts(spark, sf)
+    guessed = scoring.predict_minutes(test, scoring.train(fit, "minutes", SMALL))
+    return risk.mean_absolute_error(guessed, "dep_delay_minutes", "predicted_minutes")
+
+
+@query("feature_importance")
+def feature_importance(spark, sf):
+    fit, _, _ = _parts(spark, sf)
+    return scoring.importance(spark, scoring.train(fit, "forest", SMALL))
+
+
+@query("saved_model_scenarios")
+def saved_model_scenarios(spark, sf):
+    """Train, save, load again, and score every flight as a scenario."""
+    from delaylens.session import scratch
+    fit, _, every = _parts(spark, sf)
+    path = scratch(spark, "artifacts")
+    medians = quantiles.medians(every, S.FEATURE_COLUMNS)
+    scoring.save_artifacts(path, spark, {k: scoring.train(fit, k, SMALL)
+                                         for k in ("boosted", "minutes")}, medians)
+    art = scoring.load_artifacts(path, spark)
+    forms = every.select(F.col("flight_id").alias("scenario"), "Origin", "Dest", "flight_month",
+                         "day_of_week", "scheduled_dep_hour", "temperature_c")
+    return scoring.score_scenarios(forms, art, hubs(spark, sf), base.airports(spark, sf))
+
+
+@query("training_run")
+def training_run(spark, sf):
+    """The whole job on the fact table; returns the model comparison."""
+    from delaylens.session import stored
+    fact = stored(base.fact(spark, sf), "fact")
+    return scoring.run_training(fact, SMALL, k=10)["comparison"]
