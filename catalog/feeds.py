@@ -1 +1,80 @@
-"""To be filled."""
+"""Streaming feeds: events land as JSON files in several polls, then stream through."""
+
+from pyspark.sql import functions as F
+
+from catalog import base
+from catalog.base import query, with_tables
+from catalog.landing import (
+    FORECAST_COLUMNS, FORECASTS, STATION_COLUMNS, STATIONS, forecast_docs, station_reports,
+)
+from delaylens.plans import staging
+from delaylens.session import scratch
+from delaylens.streaming import feeds
+
+
+def _polls(docs, label):
+    """The documents in one landing folder, and the reports of each day a second time."""
+    path = scratch(docs.sparkSession, label)
+    docs.write.json(path)
+    docs.write.mode("append").json(path)
+    return path
+
+
+def _run(stream_query):
+    stream_query.awaitTermination()
+
+
+@query("streamed_observations", with_tables(extra=STATIONS, body=f"""
+SELECT {', '.join(STATION_COLUMNS)} FROM (SELECT * FROM stations UNION ALL SELECT * FROM stations)
+"""))
+def streamed_observations(spark, sf):
+    landing, target = _polls(station_reports(spark, sf), "polls"), scratch(spark, "observed")
+    _run(feeds.ingest_observations(spark, landing, target, scratch(spark, "offsets")))
+    return spark.read.parquet(target).select(*STATION_COLUMNS)
+
+
+@query("streamed_forecasts", with_tables(extra=FORECASTS, body="SELECT * FROM periods"))
+def streamed_forecasts(spark, sf):
+    landing, target = scratch(spark, "bulletins"), scratch(spark, "forecast")
+    forecast_docs(spark, sf).write.json(landing)
+    _run(feeds.ingest_forecasts(spark, landing, target, scratch(spark, "offsets")))
+    return spark.read.parquet(target).select(*FORECAST_COLUMNS)
+
+
+@query("streamed_without_repeats", with_tables(extra=STATIONS, body="""
+SELECT icao_id, obs_time, count(*) OVER () AS total FROM (
+  SELECT DISTINCT icao_id, obs_time FROM stations WHERE obs_time <> 'unreadable')"""))
+def streamed_without_repeats(spark, sf):
+    landing, target = _polls(station_reports(spark, sf), "polls"), scratch(spark, "distinct")
+    _run(feeds.ingest_distinct(spark, landing, target, scratch(spark, "offsets")))
+    kept = spark.read.parquet(target).select("icao_id", "obs_time")
+    return kept.withColumn("total", kept.agg(F.count(F.lit(1))).scalar())
+
+
+@query("streamed_latest_state", with_tables(extra=STATIONS, body=f"""
+SELECT {', '.join(STATION_COLUMNS)} FROM (SELECT *, row_number() OVER (PARTITION BY iata_code
+    ORDER BY ingested_at DESC, obs_time DESC, temp_c DESC, wind_speed_knots DESC) AS rn
+  FROM stations) WHERE rn = 1"""))
+def streamed_latest_state(spark, sf):
+    landing, state = _polls(station_reports(spark, sf), "polls"), scratch(spark, "state")
+    _run(feeds.latest_state(feeds.observations(spark, landing), state, scratch(spark, "offsets")))
+    return feeds.read_state(spark, state).select(*STATION_COLUMNS)
+
+
+@query("streamed_airport_hours", with_tables("stg_weather", body="""
+SELECT airport_id, date_id, hour_id, temperature_c, precipitation_mm, wind_speed_knots,
+  cloud_cover_total_pct, cloud_cover_low_pct FROM stg_weather"""))
+def streamed_airport_hours(spark, sf):
+    """Archive rows first, then forecasts, then observations replace them hour by hour."""
+    archive, observations, forecasts = base.weather_feeds(spark, sf)
+    table = scratch(spark, "hours")
+    shapes = [(archive, staging.archive_hours), (forecasts, staging.forecast_hours),
+              (observations, staging.observation_hours)]
+    for rows, shape in shapes:
+        landing = scratch(spark, "feed")
+        rows.write.json(landing)
+        stream = spark.readStream.schema(rows.schema).json(landing)
+        _run(feeds.stream_airport_hours(shape(stream), table, scratch(spark, "offsets")))
+    return spark.read.parquet(table).select(
+        "airport_id", "date_id", "hour_id", "temperature_c", "precipitation_mm",
+        "wind_speed_knots", "cloud_cover_total_pct", "cloud_cover_low_pct")

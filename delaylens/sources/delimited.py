@@ -104,9 +104,10 @@ def read_html_rows(spark, paths, preferred=S.FACILITY_COLUMNS, source="opsnet",
     none = F.array().cast(f"array<{_ROW}>")
     rows = F.concat(F.coalesce("thead.tr", none), F.coalesce("tr", none),
                     F.coalesce("tbody.tr", none))
-    first = (tables.select(F.col("_metadata.file_name").alias("source_file"), rows.alias("rows"),
+    first = (tables.select(F.col("_metadata.file_path").alias("_path"),
+                           F.col("_metadata.file_name").alias("source_file"), rows.alias("rows"),
                            F.monotonically_increasing_id().alias("_seq"))
-             .groupBy("source_file").agg(F.min_by("rows", "_seq").alias("rows")))
+             .groupBy("_path", "source_file").agg(F.min_by("rows", "_seq").alias("rows")))
     lines = first.select("source_file", F.posexplode("rows").alias("_at", "_row"))
     head = (first.select(F.filter("rows", lambda r: F.coalesce(F.size(r["th"]), F.lit(0)) > 0)
                          .alias("head")).limit(1).collect())

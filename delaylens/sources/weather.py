@@ -11,9 +11,14 @@ def read_json(spark, path, schema, multiline=True) -> DataFrame:
 
 
 def explode_hourly(docs: DataFrame, source="openmeteo") -> DataFrame:
-    """One row per hour from documents of parallel arrays; documents without hours give none."""
-    fields = docs.schema["hourly"].dataType.names
-    zipped = F.arrays_zip(*[F.col(f"hourly.{f}").alias(f) for f in fields])
+    """One row per hour from documents of parallel arrays; documents without hours give none.
+
+    A measure that a document lacks is NULL in its rows.
+    """
+    fields = docs.schema["hourly"].dataType
+    arrays = [F.coalesce(F.col(f"hourly.{f.name}"), F.array().cast(f.dataType)).alias(f.name)
+              for f in fields]
+    zipped, fields = F.arrays_zip(*arrays), fields.names
     return docs.where(F.col("hourly").isNotNull()).select(
         F.inline(zipped).alias(*fields), "airport_code", "extract_start_date",
         "extract_end_date").withColumn("source_name", F.lit(source))
