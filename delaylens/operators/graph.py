@@ -80,6 +80,7 @@ def pagerank(edges: DataFrame, damping=DAMPING, tol=1e-6, max_iter=100) -> DataF
     Starts uniform, spreads the rank of airports without departures evenly, and
     stops when the ranks of N airports change by less than N * tol in sum.
     """
+    edges = cut(edges)
     out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
     links = cut(edges.join(out, "src").select("src", "dest", (F.col("weight") / F.col("total"))
                                               .alias("share")))
@@ -169,6 +170,7 @@ def betweenness(edges: DataFrame, cost="weight", k=None) -> DataFrame:
     pairs. With ``k`` only k pivots are sources and the sum is scaled by N / k
     (Brandes & Pich, 2007).
     """
+    edges = cut(edges)
     hops = edges.where("src <> dest").select("src", "dest", edge_cost(cost).alias("cost"))
     sources = cut(pivots(edges, k))
     dist = shortest_distances(edges, sources, cost)
@@ -208,6 +210,7 @@ def betweenness(edges: DataFrame, cost="weight", k=None) -> DataFrame:
 def closeness(edges: DataFrame) -> DataFrame:
     """Closeness over incoming hop distances, scaled by the share of airports that
     can reach the airport (Wasserman & Faust, 1994)."""
+    edges = cut(edges)
     dist = shortest_distances(edges, pivots(edges), "hops")
     n = nodes(edges).agg(F.count(F.lit(1))).first()[0]
     reach = dist.groupBy("airport").agg(
@@ -218,6 +221,7 @@ def closeness(edges: DataFrame) -> DataFrame:
 
 def centrality(edges: DataFrame, cost="weight", tol=1e-6) -> DataFrame:
     """The eight-column centrality table of the network study."""
+    edges = cut(edges)
     between = betweenness(edges, cost).withColumnRenamed("betweenness", "betweenness_centrality")
     return (
         degree(edges).select("airport", "degree_centrality")
@@ -228,4 +232,5 @@ def centrality(edges: DataFrame, cost="weight", tol=1e-6) -> DataFrame:
 
 def centrality_scores(edges: DataFrame, k=100) -> DataFrame:
     """The three-column table used for scoring: PageRank and sampled betweenness."""
+    edges = cut(edges)
     return pagerank(edges).join(betweenness(edges, "weight", k), "airport")

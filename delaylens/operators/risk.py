@@ -16,30 +16,29 @@ def stratified_split(df: DataFrame, label, key, test_share=0.2, salt="") -> Data
     """Add ``split`` ('train' / 'test') with the exact share of each class.
 
     Rows are ordered by the hash of the key. A count per (class, hash bucket)
-    tells which buckets are test as a whole; only the one bucket per class
-    that holds the border is ranked row by row.
+    finds the one bucket per class that holds the border; only its rows are
+    ranked, which gives the last test row of the class. The input is then split
+    in one pass against those border rows.
     """
-    buckets = 65536
     token = F.md5(F.concat(F.lit(salt), F.col(key).cast("string")))
-    hashed = df.withColumn("_h", token).withColumn(
-        "_b", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int")).withColumn(
-        "_y", C.group_token(label))
-    sizes = hashed.groupBy("_y", "_b").agg(_n().alias("n"))
-    chunk = F.floor(F.col("_b") / 256)
-    running = running_totals(sizes, ["_y"], chunk, ["_b"], ["n"])
-    goal = sizes.groupBy("_y").agg(F.round(F.sum("n") * test_share).alias("goal"))
-    # at most one border bucket per class
-    border = (running.join(goal, "_y").where(F.col("running_n") >= F.col("goal"))
-              .groupBy("_y").agg(
-                  F.min(F.struct("_b", (F.col("goal") - F.col("running_n") + F.col("n"))
-                                 .alias("take"))).alias("_cut")))
-    placed = hashed.join(F.broadcast(border), "_y")
-    edge = placed.where(F.col("_b") == F.col("_cut._b"))
-    rank = F.row_number().over(W.partitionBy("_y").orderBy("_h", key))
-    whole = placed.where(F.col("_b") != F.col("_cut._b")).withColumn(
-        "split", F.when(F.col("_b") < F.col("_cut._b"), "test").otherwise("train"))
-    ranked = edge.withColumn("split", F.when(rank <= F.col("_cut.take"), "test").otherwise("train"))
-    return whole.unionByName(ranked).select(*df.columns, "split")
+    hashed = df.withColumns({"_h": token, "_y": C.group_token(label)})
+    coded = hashed.select("_y", "_h", F.col(key).alias("_k")).withColumn(
+        "_b", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int"))
+    sizes = coded.groupBy("_y", "_b").agg(_n().alias("n"))
+    running = running_totals(sizes, ["_y"], F.floor(F.col("_b") / 256), ["_b"], ["n"])
+    goals = sizes.groupBy("_y").agg(F.round(F.sum("n") * test_share).alias("goal"))
+    take = F.col("goal") - F.col("running_n") + F.col("n")
+    border = (running.join(goals, "_y").where(F.col("running_n") >= F.col("goal"))
+              .groupBy("_y").agg(F.min(F.struct("_b", take.alias("take"))).alias("c"))
+              .select("_y", "c._b", "c.take"))
+    rank = F.row_number().over(W.partitionBy("_y").orderBy("_h", "_k"))
+    # one row per class on both broadcast sides
+    last = (coded.join(F.broadcast(border), ["_y", "_b"]).withColumn("_rn", rank)
+            .where(F.col("_rn") == F.col("take"))
+            .select("_y", F.struct("_h", "_k").alias("_last")))
+    tested = F.struct("_h", F.col(key).alias("_k")) <= F.col("_last")
+    return hashed.join(F.broadcast(last), "_y", "left").select(
+        *df.columns, F.when(tested, "test").otherwise("train").alias("split"))
 
 
 def class_weights(df: DataFrame, label="is_delayed") -> DataFrame:

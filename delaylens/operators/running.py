@@ -42,31 +42,32 @@ def carried_rows(df: DataFrame, order, payload, depth) -> DataFrame:
         "_g", "_d", F.transform(F.slice(recent, 1, depth), lambda x: x["_row"]).alias("_carry"))
 
 
-def with_previous(df: DataFrame, order, payload, depth, features, narrow=None) -> DataFrame:
-    """Add features over the ``depth`` rows before each row of its group.
-
-    ``df`` has ``_g`` and ``_d``. ``features`` maps a column name to a pair
-    (over, across): ``over(window, n)`` gives the native window column inside
-    the day and ``across(rows)`` the same value from an array of earlier rows,
-    latest first; the array form is used only near the start of a day.
-    ``narrow`` is the frame the carried rows are taken from, when a cheaper one
-    than ``df`` holds the same rows.
+def with_previous(df: DataFrame, order, payload, features, narrow=None) -> DataFrame:
+    """Add features over the rows before each row of its group.
+
+    ``df`` has ``_g`` and ``_d``. ``features`` maps a column name to
+    (n, over, merge): ``over(window)`` is the native window column over the n
+    rows before within the day, and ``merge(here, rows)`` completes it near the
+    start of a day from the carried rows that are still within reach (latest
+    first). ``narrow`` is a cheaper frame with the same rows, if there is one,
+    from which the carried rows are taken.
     """
     in_day = W.partitionBy("_g", "_d").orderBy(*order)
+    depth = max(n for n, _, _ in features.values())
     carry = carried_rows(df if narrow is None else narrow, order, payload, depth)
     seen = df.select(
         "*", F.row_number().over(in_day).alias("_rn"),
-        *[over(in_day).alias(f"_in_{name}") for name, (over, _) in features.items()],
-    )
-    opening = F.when(F.col("_rn") < depth, F.struct(*payload))
-    seen = seen.withColumn("_here", F.collect_list(opening).over(in_day.rowsBetween(-depth, -1)))
-    joined = seen.join(carry, ["_g", "_d"], "left")
-    near = F.slice(F.concat(F.reverse("_here"), F.coalesce("_carry", F.array())), 1, depth)
-    return joined.select(
-        *df.columns,
-        *[F.when(F.col("_rn") > depth, F.col(f"_in_{name}")).otherwise(across(near)).alias(name)
-          for name, (_, across) in features.items()],
+        *[over(in_day).alias(f"_in_{name}") for name, (_, over, _) in features.items()],
     )
+    nothing = F.array().cast(carry.schema["_carry"].dataType)
+
+    def complete(name, n, merge):
+        here, reach = F.col(f"_in_{name}"), n + 1 - F.col("_rn")
+        rows = F.slice(F.coalesce("_carry", nothing), F.lit(1), reach)
+        return F.when(F.col("_rn") > n, here).otherwise(merge(here, rows)).alias(name)
+
+    return seen.join(carry, ["_g", "_d"], "left").select(
+        *df.columns, *[complete(name, n, merge) for name, (n, _, merge) in features.items()])
 
 
 def running_totals(df: DataFrame, group, chunk: Column, order, sums) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from delaylens import schemas as S
 
@@ -11,8 +11,9 @@ VERSION_COLUMNS = ["valid_from", "valid_to", "is_current"]
 
 def open_history(current: DataFrame, as_of) -> DataFrame:
     """First version of every row."""
+    start = as_of if isinstance(as_of, Column) else F.lit(as_of)
     return current.select(
-        "*", F.lit(as_of).cast("timestamp").alias("valid_from"),
+        "*", start.cast("timestamp").alias("valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"), F.lit(True).alias("is_current"))
 
 
@@ -22,14 +23,17 @@ def snapshot_scd2(current: DataFrame, history: DataFrame, key="flight_id",
 
     New keys are opened, changed keys are closed and opened again, keys that
     are unchanged or not seen keep their open version. One full outer join on
-    the key yields at most two rows per key.
+    the key yields at most two rows per key. NULL keys match nothing, so those
+    rows stay out of the join.
     """
     now = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
     body = [c for c in history.columns if c not in VERSION_COLUMNS]
-    closed = history.where(~F.col("is_current"))
-    opened = history.where("is_current")
+    settled = history.where(~F.col("is_current") | F.col(key).isNull())
+    opened = history.where(F.col("is_current") & F.col(key).isNotNull())
+    unkeyed = open_history(current.where(F.col(key).isNull()).select(*body), now)
 
-    n, o = current.select(F.struct(*body).alias("n")), opened.select(F.struct("*").alias("o"))
+    n = current.where(F.col(key).isNotNull()).select(F.struct(*body).alias("n"))
+    o = opened.select(F.struct("*").alias("o"))
     pair = n.join(o, F.col(f"n.{key}") == F.col(f"o.{key}"), "full_outer")
     same = reduce(lambda a, b: a & b,
                   [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in check_cols])
@@ -44,5 +48,6 @@ def snapshot_scd2(current: DataFrame, history: DataFrame, key="flight_id",
     rows = (F.when(F.col("o").isNull(), F.array(start))
             .when(F.col("n").isNull() | same, F.array(keep))
             .otherwise(F.array(close, start)))
-    return closed.select(*body, *VERSION_COLUMNS).unionByName(
-        pair.select(F.inline(rows)).select(*body, *VERSION_COLUMNS))
+    compared = pair.select(F.inline(rows))
+    return reduce(DataFrame.unionByName, [
+        settled.select(*body, *VERSION_COLUMNS), unkeyed, compared])

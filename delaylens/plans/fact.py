@@ -30,7 +30,7 @@ FACT_COLUMNS = [
     "wind_speed_delta", "rolling_3_flight_weather_delay_flag",
 ]
 
-FLIGHT_ORDER = ["date_id", "hour_id", "flight_id"]
+DAY_ORDER = ["hour_id", "flight_id"]  # within one day
 
 
 def airport_hour(flights: DataFrame) -> DataFrame:
@@ -60,11 +60,11 @@ def tail_lag(flights: DataFrame, null_tail_chain=True) -> DataFrame:
     """
     keyed = chunk_keys(flights, "tail_number", "date_id")
     payload = ["arr_delay_minutes"]
-    narrow = keyed.select("_g", "_d", *FLIGHT_ORDER, *payload)
+    narrow = keyed.select("_g", "_d", *DAY_ORDER, *payload)
     features = {"lag_1_tail_arr_delay_mins": (
-        lambda w: F.lag("arr_delay_minutes").over(w),
-        lambda rows: F.get(rows, F.lit(0))["arr_delay_minutes"])}
-    out = with_previous(keyed, FLIGHT_ORDER, payload, 1, features, narrow).drop("_g", "_d")
+        1, lambda w: F.lag("arr_delay_minutes").over(w),
+        lambda here, rows: F.get(rows, F.lit(0))["arr_delay_minutes"])}
+    out = with_previous(keyed, DAY_ORDER, payload, features, narrow).drop("_g", "_d")
     if not null_tail_chain:
         out = out.withColumn("lag_1_tail_arr_delay_mins", F.when(
             F.col("tail_number").isNotNull(), F.col("lag_1_tail_arr_delay_mins")))
@@ -90,36 +90,38 @@ def _with_weather(keyed, daily):
     return joined.withColumns({m: F.col("_w")[m] for m in WEATHER_MEASURES}).drop("_wx", "_w")
 
 
-def _total(rows, n, field):
-    recent = F.slice(rows, 1, n)
-    return F.aggregate(recent, F.lit(0.0), lambda a, r: a + F.coalesce(r[field], F.lit(0.0)))
+def _total(rows, field):
+    return F.aggregate(rows, F.lit(0.0), lambda a, r: a + F.coalesce(r[field], F.lit(0.0)))
 
 
-def _present(rows, n, field):
-    return F.size(F.filter(F.slice(rows, 1, n), lambda r: r[field].isNotNull())).cast("long")
+def _present(rows, field):
+    return F.size(F.filter(rows, lambda r: r[field].isNotNull())).cast("long")
 
 
 def origin_history(keyed: DataFrame, narrow: DataFrame = None) -> DataFrame:
     """Rolling delay, wind change and weather-delay flag of earlier flights at the origin."""
+    delay, wind = F.col("dep_delay_minutes"), F.col("wind_speed_knots")
     late = F.when(F.col("weather_delay_mins") > 0, 1).otherwise(0)
-    payload = [F.col("dep_delay_minutes").alias("delay"), F.col("wind_speed_knots").alias("wind"),
-               late.alias("late")]
-    last_6 = lambda w: w.rowsBetween(-6, -1)
+    payload = [delay.alias("delay"), wind.alias("wind"), late.alias("late")]
     features = {
-        "rolling_6_flight_origin_delay_avg": (
-            lambda w: F.avg("dep_delay_minutes").over(last_6(w)),
-            lambda r: F.try_divide(_total(r, 6, "delay"), _present(r, 6, "delay"))),
+        "_delay_sum": (
+            6, lambda w: F.sum(delay).over(w.rowsBetween(-6, -1)),
+            lambda here, rows: F.coalesce(here, F.lit(0.0)) + _total(rows, "delay")),
         "rolling_6_flight_origin_count": (
-            lambda w: F.count("dep_delay_minutes").over(last_6(w)),
-            lambda r: _present(r, 6, "delay")),
-        "wind_speed_delta": (
-            lambda w: F.col("wind_speed_knots") - F.lag("wind_speed_knots").over(w),
-            lambda r: F.col("wind_speed_knots") - F.get(r, F.lit(0))["wind"]),
+            6, lambda w: F.count(delay).over(w.rowsBetween(-6, -1)),
+            lambda here, rows: here + _present(rows, "delay")),
+        "_last_wind": (
+            1, lambda w: F.lag(wind).over(w), lambda here, rows: F.get(rows, F.lit(0))["wind"]),
         "rolling_3_flight_weather_delay_flag": (
-            lambda w: F.max(late).over(w.rowsBetween(-3, -1)),
-            lambda r: F.array_max(F.transform(F.slice(r, 1, 3), lambda x: x["late"]))),
+            3, lambda w: F.max(late).over(w.rowsBetween(-3, -1)),
+            lambda here, rows: F.greatest(
+                here, F.array_max(F.transform(rows, lambda r: r["late"])))),
     }
-    return with_previous(keyed, FLIGHT_ORDER, payload, 6, features, narrow)
+    return with_previous(keyed, DAY_ORDER, payload, features, narrow).withColumns({
+        "rolling_6_flight_origin_delay_avg": F.try_divide(
+            "_delay_sum", "rolling_6_flight_origin_count"),
+        "wind_speed_delta": wind - F.col("_last_wind"),
+    }).drop("_delay_sum", "_last_wind")
 
 
 def build_fact(flights: DataFrame, weather: DataFrame, null_tail_chain=True) -> DataFrame:
@@ -127,7 +129,7 @@ def build_fact(flights: DataFrame, weather: DataFrame, null_tail_chain=True) ->
     f = flights.withColumnsRenamed(FACT_NAMES)
     daily = daily_weather(weather)
     narrow = chunk_keys(
-        f.select(*FLIGHT_ORDER, "origin_airport_id", "dep_delay_minutes", "weather_delay_mins"),
+        f.select("date_id", *DAY_ORDER, "origin_airport_id", "dep_delay_minutes", "weather_delay_mins"),
         "origin_airport_id", "date_id")
 
     chained = tail_lag(f, null_tail_chain)

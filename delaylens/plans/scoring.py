@@ -199,7 +199,8 @@ def run_training(fact: DataFrame, cfg: Settings = Settings(), sample_pct=100, k=
     spark = fact.sparkSession
     flown = fact.where(F.col("is_cancelled") == F.lit(False))
     edges = graph.network(flown, "origin_airport_id", "dest_airport_id")
-    centrality = graph.centrality_scores(stored(edges, "edges"), k)
+    # as a table its size is known, so the joins can decide to broadcast it
+    centrality = stored(graph.centrality_scores(edges, k), "centrality")
     frame = feature_frame(fact, centrality, sample_pct)
     split = stored(risk.stratified_split(frame, "is_delayed", "flight_id"), "features")
     fit, test = split.where("split = 'train'"), split.where("split = 'test'")

@@ -27,6 +27,14 @@ def write_table(df: DataFrame, path, mode="TRUNCATE", partition_by=()) -> None:
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def load_csv(spark: SparkSession, csv_path, path, mode="TRUNCATE") -> DataFrame:
+    """Load a CSV with inferred types into a table; returns its description."""
+    if not table_exists(spark, csv_path):
+        raise FileNotFoundError(csv_path)
+    write_table(spark.read.csv(csv_path, header=True, inferSchema=True), path, mode)
+    return describe_table(spark.read.parquet(path))
+
+
 def replace_partitions(df: DataFrame, path, *partition_by) -> None:
     """Replace only the partitions present in ``df``, so a repeated load changes nothing."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
