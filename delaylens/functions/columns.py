@@ -17,7 +17,7 @@ def hhmm_hour(hhmm, clip=False) -> Column:
     """Hour of an HHMM clock. 2400 gives 24 unless clipped to 0-23 (NULL -> 0)."""
     hour = (col(hhmm).cast("int") / 100).cast("long")
     if clip:
-        hour = F.coalesce(F.greatest(F.lit(0), F.least(F.lit(23), hour)), F.lit(0)).cast("long")
+        hour = F.greatest(F.lit(0), F.least(F.lit(23), F.coalesce(hour, F.lit(0)))).cast("long")
     return hour
 
 
