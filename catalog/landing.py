@@ -146,13 +146,20 @@ def _archives(spark, sf, rows_per_archive=5000):
     return wanted.groupBy("part").applyInPandas(pack, "path string, content binary")
 
 
-def _archive_docs(spark, sf):
-    """One document per airport and day: parallel arrays of its readings."""
-    archive, _, _ = base.weather_feeds(spark, sf)
-    day = F.substring("time", 1, 10).alias("extract_start_date")
-    row = F.struct("time", "temperature_2m", "precipitation", "wind_speed_10m", "cloud_cover",
-                   "cloud_cover_low")
-    docs = archive.groupBy("airport_code", day).agg(F.collect_list(row).alias("r"))
+def _archive_docs(spark, sf, rows_per_doc=1000):
+    """Documents of parallel arrays per airport and day, at most 1000 readings each."""
+    k = F.col("k")
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    row = F.struct(
+        stamp.alias("time"), (F.col("value") - 20).alias("temperature_2m"),
+        (F.col("value") / 50).alias("precipitation"),
+        (k % 40).cast("double").alias("wind_speed_10m"), k.cast("long").alias("cloud_cover"),
+        F.floor(k / 2).cast("long").alias("cloud_cover_low"))
+    docs = base.events(spark, sf).where(F.col("event_type").isin("signup", "purchase")).groupBy(
+        F.concat(F.lit("A"), F.lpad((k % 25).cast("string"), 2, "0")).alias("airport_code"),
+        F.date_format("ts", "yyyy-MM-dd").alias("extract_start_date"),
+        F.floor(F.col("event_id") / rows_per_doc).alias("part")).agg(
+        F.collect_list(row).alias("r"))
     return docs.select(
         "airport_code", "extract_start_date", F.col("extract_start_date").alias("extract_end_date"),
         F.struct(*[F.col("r")[c].alias(c) for c in (

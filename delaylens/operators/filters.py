@@ -41,13 +41,16 @@ def _and(conditions) -> Column:
 def filter_flights(df: DataFrame, spec: FilterSpec = EVERYTHING, base: Column = None) -> DataFrame:
     """Raw flights; the date range is closed at both ends.
 
-    A month choice is also tested on the plain ``month`` column, so tables
-    partitioned by it are pruned.
+    Months and date range are also tested on the plain ``year`` and ``month``
+    columns, so tables partitioned by them are pruned.
     """
     day = F.col("flightdate").cast("date")
     tests = [] if base is None else [base]
     if spec.date_range:
         tests.append(day.between(*[F.lit(d).cast("date") for d in spec.date_range]))
+        if {"year", "month"} <= set(df.columns):
+            first, last = (int(str(d)[:4]) * 100 + int(str(d)[5:7]) for d in spec.date_range)
+            tests.append((F.col("year") * 100 + F.col("month")).between(first, last))
     if spec.months:
         tests.append(F.month(day).isin(list(spec.months)))
         if "month" in df.columns:

@@ -9,20 +9,22 @@ def risk_matrix(airports: DataFrame) -> DataFrame:
     """Quadrant, label flag and marker size per airport.
 
     The input has one row per airport (airport, pagerank, delay_rate, count);
-    its quantiles are one-row subqueries.
+    its quantiles come from one scalar subquery.
     """
-    def level(column, q):
-        return airports.agg(F.percentile(column, F.lit(q))).scalar()
-
-    important = F.col("pagerank") >= level("pagerank", 0.5)
-    late = F.col("delay_rate") >= level("delay_rate", 0.5)
+    marks = {"p50": ("pagerank", 0.5), "d50": ("delay_rate", 0.5), "p80": ("pagerank", 0.80),
+             "d92": ("delay_rate", 0.92)}
+    levels = airports.agg(F.struct(*[F.percentile(c, F.lit(q)).alias(name)
+                                     for name, (c, q) in marks.items()]).alias("_q"))
+    known, level = airports.withColumn("_q", levels.scalar()), F.col("_q")
+    important = F.col("pagerank") >= level["p50"]
+    late = F.col("delay_rate") >= level["d50"]
     quadrant = F.lit(None).cast("string")
     for (hub, slow), name in S.QUADRANTS.items():
         quadrant = F.when((important == hub) & (late == slow), name).otherwise(quadrant)
-    placed = airports.withColumns({
+    placed = known.withColumns({
         "quadrant": quadrant,
-        "show_label": (F.col("pagerank") >= level("pagerank", 0.80))
-        | (F.col("delay_rate") >= level("delay_rate", 0.92))})
+        "show_label": (F.col("pagerank") >= level["p80"])
+        | (F.col("delay_rate") >= level["d92"])})
     # four rows
     spans = placed.groupBy("quadrant").agg(
         F.percentile("count", F.lit(0.95)).alias("_top"), F.min("count").alias("_low"))

@@ -60,9 +60,10 @@ def min_max(df: DataFrame, column, out="scaled", clip_q=None) -> DataFrame:
     if clip_q is not None:
         x = F.least(x, df.agg(F.percentile(column, F.lit(clip_q))).scalar())
     clipped = df.withColumn(out, x)
-    low = clipped.agg(F.min(out)).scalar()
-    span = clipped.agg(F.max(out) - F.min(out)).scalar()
-    return clipped.withColumn(out, F.coalesce(F.try_divide(F.col(out) - low, span), F.lit(0.0)))
+    ends = clipped.agg(F.struct(F.min(out).alias("low"), (F.max(out) - F.min(out)).alias("span")))
+    e = F.col("_ends")
+    return clipped.withColumn("_ends", ends.scalar()).withColumn(out, F.coalesce(
+        F.try_divide(F.col(out) - e["low"], e["span"]), F.lit(0.0))).drop("_ends")
 
 
 def impute(df: DataFrame, fills: dict) -> DataFrame:

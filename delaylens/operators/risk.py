@@ -50,11 +50,12 @@ def class_weights(df: DataFrame, label="is_delayed") -> DataFrame:
 
 def standardise(df: DataFrame, columns) -> DataFrame:
     """(x - mean) / population deviation per column; constant columns become 0."""
-    stats = df.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c)
-                     for c in columns]).select(F.struct(*columns).alias("s"))
-    s = stats.scalar()
-    return df.withColumns({c: F.coalesce(
-        F.try_divide(F.col(c) - s[c]["m"], s[c]["s"]), F.lit(0.0)) for c in columns})
+    stats = df.agg(F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c)
+                              for c in columns]).alias("s"))
+    known = df.withColumn("_stats", stats.scalar())
+    s = F.col("_stats")
+    return known.withColumns({c: F.coalesce(
+        F.try_divide(F.col(c) - s[c]["m"], s[c]["s"]), F.lit(0.0)) for c in columns}).drop("_stats")
 
 
 # --- metrics ------------------------------------------------------------------
@@ -142,6 +143,11 @@ def mean_absolute_error(scored: DataFrame, actual, predicted) -> DataFrame:
 
 # --- scenarios ----------------------------------------------------------------
 
+def _lookup(table, value):
+    """The small (feature, value) table as one map; refer to it through one column."""
+    return table.agg(F.map_from_entries(F.collect_list(F.struct("feature", value)))).scalar()
+
+
 def complete_features(scenarios: DataFrame, medians: DataFrame, centrality: DataFrame,
                       coords: DataFrame, features=S.FEATURE_COLUMNS) -> DataFrame:
     """Scenario rows (scenario, Origin, Dest, partial inputs) with every feature filled.
@@ -151,11 +157,8 @@ def complete_features(scenarios: DataFrame, medians: DataFrame, centrality: Data
     """
     from delaylens.operators.joins import add_centrality, distances
 
-    fallback = medians.agg(F.map_from_entries(F.collect_list(F.struct("feature", "median"))))
-    default = fallback.scalar()  # one entry per feature
-
     def median(name, last=0.0):
-        return F.coalesce(F.try_element_at(default, F.lit(name)), F.lit(last))
+        return F.coalesce(F.try_element_at("_medians", F.lit(name)), F.lit(last))
 
     hubs = ["origin_pagerank", "origin_betweenness", "dest_pagerank", "dest_betweenness"]
     given = scenarios.drop("Distance", *hubs)
@@ -166,7 +169,8 @@ def complete_features(scenarios: DataFrame, medians: DataFrame, centrality: Data
             continue
         filled[name] = (F.coalesce(F.col(name).cast("double"), median(name))
                         if name in given.columns else median(name))
-    return placed.withColumns(filled).drop("miles").select(
+    known = placed.withColumn("_medians", _lookup(medians, "median"))
+    return known.withColumns(filled).select(
         "scenario", "Origin", "Dest", *features)
 
 
@@ -174,14 +178,27 @@ def drivers(features: DataFrame, medians: DataFrame, importance: DataFrame, k=10
             columns=S.FEATURE_COLUMNS) -> DataFrame:
     """The k strongest contributions per scenario: scaled deviation x importance.
 
-    A scenario has one row per feature, so ranking stays small per scenario.
+    Contributions are ranked inside the row, so scenarios are never shuffled;
+    the two tables have one entry per feature.
     """
-    doubles = features.select("scenario", *[F.col(c).cast("double").alias(c) for c in columns])
-    long = doubles.unpivot(["scenario"], list(columns), "feature", "value")
-    known = long.join(medians, "feature", "left").join(importance, "feature")
-    middle = F.coalesce("median", "value")
-    pull = ((F.col("value") - middle) / F.greatest(F.abs(middle), F.lit(1.0))) * F.col("importance")
-    scored = known.withColumns({"median": middle, "contribution": pull})
-    strongest = W.partitionBy("scenario").orderBy(F.abs("contribution").desc(), "feature")
-    return (scored.withColumn("_rn", F.row_number().over(strongest)).where(F.col("_rn") <= k)
-            .drop("_rn").orderBy("scenario", "contribution"))
+    known = features.select(
+        "scenario", *columns, _lookup(medians, "median").alias("_medians"),
+        _lookup(importance, "importance").alias("_weights"))
+
+    def part(name):
+        value = F.col(name).cast("double")
+        middle = F.coalesce(F.try_element_at("_medians", F.lit(name)), value)
+        weight = F.try_element_at("_weights", F.lit(name))
+        pull = (value - middle) / F.greatest(F.abs(middle), F.lit(1.0)) * weight
+        return F.struct(
+            F.coalesce(-F.abs(pull), F.lit(1.0)).alias("_rank"), F.lit(name).alias("feature"),
+            value.alias("value"), middle.alias("median"), weight.alias("importance"),
+            pull.alias("contribution"))
+
+    ranked = known.select(
+        "scenario", F.slice(F.sort_array(F.array(*[part(c) for c in columns])), 1, k).alias("_top"))
+    return (ranked.select("scenario", F.inline(F.transform("_top", lambda x: F.struct(
+        x["contribution"].alias("contribution"), x["feature"].alias("feature"),
+        x["value"].alias("value"), x["median"].alias("median"),
+        x["importance"].alias("importance")))))
+        .where(F.col("contribution").isNotNull()))

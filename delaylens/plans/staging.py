@@ -38,7 +38,7 @@ def stage_flights(raw: DataFrame, clip_hour=False) -> DataFrame:
     )
 
 
-def _weather_rows(df, ts, airport, priority, source, ingested=None, **measures):
+def _weather_rows(df, ts, airport, source, ingested=None, **measures):
     kinds = {"temperature_c": "double", "precipitation_mm": "double",
              "wind_speed_knots": "double", "cloud_cover_total_pct": "long",
              "cloud_cover_low_pct": "long"}
@@ -51,20 +51,21 @@ def _weather_rows(df, ts, airport, priority, source, ingested=None, **measures):
           for m, t in kinds.items()],
         (missing if ingested is None else F.col(ingested)).try_cast("timestamp")
         .alias("ingested_ts"),
-        F.lit(source).alias("weather_source"), F.lit(priority).alias("source_priority"))
+        F.lit(source).alias("weather_source"),
+        F.lit(S.WEATHER_PRIORITY[source]).alias("source_priority"))
 
 
 def observation_hours(observations: DataFrame) -> DataFrame:
     """Station reports on the common weather columns; unreadable times are dropped."""
     return _weather_rows(
-        observations, C.hour_start(F.col("obs_time").try_cast("timestamp")), "iata_code", 1,
+        observations, C.hour_start(F.col("obs_time").try_cast("timestamp")), "iata_code",
         "metar", "ingested_at", temperature_c="temp_c", wind_speed_knots="wind_speed_knots",
     ).where(F.col("ts_utc").isNotNull())
 
 
 def archive_hours(archive: DataFrame) -> DataFrame:
     return _weather_rows(
-        archive, F.col("time").cast("timestamp"), "airport_code", 2, "openmeteo",
+        archive, F.col("time").cast("timestamp"), "airport_code", "openmeteo",
         temperature_c="temperature_2m", precipitation_mm="precipitation",
         wind_speed_knots="wind_speed_10m", cloud_cover_total_pct="cloud_cover",
         cloud_cover_low_pct="cloud_cover_low")
@@ -74,7 +75,7 @@ def forecast_hours(forecasts: DataFrame) -> DataFrame:
     """Forecast periods at their start hour; periods without a start are dropped."""
     return _weather_rows(
         forecasts, C.hour_start(F.timestamp_seconds(F.col("valid_from").cast("long"))),
-        "iata_code", 3, "taf", "ingested_at", wind_speed_knots="wind_speed_knots",
+        "iata_code", "taf", "ingested_at", wind_speed_knots="wind_speed_knots",
     ).where(F.col("ts_utc").isNotNull())
 
 

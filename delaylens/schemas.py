@@ -128,6 +128,13 @@ QUADRANTS = {
     (False, False): "Low Priority (Low Importance + On-Time)",
 }
 
+# --- Fixed values: provenance labels and weather source priority -------------
+
+FLIGHT_SOURCE, AIRPORT_OPS_SOURCE, FACILITY_SOURCE = "bts", "aspm", "opsnet"
+ARCHIVE_SOURCE, OBSERVATION_SOURCE, FORECAST_SOURCE = "openmeteo", "awc_metar", "awc_taf"
+RAW_STAGE = "raw"
+WEATHER_PRIORITY = {"metar": 1, "openmeteo": 2, "taf": 3}
+
 # --- Fixed values: small code tables ----------------------------------------
 
 CANCELLATION_LABELS = {

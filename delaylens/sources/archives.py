@@ -50,12 +50,12 @@ def unzip_csv(files: DataFrame, columns=S.FLIGHT_COLUMNS, batch_rows=50_000) ->
     return files.mapInPandas(unpack, fields)
 
 
-def split_archives(unpacked: DataFrame, source="bts"):
+def split_archives(unpacked: DataFrame, source=S.FLIGHT_SOURCE):
     """(rows with lower-case names and provenance, rejected archives)."""
     data = [c for c in unpacked.columns if c not in ("archive", "problem")]
     rows = unpacked.where(F.col("problem").isNull()).select(
         *[F.col(c).alias(c.strip().lower()) for c in data],
-        F.lit(source).alias("source_name"), F.lit("raw").alias("ingestion_stage"))
+        F.lit(source).alias("source_name"), F.lit(S.RAW_STAGE).alias("ingestion_stage"))
     return rows, unpacked.where(F.col("problem").isNotNull()).select("archive", "problem")
 
 

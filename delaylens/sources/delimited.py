@@ -35,7 +35,7 @@ def separator_for(spark, path) -> str:
 def with_provenance(df: DataFrame, source: str, file_name="_metadata.file_name") -> DataFrame:
     return df.withColumns({
         "source_name": F.lit(source), "source_file": F.col(file_name),
-        "ingestion_stage": F.lit("raw")})
+        "ingestion_stage": F.lit(S.RAW_STAGE)})
 
 
 def read_delimited(spark, paths, preferred, source, name_rule=plain_name, sep=None) -> DataFrame:
@@ -57,15 +57,15 @@ def read_delimited(spark, paths, preferred, source, name_rule=plain_name, sep=No
 
 
 def read_flights_csv(spark, paths) -> DataFrame:
-    return read_delimited(spark, paths, S.MANUAL_FLIGHT_COLUMNS, "bts")
+    return read_delimited(spark, paths, S.MANUAL_FLIGHT_COLUMNS, S.FLIGHT_SOURCE)
 
 
 def read_airport_ops(spark, paths) -> DataFrame:
-    return read_delimited(spark, paths, S.AIRPORT_OPS_COLUMNS, "aspm")
+    return read_delimited(spark, paths, S.AIRPORT_OPS_COLUMNS, S.AIRPORT_OPS_SOURCE)
 
 
 def read_facility_counts(spark, paths) -> DataFrame:
-    return read_delimited(spark, paths, S.FACILITY_COLUMNS, "opsnet", snake_name)
+    return read_delimited(spark, paths, S.FACILITY_COLUMNS, S.FACILITY_SOURCE, snake_name)
 
 
 # --- HTML tables -------------------------------------------------------------
@@ -93,7 +93,7 @@ def _column_names(header_rows):
     return [names.get(i, f"column_{i}") for i in range(max(names, default=-1) + 1)]
 
 
-def read_html_rows(spark, paths, preferred=S.FACILITY_COLUMNS, source="opsnet",
+def read_html_rows(spark, paths, preferred=S.FACILITY_COLUMNS, source=S.FACILITY_SOURCE,
                    name_rule=snake_name) -> DataFrame:
     """First table of each well-formed HTML file, header levels flattened.
 
@@ -120,4 +120,4 @@ def read_html_rows(spark, paths, preferred=S.FACILITY_COLUMNS, source="opsnet",
     kept = [n for n in kept if n in preferred] or kept
     return cells.select(
         *[F.col(f"`{n}`").alias(name_rule(n)) for n in kept], F.lit(source).alias("source_name"),
-        "source_file", F.lit("raw").alias("ingestion_stage"))
+        "source_file", F.lit(S.RAW_STAGE).alias("ingestion_stage"))

@@ -10,7 +10,7 @@ def read_json(spark, path, schema, multiline=True) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
-def explode_hourly(docs: DataFrame, source="openmeteo") -> DataFrame:
+def explode_hourly(docs: DataFrame, source=S.ARCHIVE_SOURCE) -> DataFrame:
     """One row per hour from documents of parallel arrays; documents without hours give none.
 
     A measure that a document lacks is NULL in its rows.
@@ -47,7 +47,7 @@ def flatten_observations(docs: DataFrame) -> DataFrame:
         F.col("fltCat").alias("flight_category"), F.col("cover").alias("cloud_cover"),
         F.col("metarType").alias("metar_type"), F.col("rawOb").alias("raw_metar"),
         F.col("lat").alias("latitude"), F.col("lon").alias("longitude"),
-        F.col("elev").alias("elevation_m"), F.lit("awc_metar").alias("source_name"),
+        F.col("elev").alias("elevation_m"), F.lit(S.OBSERVATION_SOURCE).alias("source_name"),
         F.col("ingested_at"))
 
 
@@ -68,5 +68,5 @@ def flatten_forecasts(docs: DataFrame) -> DataFrame:
         F.col("p.wgst").alias("wind_gust_knots"), F.col("p.visib").alias("visibility_sm"),
         F.col("p.wxString").alias("wx_string"), F.col("p.fltCat").alias("flight_category"),
         F.col("rawTAF").alias("raw_taf"), F.col("lat").alias("latitude"),
-        F.col("lon").alias("longitude"), F.lit("awc_taf").alias("source_name"),
+        F.col("lon").alias("longitude"), F.lit(S.FORECAST_SOURCE).alias("source_name"),
         F.col("ingested_at"))
