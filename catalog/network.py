@@ -171,20 +171,38 @@ def closeness(spark, sf):
     return rounded(graph.closeness(edges(spark, sf)), "closeness_centrality")
 
 
-@query("centrality_table", with_tables("edges", extra={
+CENTRALITY = {
     **NODES, **DEGREE, **STRENGTH, **RANK, **_distances("w", "weight"), **_distances("h", "1"),
-    **PATHS, "bt": (["nodes", "through"], _between()), "cl": (["nodes", "h5"], CLOSE)},
-    recursive=True, body=f"""
-SELECT airport, round(degree / ({SIZE} - 1), 9) AS degree_centrality,
-  betweenness AS betweenness_centrality, closeness_centrality, round(pagerank, 9) AS pagerank,
-  total_departures, total_arrivals, total_departures + total_arrivals AS total_flights
-FROM deg JOIN bt USING (airport) JOIN cl USING (airport) JOIN pr USING (airport)
-  JOIN strength USING (airport)"""))
+    **PATHS, "bt": (["nodes", "through"], _between()), "cl": (["nodes", "h5"], CLOSE),
+    "central": (["deg", "bt", "cl", "pr", "strength"], f"""
+      SELECT airport, degree / ({SIZE} - 1) AS degree_centrality,
+        betweenness AS betweenness_centrality, closeness_centrality, pagerank, total_departures,
+        total_arrivals, total_departures + total_arrivals AS total_flights
+      FROM deg JOIN bt USING (airport) JOIN cl USING (airport) JOIN pr USING (airport)
+        JOIN strength USING (airport)""")}
+
+
+@query("centrality_table", with_tables("edges", extra=CENTRALITY, recursive=True, body="""
+SELECT * REPLACE (round(degree_centrality, 9) AS degree_centrality, round(pagerank, 9) AS pagerank)
+FROM central"""))
 def centrality_table(spark, sf):
     return rounded(graph.centrality(edges(spark, sf)), "degree_centrality",
                    "betweenness_centrality", "closeness_centrality", "pagerank")
 
 
+METRICS = ["degree_centrality", "betweenness_centrality", "closeness_centrality", "pagerank",
+           "total_flights"]
+
+
+@query("centrality_metric_correlation", with_tables("edges", extra=CENTRALITY, recursive=True,
+       body=" UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}::DOUBLE, {b}::DOUBLE), 5) AS corr FROM central"
+    for a in METRICS for b in METRICS)))
+def centrality_metric_correlation(spark, sf):
+    return rounded(reports.corr_matrix(graph.centrality(edges(spark, sf)), METRICS), "corr",
+                   digits=5)
+
+
 CORR = ["total_departures", "total_arrivals", "degree"]
 
 

@@ -22,18 +22,23 @@ def build_session(app="delaylens", master=None, **extra) -> SparkSession:
     return builder.getOrCreate()
 
 
+_LOCAL_DIRS = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     A machine-local folder is made only for local-mode sessions that name none.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="delaylens-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    if named:
+        return named
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if sc.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="delaylens-")
+    return _LOCAL_DIRS[sc.applicationId]
 
 
 def scratch(spark: SparkSession, label: str) -> str:

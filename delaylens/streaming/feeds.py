@@ -86,16 +86,18 @@ def latest_state(stream: DataFrame, folder, checkpoint) -> StreamingQuery:
 def upsert_airport_hours(rows: DataFrame, table) -> None:
     """Merge weather rows into a table of best airport-hours, one partition per day.
 
-    Only the days of the batch are read and rewritten. The merged rows are
-    checkpointed before they replace the partitions they were read from.
+    The batch is reduced to its own best rows first; only its days are read and
+    rewritten. Merged rows are checkpointed before they replace the partitions
+    they were read from, so a repeated batch gives the same table.
     """
     spark = rows.sparkSession
-    # the days of one batch: bounded by the calendar
-    days = [r[0] for r in rows.select("date_id").distinct().collect()]
+    merged = cut(best_source(rows))
     if table_exists(spark, table):
+        # the days of one batch: bounded by the calendar
+        days = [r[0] for r in merged.select("date_id").distinct().collect()]
         present = spark.read.parquet(table).where(F.col("date_id").isin(days))
-        rows = rows.unionByName(present)
-    replace_partitions(cut(best_source(rows)), table, "date_id")
+        merged = cut(best_source(merged.unionByName(present)))
+    replace_partitions(merged, table, "date_id")
 
 
 def stream_airport_hours(stream: DataFrame, table, checkpoint) -> StreamingQuery:
