@@ -110,8 +110,7 @@ def facility_counts_from_html(spark, sf):
 
 
 @query("flights_from_zip", with_tables("ontime", body="""
-SELECT flightdate, reporting_airline, CAST(flight_number_reporting_airline AS VARCHAR)
-    AS flight_number_reporting_airline, origin, dest, CAST(crsdeptime AS VARCHAR) AS crsdeptime,
+SELECT flightdate, reporting_airline, flight_number_reporting_airline, origin, dest, crsdeptime,
   'bts' AS source_name, 'raw' AS ingestion_stage FROM ontime"""))
 def flights_from_zip(spark, sf):
     files = _archives(spark, sf)

@@ -78,6 +78,16 @@ SNAPSHOT_CHECK_COLUMNS = [
     "temperature_c", "wind_speed_knots",
 ]
 
+# Types of the raw flight table; columns not named here are text.
+FLIGHT_TYPES = {
+    "year": "int", "month": "int", "dayofmonth": "int",
+    "flight_number_reporting_airline": "long", "crsdeptime": "int", "deptime": "double",
+    "depdelay": "double", "crsarrtime": "int", "arrtime": "double", "arrdelay": "double",
+    "cancelled": "double", "diverted": "double", "airtime": "double", "distance": "double",
+    "carrierdelay": "double", "weatherdelay": "double", "nasdelay": "double",
+    "securitydelay": "double", "lateaircraftdelay": "double",
+}
+
 CAUSE_COLUMNS = {
     "carrierdelay": "Carrier", "weatherdelay": "Weather", "nasdelay": "NAS",
     "securitydelay": "Security", "lateaircraftdelay": "Late Aircraft",

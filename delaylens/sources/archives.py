@@ -1,6 +1,6 @@
 """Monthly ZIP archives of flight records."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from delaylens import schemas as S
 
@@ -50,11 +50,22 @@ def unzip_csv(files: DataFrame, columns=S.FLIGHT_COLUMNS, batch_rows=50_000) ->
     return files.mapInPandas(unpack, fields)
 
 
+def typed(name) -> Column:
+    """A raw text column under its lower-case name, with its numeric type if it has one.
+
+    Numbers are read as doubles first, so "0905" and "905.00" are both clocks.
+    """
+    plain = name.strip().lower()
+    kind = S.FLIGHT_TYPES.get(plain)
+    value = F.col(name) if kind is None else F.col(name).cast("double").cast(kind)
+    return value.alias(plain)
+
+
 def split_archives(unpacked: DataFrame, source=S.FLIGHT_SOURCE):
-    """(rows with lower-case names and provenance, rejected archives)."""
+    """(typed rows with lower-case names and provenance, rejected archives)."""
     data = [c for c in unpacked.columns if c not in ("archive", "problem")]
     rows = unpacked.where(F.col("problem").isNull()).select(
-        *[F.col(c).alias(c.strip().lower()) for c in data],
+        *[typed(c) for c in data],
         F.lit(source).alias("source_name"), F.lit(S.RAW_STAGE).alias("ingestion_stage"))
     return rows, unpacked.where(F.col("problem").isNotNull()).select("archive", "problem")
 

@@ -78,6 +78,22 @@ def test_zip_archives(spark, tmp_path):
         ("broken.zip", "bad archive"), ("empty.zip", "no csv")]
 
 
+def test_unpacked_flights_can_be_staged_and_reported(spark, tmp_path):
+    from delaylens.operators import reports
+    head = ("FlightDate,Year,Month,Reporting_Airline,Flight_Number_Reporting_Airline,Tail_Number,"
+            "Origin,Dest,CRSDepTime,DepDelay,ArrDelay,Cancelled,CancellationCode,Distance\n")
+    with zipfile.ZipFile(tmp_path / "m.zip", "w") as z:
+        z.writestr("m.csv", head + "2024-01-07,2024,1,AA,12,N1,ATL,LAX,0905,16.00,2.00,0.00,,1947.00\n"
+                   "2024-01-07,2024,1,AA,13,N1,ATL,LAX,2359,,,1.00,B,1947.00\n")
+    rows, _ = archives.read_zip_csv(spark, str(tmp_path))
+    got = {r["flight_number"]: r for r in staging.stage_flights(rows).collect()}
+    assert got[12]["flight_id"] == "2024-01-07_AA_12_ATL_905"
+    assert (got[12]["scheduled_dep_hour"], got[12]["dep_delay_minutes"]) == (9, 16.0)
+    assert got[13]["is_cancelled"] is True and got[13]["weather_delay_mins"] == 0
+    hours = reports.delay_by_hour(rows).collect()
+    assert [(r["hour"], r["delay_rate"], r["n"]) for r in hours] == [(9, 1.0, 1)]
+
+
 def test_hourly_arrays(spark, tmp_path):
     write(tmp_path / "a.json", json.dumps({"airport_code": "ATL", "hourly": {
         "time": ["2024-01-01T00:00", "2024-01-01T01:00"], "temperature_2m": [1.5, None]}}))
