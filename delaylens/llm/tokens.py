@@ -56,8 +56,9 @@ def _encode_long(docs, path, text, out, schema):
     others = [c for c in docs.columns if c.lower() != out.lower()]
     keyed = docs.select(F.struct(*others).alias(row)).withColumn(
         key, F.sha2(F.to_json(row), 256))
+    whole_row = T.StructField(row, keyed.schema[row].dataType, True)  # null but for the first part
     cut_schema = T.StructType([
-        keyed.schema[row], T.StructField(key, T.StringType()), T.StructField(no, T.IntegerType()),
+        whole_row, T.StructField(key, T.StringType()), T.StructField(no, T.IntegerType()),
         T.StructField(part, T.BinaryType()), T.StructField(bare, T.BooleanType()),
         T.StructField(joins, T.BooleanType())])
 
@@ -105,7 +106,7 @@ def _encode_long(docs, path, text, out, schema):
 
     parted = keyed.mapInArrow(cut_up, cut_schema).repartition(F.col(key), F.col(no))
     encoded = parted.mapInArrow(encode_parts, T.StructType([
-        keyed.schema[row], T.StructField(key, T.StringType()), T.StructField(no, T.IntegerType()),
+        whole_row, T.StructField(key, T.StringType()), T.StructField(no, T.IntegerType()),
         T.StructField(joins, T.BooleanType()), T.StructField(out, IDS)]))
     return encoded.groupBy(key).applyInArrow(join_up, schema)
 
