@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from delaylens.llm import tokens
+from delaylens.llm import rules, simhash, tokens
 from delaylens.llm.common import table, vocabulary_path
 from delaylens.session import scratch
 
@@ -29,6 +29,14 @@ def op1(spark, sf_dir):
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query("op6_simhash_near_dedup")
+def op6(spark, sf_dir):
+    """Fingerprint and group of near copies of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.components(simhash.fingerprints(docs)).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query("op8_token_id_output")
 def op8(spark, sf_dir):
     """Token files of all documents, read back."""
@@ -37,3 +45,11 @@ def op8(spark, sf_dir):
     read = tokens.read_tokens(spark, folder).select("doc_id", "start", "ids")
     return tokens.digests(read, keep=["doc_id", "start"], sha=None, crc="ids_crc32").select(
         "doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op9_quality_rules")
+def op9(spark, sf_dir):
+    """Rule counts and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = rules.apply_stored(docs, table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept", "anomaly")
