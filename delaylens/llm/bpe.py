@@ -23,8 +23,8 @@ WINDOW = 8
 SHORT = 32
 NONE = 1 << 40
 #: Bounds of the memo of a worker process: hash slots and pooled ids.
-SLOTS = 1 << 22
-POOL = 12_000_000
+SLOTS = 1 << 21
+POOL = 8_000_000
 
 #: The pre-tokenizer's pattern (fixed value of the public vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

@@ -7,7 +7,7 @@ import pyarrow as pa
 BASE = 0x9E3779B97F4A7C15
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 #: Bytes of text handled at once; bounds the memory of a task whatever the batch size.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 700_000
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from delaylens.llm import rules, simhash, tokens
+from delaylens.llm import chat, decontam, rules, simhash, substrings, tokens
 from delaylens.llm.common import table, vocabulary_path
 from delaylens.session import scratch
 
@@ -23,10 +23,33 @@ def op1(spark, sf_dir):
     """Ids and decoded text of every document, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = tokens.encode(docs, vocabulary_path()).select("doc_id", "ids")
-    decoded = tokens.decode(encoded, vocabulary_path()).withColumn(
-        "decoded_sha256", F.sha2(F.col("decoded").cast("binary"), 256))
-    return tokens.digests(decoded, keep=["doc_id", "decoded_sha256"]).select(
-        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    decoded = tokens.decode(encoded, vocabulary_path(), keep_ids=False, sha="ids_sha256")
+    return decoded.select("doc_id", "n_tokens", "ids_sha256",
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op2_chat_formatting", chat.ORACLE)
+def op2(spark, sf_dir):
+    """All conversations, and one that says the template's control strings, formatted and read back."""
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_chats(rows.unionByName(probe)))
+
+
+@query("op3_benchmark_decontamination", decontam.ORACLE)
+def op3(spark, sf_dir):
+    """Benchmark passages in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")).drop("text")
+
+
+@query("op5_substring_dedup")
+def op5(spark, sf_dir):
+    """Words of every document without passages that an earlier document has."""
+    return substrings.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @query("op6_simhash_near_dedup")
@@ -43,8 +66,7 @@ def op8(spark, sf_dir):
     folder = scratch(spark, "tokens")
     tokens.write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary_path())
     read = tokens.read_tokens(spark, folder).select("doc_id", "start", "ids")
-    return tokens.digests(read, keep=["doc_id", "start"], sha=None, crc="ids_crc32").select(
-        "doc_id", "start", "n_tokens", "ids_crc32")
+    return tokens.checksums(read, keep=["doc_id", "start"])
 
 
 @query("op9_quality_rules")

@@ -111,42 +111,61 @@ def _encode_long(docs, path, text, out, schema):
     return encoded.groupBy(key).applyInArrow(join_up, schema)
 
 
-def decode(encoded: DataFrame, path, ids="ids", out="decoded") -> DataFrame:
-    """Add ``out``, the text of ``ids``, special tokens included; null ids give an empty text."""
+def decode(encoded: DataFrame, path, ids="ids", out="decoded", keep_ids=True,
+           sha=None) -> DataFrame:
+    """Add ``out``, the text of ``ids``, special tokens included; null ids give an empty text.
+
+    ``sha`` names columns for the number of ids and their digest, made in the same pass.
+    """
+    extra = {out: T.StringType()}
+    extra |= {"n_tokens": T.LongType(), sha: T.StringType()} if sha else {}
+    base = T.StructType([f for f in encoded.schema.fields if keep_ids or f.name != ids])
+
     def run(batches):
         coder = bpe.load(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                flat, counts = flat_ids(part.column(part.schema.get_field_index(ids)))
+            at = batch.schema.get_field_index(ids)
+            for row in range(0, batch.num_rows, 250):
+                part = batch.slice(row, 250)
+                flat, counts = flat_ids(part.column(at))
                 texts = coder.decode_all(flat, counts)
-                yield appended(part, {out: pa.array(texts, pa.binary()).cast(pa.string())})
+                cols = {out: pa.array(texts, pa.binary()).cast(pa.string())}
+                if sha:
+                    cols |= {"n_tokens": pa.array(counts),
+                             sha: pa.array(_each(flat, counts, _sha256), pa.string())}
+                if not keep_ids:
+                    part = part.select([i for i in range(part.num_columns) if i != at])
+                yield appended(part, cols)
+
+    return encoded.mapInArrow(run, with_fields(base, **extra))
+
+
+def _sha256(data):
+    return hashlib.sha256(data).hexdigest()
+
 
-    return encoded.mapInArrow(run, with_fields(encoded.schema, **{out: T.StringType()}))
+def _each(flat, counts, digest):
+    """Digest of each run of ids as little-endian unsigned 32-bit integers."""
+    data = memoryview(flat.astype("<u4").view(np.uint8))
+    ends = np.cumsum(counts).tolist()
+    return [digest(data[4 * a:4 * b]) for a, b in zip([0, *ends], ends)]
 
 
-def digests(encoded: DataFrame, ids="ids", keep=(), sha="ids_sha256", crc=None) -> DataFrame:
-    """Number of ids and digest of the ids as little-endian unsigned 32-bit integers, per row."""
-    fields = {"n_tokens": T.LongType()}
-    fields |= {sha: T.StringType()} if sha else {}
-    fields |= {crc: T.LongType()} if crc else {}
+def checksums(encoded: DataFrame, keep=(), ids="ids", out="ids_crc32") -> DataFrame:
+    """``n_tokens`` and the crc32 of the ids of every row."""
     source = encoded.select(*keep, ids)
 
     def run(batches):
         for batch in batches:
-            flat, counts = flat_ids(batch.column(batch.num_columns - 1))
-            data = memoryview(flat.astype("<u4").view(np.uint8))
-            ends = np.cumsum(counts).tolist()
-            spans = list(zip([0, *ends], ends))
-            cols = {"n_tokens": pa.array(counts)}
-            if sha:
-                cols[sha] = pa.array([hashlib.sha256(data[4 * a:4 * b]).hexdigest()
-                                      for a, b in spans], pa.string())
-            if crc:
-                cols[crc] = pa.array([zlib.crc32(data[4 * a:4 * b]) for a, b in spans], pa.int64())
-            yield appended(batch.select(range(batch.num_columns - 1)), cols)
+            for row in range(0, batch.num_rows, 500):
+                part = batch.slice(row, 500)
+                flat, counts = flat_ids(part.column(part.num_columns - 1))
+                yield appended(part.select(range(part.num_columns - 1)), {
+                    "n_tokens": pa.array(counts),
+                    out: pa.array(_each(flat, counts, zlib.crc32), pa.int64())})
 
-    return source.mapInArrow(run, with_fields(source.drop(ids).schema, **fields))
+    return source.mapInArrow(run, with_fields(
+        source.drop(ids).schema, n_tokens=T.LongType(), **{out: T.LongType()}))
 
 
 # --- token files ----------------------------------------------------------------------
@@ -197,13 +216,14 @@ def write_tokens(docs: DataFrame, folder, path, end_id=0, doc_id="doc_id", text=
 def read_tokens(spark, folder) -> DataFrame:
     """The documents of token files with ``start``, the number of ids of all earlier documents.
 
-    Only one number per file goes through a single task; it is joined by file.
+    Only one number per file goes through a single task and is broadcast: 12 bytes for a file of
+    one task's share of the documents, so 100 TB of 100 MB files make 12 MB.
     """
     files = spark.read.orc(folder)
     totals = files.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset"))
-    return files.join(offsets, "part").select(
+    return files.join(F.broadcast(offsets), "part").select(
         "doc_id", (F.col("offset") + F.col("before")).alias("start"), "n_tokens", "ids")
 
 
