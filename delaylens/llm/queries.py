@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from delaylens.llm import chat, decontam, rules, simhash, substrings, tokens
-from delaylens.llm.common import table, vocabulary_path
+from delaylens.llm import (
+    chat, decontam, extraction, languages, nbsvm, rules, simhash, substrings, tokens,
+)
+from delaylens.llm.common import is_held_out, table, vocabulary_path
 from delaylens.session import scratch
 
 QUERIES, ORACLES = {}, {}
@@ -46,6 +48,14 @@ def op3(spark, sf_dir):
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")).drop("text")
 
 
+@query("op4_html_extraction")
+def op4(spark, sf_dir):
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extraction.extract(pages, extraction.fit(pages)).select(
+        "page_id", "url", "text", "n_chars")
+
+
 @query("op5_substring_dedup")
 def op5(spark, sf_dir):
     """Words of every document without passages that an earlier document has."""
@@ -60,6 +70,15 @@ def op6(spark, sf_dir):
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query("op7_language_id")
+def op7(spark, sf_dir):
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = languages.fit(docs)
+    return languages.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", is_held_out("doc_id").alias("held_out"), "lang_pred", "score", "accepted")
+
+
 @query("op8_token_id_output")
 def op8(spark, sf_dir):
     """Token files of all documents, read back."""
@@ -75,3 +94,12 @@ def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = rules.apply_stored(docs, table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept", "anomaly")
+
+
+@query("op10_quality_classifier")
+def op10(spark, sf_dir):
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = nbsvm.fit(docs, table(spark, sf_dir, "labels"))
+    return nbsvm.score(docs, model).select(
+        "doc_id", is_held_out("doc_id").alias("held_out"), "score", "predicted")

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from delaylens.llm.common import appended, cut, stored, with_fields
+from delaylens.llm.common import appended, cut, free_name, stored, with_fields
 from delaylens.llm.kernels import slices, texts_of
 
 SHINGLE = 3
@@ -324,15 +324,29 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def components(marked: DataFrame, doc_id="doc_id", fp="fp", bits=MAX_BITS, **sizes) -> DataFrame:
-    """Add ``component_id`` to rows that have a fingerprint."""
-    marked = stored(marked, "fingerprints")
+    """Add ``component_id`` and ``component_root`` (a fingerprint, never null) to marked rows."""
+    marked = stored(marked.drop("component_id", "component_root", "own_fp"), "fingerprints")
     distinct = stored(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("first_id")),
                       "distinct")
     total = distinct.count()
     roots = connected(links(distinct, total, bits, **sizes))
     placed = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = placed.join(smallest, "root").select(F.col("fp").alias("own_fp"), "component_id")
-    kept = marked.drop("component_id")
-    return kept.join(by_fp, kept[fp] == by_fp.own_fp).drop("own_fp")
+        "fp", "first_id", F.coalesce("root", "fp").alias("component_root"))
+    smallest = placed.groupBy("component_root").agg(F.min("first_id").alias("component_id"))
+    by_fp = placed.join(smallest, "component_root").select(
+        F.col("fp").alias("own_fp"), "component_id", "component_root")
+    return marked.join(by_fp, marked[fp] == by_fp.own_fp).drop("own_fp")
+
+
+def keep_one(docs: DataFrame, doc_id="doc_id", text="text", bits=MAX_BITS, size=SHINGLE,
+             **sizes) -> DataFrame:
+    """One document of each group: that of the smallest id (missing ids last), once if repeated."""
+    rid, th = free_name(docs, "rid"), free_name(docs, "th")
+    keyed = docs.withColumns({rid: F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1)),
+                              th: F.xxhash64(text)})
+    marked = fingerprints(keyed.select(F.col(rid).alias("rid"), F.col(th).alias("th"),
+                                       F.col(text).alias("text")), size=size)
+    first = components(marked, "rid", bits=bits, **sizes).groupBy("component_root").agg(
+        F.min(F.struct("rid", "th")).alias("one"))
+    ones = first.select(F.col("one.rid").alias(rid), F.col("one.th").alias(th))
+    return keyed.join(ones, [rid, th]).dropDuplicates([rid, th]).drop(rid, th)
