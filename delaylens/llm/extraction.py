@@ -25,8 +25,10 @@ from delaylens.llm.common import appended, with_fields
 from delaylens.llm.kernels import slices
 
 SAMPLE_PAGES = 400
+#: Copies of each sampled page in other layouts.
+RELAID = 3
 #: Sizes of the hashed path, the hashed words, the numbers, and the state of each direction.
-PATHS, WORDS, NUMBERS, HIDDEN = 128, 32, 5, 16
+PATHS, WORDS, NUMBERS, HIDDEN = 512, 32, 5, 16
 EPOCHS = 20
 BATCH = 32
 SEED = 3
@@ -329,8 +331,9 @@ def relaid(page, other, rng):
     for _ in range(int(rng.integers(0, 4))):
         parts.append(rng.choice([junk(), menu()]))
     if rng.random() < 0.5:
-        said = "".join(_inside(pick(['<div class="comment">', "<li>", "<div>"]), prose([b]), 0)
-                       for b in some(other, 4))
+        said = some(other, 4)
+        said = prose(said) if rng.random() < 0.4 else "".join(_inside(
+            pick(['<div class="comment">', "<li>", "<div>"]), prose([b]), 0) for b in said)
         parts.insert(len(parts) - int(rng.integers(0, 2)), _inside(pick(TALK), said, 0))
     whole = "".join(parts)
     return f'<div class="{pick(["wrap", "page", "container", "site"])}">{whole}</div>' if rng.random() < 0.5 else whole
@@ -365,7 +368,7 @@ def fit_on(sources):
         weak_labels(page)
     every = list(parsed)
     for page in parsed:
-        for _ in range(2):
+        for _ in range(RELAID):
             source = relaid(page, parsed[int(rng.integers(len(parsed)))], rng)
             if source:
                 again = blocks(source)
