@@ -12,11 +12,15 @@ from delaylens.session import scratch
 from delaylens.streaming import feeds
 
 
+#: Files of one poll, and files per batch: every stream runs over several batches.
+POLLS, FILES = 3, 2
+
+
 def _polls(docs, label):
-    """The documents in one landing folder, and the reports of each day a second time."""
+    """All documents twice in one landing folder of at least six files."""
     path = scratch(docs.sparkSession, label)
-    docs.write.json(path)
-    docs.write.mode("append").json(path)
+    for _ in range(2):
+        docs.repartition(POLLS).write.mode("append").json(path)
     return path
 
 
@@ -29,15 +33,15 @@ SELECT {', '.join(STATION_COLUMNS)} FROM (SELECT * FROM stations UNION ALL SELEC
 """))
 def streamed_observations(spark, sf):
     landing, target = _polls(station_reports(spark, sf), "polls"), scratch(spark, "observed")
-    _run(feeds.ingest_observations(spark, landing, target, scratch(spark, "offsets")))
+    _run(feeds.ingest_observations(spark, landing, target, scratch(spark, "offsets"), FILES))
     return spark.read.parquet(target).select(*STATION_COLUMNS)
 
 
 @query("streamed_forecasts", with_tables(extra=FORECASTS, body="SELECT * FROM periods"))
 def streamed_forecasts(spark, sf):
     landing, target = scratch(spark, "bulletins"), scratch(spark, "forecast")
-    forecast_docs(spark, sf).write.json(landing)
-    _run(feeds.ingest_forecasts(spark, landing, target, scratch(spark, "offsets")))
+    forecast_docs(spark, sf).repartition(2 * POLLS).write.json(landing)
+    _run(feeds.ingest_forecasts(spark, landing, target, scratch(spark, "offsets"), FILES))
     return spark.read.parquet(target).select(*FORECAST_COLUMNS)
 
 
@@ -46,7 +50,7 @@ SELECT icao_id, obs_time, count(*) OVER () AS total FROM (
   SELECT DISTINCT icao_id, obs_time FROM stations WHERE obs_time <> 'unreadable')"""))
 def streamed_without_repeats(spark, sf):
     landing, target = _polls(station_reports(spark, sf), "polls"), scratch(spark, "distinct")
-    _run(feeds.ingest_distinct(spark, landing, target, scratch(spark, "offsets")))
+    _run(feeds.ingest_distinct(spark, landing, target, scratch(spark, "offsets"), FILES))
     kept = spark.read.parquet(target).select("icao_id", "obs_time")
     return kept.withColumn("total", kept.agg(F.count(F.lit(1))).scalar())
 
@@ -57,7 +61,7 @@ SELECT {', '.join(STATION_COLUMNS)} FROM (SELECT *, row_number() OVER (PARTITION
   FROM stations) WHERE rn = 1"""))
 def streamed_latest_state(spark, sf):
     landing, state = _polls(station_reports(spark, sf), "polls"), scratch(spark, "state")
-    _run(feeds.latest_state(feeds.observations(spark, landing), state, scratch(spark, "offsets")))
+    _run(feeds.latest_state(feeds.observations(spark, landing, FILES), state, scratch(spark, "offsets")))
     return feeds.read_state(spark, state).select(*STATION_COLUMNS)
 
 
@@ -72,8 +76,9 @@ def streamed_airport_hours(spark, sf):
               (observations, staging.observation_hours)]
     for rows, shape in shapes:
         landing = scratch(spark, "feed")
-        rows.write.json(landing)
-        stream = spark.readStream.schema(rows.schema).json(landing)
+        rows.repartition(POLLS).write.json(landing)
+        stream = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+                  .json(landing))
         _run(feeds.stream_airport_hours(shape(stream), table, scratch(spark, "offsets")))
     return spark.read.parquet(table).select(
         "airport_id", "date_id", "hour_id", "temperature_c", "precipitation_mm",

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from catalog import base
 from catalog.base import query, with_tables
+from catalog.network import HUBS
+from catalog.reports import rounded
 from delaylens import schemas as S
 from delaylens.session import scratch
 from delaylens.sources import archives, delimited, tables, weather
@@ -89,10 +91,17 @@ SELECT flightdate AS date, origin AS airport, CAST(crsdeptime // 100 AS VARCHAR)
   CAST(count(*) FILTER (WHERE depdelay > 15) AS VARCHAR) AS delay_count,
   'opsnet' AS source_name, 'raw' AS ingestion_stage FROM ontime GROUP BY 1, 2, 3"""))
 def facility_counts_from_html(spark, sf):
-    """One HTML table per day, each with a three-level header."""
-    cells = [F.concat(F.lit("<td>"), F.col(c).cast("string"), F.lit("</td>"))
-             for c in ("Date", "Airport", "Local Hour", "Total Operations", "Delay Count")]
-    row = F.concat(F.lit("<tr>"), *cells, F.lit("<td></td></tr>"))
+    """One HTML table per day; odd days have a three-level header, even days another order."""
+    def line(*names):
+        return F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), F.col(c).cast("string"),
+                                                  F.lit("</td>")) for c in names],
+                        F.lit("<td></td></tr>"))
+
+    odd = F.dayofmonth(F.col("Date").cast("date")) % 2 == 1
+    row = F.when(odd, line("Date", "Airport", "Local Hour", "Total Operations", "Delay Count")
+                 ).otherwise(line("Airport", "Delay Count", "Date", "Total Operations", "Local Hour"))
+    other = ("<html><table><tr><th>Airport</th><th>Delay Count</th><th>Date</th>"
+             "<th>Total Operations</th><th>Local Hour</th><th>Notes</th></tr>")
     head = ("<html><table><tr><th colspan='3'>Where</th><th colspan='3'>Counts</th></tr>"
             "<tr><th rowspan='2'>Date</th><th rowspan='2'>Airport</th><th>Local</th>"
             "<th>Total</th><th>Delays</th><th></th></tr>"
@@ -102,7 +111,8 @@ def facility_counts_from_html(spark, sf):
     pages = _facility(spark, sf).groupBy("Date").agg(
         F.concat_ws("", F.collect_list(row)).alias("rows"))
     html = pages.select(
-        F.concat(F.lit(head), F.col("rows"), F.lit("</table></html>")).alias("value"),
+        F.concat(F.when(odd, head).otherwise(other), F.col("rows"), F.lit("</table></html>"))
+        .alias("value"),
         F.col("Date").alias("file"))
     path = scratch(spark, "facility-html")
     html.repartition("file").write.partitionBy("file").text(path)
@@ -358,18 +368,12 @@ def exported_scores(spark, sf):
     return tables.read_scores(spark, path)
 
 
-@query("exported_centrality", with_tables("routes", body="""
-SELECT airport, CAST(sum(o) AS DOUBLE) AS pagerank, CAST(sum(i) AS DOUBLE) AS betweenness FROM (
-  SELECT src AS airport, weight AS o, 0 AS i FROM routes UNION ALL SELECT dest, 0, weight
-  FROM routes) GROUP BY 1"""))
+@query("exported_centrality", with_tables(recursive=True, extra=HUBS, body="""
+SELECT airport, round(pagerank, 9) AS pagerank, round(betweenness, 9) AS betweenness FROM hubs"""))
 def exported_centrality(spark, sf):
-    from delaylens.operators import graph
-    s = graph.strength(graph.network(base.legs(spark, sf)))
     path = scratch(spark, "centrality")
-    tables.export_centrality(s.select(
-        "airport", F.col("total_departures").cast("double").alias("pagerank"),
-        F.col("total_arrivals").cast("double").alias("betweenness")), path)
-    return tables.read_centrality(spark, path)
+    tables.export_centrality(base.centrality(spark, sf), path)
+    return rounded(tables.read_centrality(spark, path), "pagerank", "betweenness")
 
 
 @query("exported_sample", with_tables("ontime", body="""

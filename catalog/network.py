@@ -92,8 +92,7 @@ CLOSE = f"""SELECT n.airport, round(coalesce((r.k - 1) * (r.k - 1)
       ON r.v = n.airport"""
 
 
-def edges(spark, sf):
-    return base.strong_edges(spark, sf)
+edges = base.edges
 
 
 @query("route_counts", with_tables("routes", body="SELECT * FROM routes"))
@@ -216,33 +215,26 @@ def centrality_correlation(spark, sf):
     return rounded(reports.corr_matrix(table, CORR), "corr", digits=6)
 
 
-@query("hub_subgraph", with_tables("edges", extra={**NODES, **STRENGTH, "hubs": (["strength"], """
-    SELECT airport FROM strength ORDER BY total_departures + total_arrivals DESC, airport
-    LIMIT 12""")}, body="""
+@query("hub_subgraph", with_tables("edges", extra={**NODES, **RANK, "hubs": (["pr"], """
+    SELECT airport FROM pr ORDER BY round(pagerank, 12) DESC, airport LIMIT 30""")},
+    recursive=True, body="""
 SELECT src, dest, weight, round(weight / max(weight) OVER (), 9) AS width FROM edges
 WHERE src IN (SELECT airport FROM hubs) AND dest IN (SELECT airport FROM hubs)"""))
 def hub_subgraph(spark, sf):
     e = edges(spark, sf)
-    hubs = reshape.top_k(graph.strength(e), "total_flights", 12, "airport")
-    return rounded(graph.subgraph(e, hubs), "width")
+    ranks = rounded(base.centrality(spark, sf), "pagerank", digits=12)
+    best = reshape.top_k(ranks, "pagerank", 30, "airport")
+    return rounded(graph.subgraph(e, best), "width")
 
 
 # --- airport tables -----------------------------------------------------------------
 
-HUBS = {"hubs": (["routes"], """SELECT airport, sum(o)::DOUBLE / 100000 AS pagerank,
-    sum(i)::DOUBLE / 50000 AS betweenness FROM (
-      SELECT src AS airport, weight AS o, 0 AS i FROM routes
-      UNION ALL SELECT dest, 0, weight FROM routes) GROUP BY 1""")}
+hubs = base.centrality
+HUBS = {**NODES, **RANK, **_distances("w", "weight"), **PATHS, "bt": (["nodes", "through"], _between()),
+        "hubs": (["pr", "bt"], "SELECT airport, pagerank, betweenness FROM pr JOIN bt USING (airport)")}
 
 
-def hubs(spark, sf):
-    """A centrality-shaped table with plain sums in it."""
-    s = graph.strength(graph.network(base.legs(spark, sf)))
-    return s.select("airport", (F.col("total_departures") / 100000).alias("pagerank"),
-                    (F.col("total_arrivals") / 50000).alias("betweenness"))
-
-
-@query("flights_with_centrality", with_tables("scores", extra={**HUBS, "big": (["hubs"], """
+@query("flights_with_centrality", with_tables("scores", recursive=True, extra={**HUBS, "big": (["hubs"], """
   SELECT * FROM hubs WHERE pagerank >= (SELECT avg(pagerank) FROM hubs)""")}, body="""
 SELECT flight_number, round(coalesce(o.pagerank, 0), 9) AS origin_pagerank,
   round(coalesce(o.betweenness, 0), 9) AS origin_betweenness,
@@ -261,7 +253,7 @@ RATES = {"rates": (["scores"], """SELECT "Origin" AS airport, avg(is_delayed) AS
     count(*) AS n FROM scores GROUP BY 1""")}
 
 
-@query("airport_delay_and_centrality", with_tables("scores", extra={**HUBS, **RATES}, body="""
+@query("airport_delay_and_centrality", with_tables("scores", recursive=True, extra={**HUBS, **RATES}, body="""
 SELECT airport, round(delay_rate, 9) AS delay_rate, n AS count, round(pagerank, 9) AS pagerank,
   round(betweenness, 9) AS betweenness FROM rates JOIN hubs USING (airport) WHERE n >= 300"""))
 def airport_delay_and_centrality(spark, sf):
@@ -269,7 +261,7 @@ def airport_delay_and_centrality(spark, sf):
                    "delay_rate", "pagerank", "betweenness")
 
 
-@query("map_airports", with_tables("scores", "airports", extra={**HUBS, **RATES}, body="""
+@query("map_airports", with_tables("scores", "airports", recursive=True, extra={**HUBS, **RATES}, body="""
 SELECT airport, lat, lon, round(pagerank, 9) AS pagerank,
   round(coalesce(CASE WHEN n >= 100 THEN delay_rate END, 0), 9) AS delay_rate
 FROM hubs JOIN airports USING (airport) LEFT JOIN rates USING (airport)
@@ -329,7 +321,7 @@ def route_miles(spark, sf):
                    digits=6)
 
 
-@query("state_delay_rates", with_tables("scores", "airports", extra={**HUBS, **RATES}, body="""
+@query("state_delay_rates", with_tables("scores", "airports", recursive=True, extra={**HUBS, **RATES}, body="""
 SELECT state, round(avg(coalesce(CASE WHEN n >= 100 THEN delay_rate END, 0)), 9) AS delay_rate,
   string_agg(airport, ', ' ORDER BY airport) AS airports
 FROM hubs JOIN airports USING (airport) LEFT JOIN rates USING (airport)
@@ -339,7 +331,7 @@ def state_delay_rates(spark, sf):
     return rounded(reports.state_rates(_map(spark, sf), states), "delay_rate")
 
 
-@query("airport_names", with_tables("airports", extra=HUBS, body="""
+@query("airport_names", with_tables("airports", recursive=True, extra=HUBS, body="""
 SELECT h.airport, coalesce(a.name, h.airport) AS name
 FROM hubs h LEFT JOIN airports a USING (airport)"""))
 def airport_names(spark, sf):
@@ -347,7 +339,7 @@ def airport_names(spark, sf):
     return joins.with_label(hubs(spark, sf).select("airport"), "airport", named, "name")
 
 
-@query("top_hubs", with_tables(extra=HUBS, body="""
+@query("top_hubs", with_tables(recursive=True, extra=HUBS, body="""
 SELECT airport, round(pagerank, 9) AS pagerank FROM (
   SELECT * FROM hubs ORDER BY pagerank DESC, airport LIMIT 20)"""))
 def top_hubs(spark, sf):
@@ -355,7 +347,7 @@ def top_hubs(spark, sf):
     return rounded(best.select("airport", "pagerank"), "pagerank")
 
 
-@query("airport_risk_matrix", with_tables("scores", extra={**HUBS, **RATES,
+@query("airport_risk_matrix", with_tables("scores", recursive=True, extra={**HUBS, **RATES,
     "m": (["rates", "hubs"], """SELECT airport, delay_rate, n, pagerank FROM rates
         JOIN hubs USING (airport) WHERE n >= 50"""),
     "q": (["m"], """SELECT *, CASE

@@ -176,7 +176,7 @@ def _forms(spark, sf):
                                   USED), medians
 
 
-@query("completed_scenarios", with_tables(extra={**HUBS, **FORM}, body="""
+@query("completed_scenarios", with_tables(recursive=True, extra={**HUBS, **FORM}, body="""
 SELECT scenario, "Origin", "Dest", flight_month, day_of_week, scheduled_dep_hour,
   round(miles, 6) AS "Distance", round(temperature_c, 9) AS temperature_c, wind_speed_knots,
   round(origin_pagerank, 9) AS origin_pagerank, round(dest_betweenness, 9) AS dest_betweenness
@@ -190,7 +190,7 @@ def completed_scenarios(spark, sf):
 WEIGHTS = {"scheduled_dep_hour": 0.142, "temperature_c": 0.015, "wind_speed_knots": 0.021}
 
 
-@query("scenario_drivers", with_tables(extra={**HUBS, **FORM, "long": (["form", "med"],
+@query("scenario_drivers", with_tables(recursive=True, extra={**HUBS, **FORM, "long": (["form", "med"],
     " UNION ALL ".join(f"""SELECT scenario, '{c}' AS feature, {c} AS value, {w}::DOUBLE AS importance,
       (SELECT median FROM med WHERE feature = '{c}') AS median FROM form"""
                        for c, w in WEIGHTS.items()))}, body="""

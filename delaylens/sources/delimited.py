@@ -97,8 +97,9 @@ def read_html_rows(spark, paths, preferred=S.FACILITY_COLUMNS, source=S.FACILITY
                    name_rule=snake_name) -> DataFrame:
     """First table of each well-formed HTML file, header levels flattened.
 
-    One export file is one spreadsheet, so a table fits a row; its rows are
-    spread again right away. Columns without any value are dropped.
+    Each file is read by its own header. One export file is one spreadsheet, so a
+    table fits a row; its rows are spread again right away. Columns without any
+    value in all files are dropped. The driver sees each distinct header once.
     """
     tables = spark.read.format("xml").schema(_TABLE).option("rowTag", "table").load(_paths(paths))
     none = F.array().cast(f"array<{_ROW}>")
@@ -108,13 +109,20 @@ def read_html_rows(spark, paths, preferred=S.FACILITY_COLUMNS, source=S.FACILITY
                            F.col("_metadata.file_name").alias("source_file"), rows.alias("rows"),
                            F.monotonically_increasing_id().alias("_seq"))
              .groupBy("_path", "source_file").agg(F.min_by("rows", "_seq").alias("rows")))
-    lines = first.select("source_file", F.posexplode("rows").alias("_at", "_row"))
-    head = (first.select(F.filter("rows", lambda r: F.coalesce(F.size(r["th"]), F.lit(0)) > 0)
-                         .alias("head")).limit(1).collect())
-    names = _column_names([r["th"] for r in head[0]["head"]]) if head else []
-    cells = lines.where(F.size("_row.td") > 0).select(
-        "source_file", *[F.nullif(F.trim(F.get("_row.td", F.lit(i))), F.lit("")).alias(n)
-                         for i, n in enumerate(names)])
+    head = F.transform(F.filter("rows", lambda r: F.coalesce(F.size(r["th"]), F.lit(0)) > 0),
+                       lambda r: r["th"])
+    headed = first.withColumn("_layout", F.to_json(head))
+    layouts = {r["_layout"]: _column_names(r["head"]) for r in headed.select(
+        "_layout", head.alias("head")).distinct().collect()}
+    names = list(dict.fromkeys(n for of_file in layouts.values() for n in of_file))
+    # one small row per layout
+    known = F.broadcast(spark.createDataFrame(
+        list(layouts.items()), "_layout string, _names array<string>"))
+    lines = headed.join(known, "_layout").select(
+        "source_file", "_names", F.explode("rows").alias("_row"))
+    cells = lines.where(F.size("_row.td") > 0).select("source_file", *[
+        F.nullif(F.trim(F.get("_row.td", F.array_position("_names", F.lit(n)).cast("int") - 1)),
+                 F.lit("")).alias(n) for n in names])
     filled = cells.agg(*[F.count(f"`{n}`").alias(n) for n in names]).first() if names else {}
     kept = [n for n in names if filled[n] > 0]
     kept = [n for n in kept if n in preferred] or kept

@@ -1,5 +1,6 @@
 """Table reads and writes: modes, idempotent loads, exports."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from delaylens import schemas as S
@@ -14,9 +15,14 @@ def read_columns(spark: SparkSession, path, columns) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)
+    """Whether the path exists; only its listing is looked at."""
+    try:
+        spark.read.text(path)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def write_table(df: DataFrame, path, mode="TRUNCATE", partition_by=()) -> None:

@@ -11,13 +11,24 @@ from delaylens.sources import weather
 from delaylens.sources.tables import replace_partitions, table_exists
 
 
-def observations(spark: SparkSession, folder) -> DataFrame:
-    """Stream of station reports from JSON files; empty files add nothing."""
-    return weather.flatten_observations(spark.readStream.schema(S.OBSERVATION_SCHEMA).json(folder))
+def _landing(spark, schema, folder, files_per_batch):
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(folder)
 
 
-def forecasts(spark: SparkSession, folder) -> DataFrame:
-    return weather.flatten_forecasts(spark.readStream.schema(S.FORECAST_SCHEMA).json(folder))
+def observations(spark: SparkSession, folder, files_per_batch=None) -> DataFrame:
+    """Stream of station reports from JSON files; empty files add nothing.
+
+    ``files_per_batch`` bounds a batch, so that a backlog is worked off in steps.
+    """
+    return weather.flatten_observations(
+        _landing(spark, S.OBSERVATION_SCHEMA, folder, files_per_batch))
+
+
+def forecasts(spark: SparkSession, folder, files_per_batch=None) -> DataFrame:
+    return weather.flatten_forecasts(_landing(spark, S.FORECAST_SCHEMA, folder, files_per_batch))
 
 
 def _append(stream, target, checkpoint) -> StreamingQuery:
@@ -25,27 +36,42 @@ def _append(stream, target, checkpoint) -> StreamingQuery:
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target))
 
 
-def ingest_observations(spark, folder, target, checkpoint) -> StreamingQuery:
-    return _append(observations(spark, folder), target, checkpoint)
+def ingest_observations(spark, folder, target, checkpoint, files_per_batch=None) -> StreamingQuery:
+    return _append(observations(spark, folder, files_per_batch), target, checkpoint)
+
 
+def ingest_forecasts(spark, folder, target, checkpoint, files_per_batch=None) -> StreamingQuery:
+    return _append(forecasts(spark, folder, files_per_batch), target, checkpoint)
 
-def ingest_forecasts(spark, folder, target, checkpoint) -> StreamingQuery:
-    return _append(forecasts(spark, folder), target, checkpoint)
 
+# --- one row per report ---------------------------------------------------------
 
-def drop_repeats(stream: DataFrame, key=("icao_id", "obs_time"), time="obs_time",
-                 delay="2 hours") -> DataFrame:
-    """Drop reports that arrive again within the look-back of later polls.
+DISTINCT_KEY = ("icao_id", "obs_time")
 
-    State is kept only as long as the delay.
+
+def add_distinct(rows: DataFrame, table, key=DISTINCT_KEY, time="obs_time") -> None:
+    """Append the reports that the table does not have yet, however late they are.
+
+    The table has one partition per day of the report; only the days of the batch
+    are compared. A repeated batch finds its rows there and adds nothing. Reports
+    without a readable time are left out.
     """
-    timed = stream.withColumn("event_time", F.col(time).try_cast("timestamp"))
-    return (timed.where(F.col("event_time").isNotNull()).withWatermark("event_time", delay)
-            .dropDuplicatesWithinWatermark(list(key)))
+    spark = rows.sparkSession
+    day = F.col(time).try_cast("timestamp").cast("date")
+    fresh = cut(rows.withColumn("report_day", day).where(F.col("report_day").isNotNull())
+                .dropDuplicates(list(key)))
+    if table_exists(spark, table):
+        days = fresh.select("report_day").distinct()
+        seen = spark.read.parquet(table).join(days, "report_day", "left_semi").select(*key)
+        fresh = fresh.join(seen, list(key), "left_anti")
+    fresh.write.mode("append").partitionBy("report_day").parquet(table)
 
 
-def ingest_distinct(spark, folder, target, checkpoint, delay="2 hours") -> StreamingQuery:
-    return _append(drop_repeats(observations(spark, folder), delay=delay), target, checkpoint)
+def ingest_distinct(spark, folder, target, checkpoint, files_per_batch=None) -> StreamingQuery:
+    """Every distinct report once, in whatever batch it first arrives."""
+    stream = observations(spark, folder, files_per_batch)
+    return (stream.writeStream.foreachBatch(lambda batch, _: add_distinct(batch, target))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 # --- latest state per airport --------------------------------------------------
@@ -62,20 +88,23 @@ def latest_observations(rows: DataFrame) -> DataFrame:
 def read_state(spark: SparkSession, folder) -> DataFrame:
     """The state after the last finished batch."""
     rows = spark.read.parquet(folder)
-    return rows.where(F.col("batch") == rows.agg(F.max("batch")).scalar()).drop("batch")
+    newest = rows.where(F.col("batch") == rows.agg(F.max("batch")).scalar())
+    return newest.drop("batch", "slot")
 
 
 def latest_state(stream: DataFrame, folder, checkpoint) -> StreamingQuery:
-    """Keep one row per airport. Each batch writes a new version of the small state
-    next to the old one, so a repeated batch gives the same result."""
+    """Keep one row per airport. Each batch writes a new version of the small state in
+    place of the last but one, so a repeated batch gives the same result and two
+    versions are kept."""
     def merge(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
         if table_exists(spark, folder):
             older = spark.read.parquet(folder).where(F.col("batch") < batch_id)
-            seen = older.where(F.col("batch") == older.agg(F.max("batch")).scalar()).drop("batch")
-            batch = batch.unionByName(seen)
-        state = latest_observations(batch).withColumn("batch", F.lit(batch_id))
-        replace_partitions(state, folder, "batch")
+            seen = older.where(F.col("batch") == older.agg(F.max("batch")).scalar())
+            batch = batch.unionByName(seen.drop("batch", "slot"))
+        state = latest_observations(batch).withColumns(
+            {"batch": F.lit(batch_id), "slot": F.lit(batch_id % 2)})
+        replace_partitions(state, folder, "slot")
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -93,9 +122,8 @@ def upsert_airport_hours(rows: DataFrame, table) -> None:
     spark = rows.sparkSession
     merged = cut(best_source(rows))
     if table_exists(spark, table):
-        # the days of one batch: bounded by the calendar
-        days = [r[0] for r in merged.select("date_id").distinct().collect()]
-        present = spark.read.parquet(table).where(F.col("date_id").isin(days))
+        days = merged.select("date_id").distinct()
+        present = spark.read.parquet(table).join(days, "date_id", "left_semi")
         merged = cut(best_source(merged.unionByName(present)))
     replace_partitions(merged, table, "date_id")
 

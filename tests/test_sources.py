@@ -63,6 +63,17 @@ def test_html_table(spark, tmp_path):
         ("2024-01-01", "10"), ("2024-01-02", "11")]
 
 
+def test_html_files_keep_their_own_headers(spark, tmp_path):
+    write(tmp_path / "a.xls", "<table><tr><th>Date</th><th>Airport</th><th>Total Operations</th></tr>"
+          "<tr><td>2024-01-01</td><td>ATL</td><td>7</td></tr></table>")
+    write(tmp_path / "b.xls", "<table><tr><th>Airport</th><th>Date</th><th>Delay Count</th></tr>"
+          "<tr><td>JFK</td><td>2024-01-02</td><td>3</td></tr></table>")
+    df = delimited.read_html_rows(spark, str(tmp_path))
+    assert sorted((r["date"], r["airport"], r["total_operations"], r["delay_count"])
+                  for r in df.collect()) == [
+        ("2024-01-01", "ATL", "7", None), ("2024-01-02", "JFK", None, "3")]
+
+
 def test_zip_archives(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "good.zip", "w") as z:
         z.writestr("about.html", "x")
@@ -220,6 +231,25 @@ def test_polls_are_appended_and_repeats_dropped(spark, tmp_path):
         ("KATL", "01"), ("KATL", "31"), ("KLAX", "01")]
 
 
+def test_late_reports_are_kept_in_any_order_of_batches(spark, tmp_path):
+    landing = tmp_path / "in"
+
+    def run():
+        feeds.ingest_distinct(spark, str(landing), str(tmp_path / "once"), str(tmp_path / "c"),
+                              files_per_batch=1).awaitTermination()
+
+    days = ["2024-01-10", "2024-01-05", "2024-01-01"]
+    for k, day in enumerate(days):
+        rows = [dict(report("KATL", 1, 1.0, "05:05"), reportTime=f"{day}T05:01:00")]
+        land(landing, f"{k}.json", rows + rows)
+        run()
+    land(landing, "again.json", [dict(report("KATL", 1, 1.0, "05:05"), reportTime=f"{d}T05:01:00")
+                                 for d in days])
+    run()
+    got = spark.read.parquet(str(tmp_path / "once")).collect()
+    assert sorted(r["obs_time"][:10] for r in got) == sorted(days)
+
+
 def test_latest_state_over_several_runs(spark, tmp_path):
     landing, state = tmp_path / "in", str(tmp_path / "state")
 
