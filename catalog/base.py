@@ -169,7 +169,7 @@ def scores(spark, sf_dir) -> DataFrame:
         C.risk_label(points / 1250.0).alias("risk_label"),
         F.when(points / 1250.0 >= 0.5, 1).otherwise(0).alias("prediction"),
         "temperature_c", "precipitation_mm", "wind_speed_knots", "cloud_cover_total_pct",
-        "flight_month", "day_of_week", "weather_delay_mins")
+        "cloud_cover_low_pct", "flight_month", "day_of_week", "weather_delay_mins")
 
 
 def edges(spark, sf_dir) -> DataFrame:
@@ -346,8 +346,8 @@ CTES = {
                  THEN 'Medium'
                WHEN points / 1250.0::DOUBLE > 0.6::DOUBLE THEN 'High' END AS risk_label,
           CASE WHEN points / 1250.0::DOUBLE >= 0.5 THEN 1 ELSE 0 END AS prediction,
-          temperature_c, precipitation_mm, wind_speed_knots, cloud_cover_total_pct, flight_month,
-          day_of_week, weather_delay_mins
+          temperature_c, precipitation_mm, wind_speed_knots, cloud_cover_total_pct,
+          cloud_cover_low_pct, flight_month, day_of_week, weather_delay_mins
         FROM (SELECT *, CASE WHEN dep_delay_minutes > 15 THEN 1 ELSE 0 END AS is_delayed,
             ('0x' || substr(md5(CAST(flight_number AS VARCHAR)), 1, 8))::BIGINT % 1001
             + 250 * CASE WHEN dep_delay_minutes > 15 THEN 1 ELSE 0 END AS points

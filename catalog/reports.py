@@ -230,9 +230,9 @@ def cancellation_kpi(spark, sf):
 @query("cancellation_kpi_of_listed_airlines", with_tables("ontime", body=_kpi_body("""
   SELECT reporting_airline, count(*) FILTER (WHERE cancelled = 1) AS cancelled, count(*) AS total
   FROM ontime GROUP BY 1 HAVING count(*) >= 500
-  ORDER BY count(*) FILTER (WHERE cancelled = 1) / count(*) DESC, 1 LIMIT 2""")))
+  ORDER BY count(*) FILTER (WHERE cancelled = 1) / count(*) DESC, 1 LIMIT 20""")))
 def cancellation_kpi_of_listed_airlines(spark, sf):
-    return rounded(reports.cancellation_kpi_listed(base.ontime(spark, sf), k=2), "cancel_rate")
+    return rounded(reports.cancellation_kpi_listed(base.ontime(spark, sf)), "cancel_rate")
 
 
 @query("mean_delay_by_weekday", with_tables("ontime", body="""
@@ -252,8 +252,11 @@ def mean_delay_by_hour(spark, sf):
     return rounded(reports.mean_delay_by_hour(base.ontime(spark, sf)), "mean_delay")
 
 
-PROFILED = ["depdelay", "arrdelay", "cancelled", "cancellationcode", "tail_number", "weatherdelay",
-            "nasdelay", "origin"]
+PROFILED = [
+    "flightdate", "year", "month", "dayofmonth", "reporting_airline",
+    "flight_number_reporting_airline", "tail_number", "origin", "dest", "crsdeptime", "deptime",
+    "arrtime", "depdelay", "arrdelay", "cancelled", "cancellationcode", "diverted", "distance",
+    "carrierdelay", "weatherdelay", "nasdelay", "securitydelay", "lateaircraftdelay"]
 
 
 @query("missing_values", with_tables("ontime", body=" UNION ALL ".join(

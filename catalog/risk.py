@@ -7,30 +7,54 @@ from catalog.base import query, with_tables
 from catalog.network import HUBS, hubs
 from catalog.reports import rounded
 from delaylens import schemas as S
-from delaylens.operators import quantiles, reports, reshape, risk
-from delaylens.plans import fact as plan, scoring
+from delaylens.operators import quantiles, reshape, risk
+from delaylens.plans import scoring
+from delaylens.session import cut
 
 # Model sizes for the registered queries; the library defaults are larger.
 SMALL = scoring.Settings(logistic_iterations=50, forest_trees=20, forest_depth=8,
                          boosted_rounds=10, min_leaf=20)
-MEASURES = ["temperature_c", "precipitation_mm", "wind_speed_knots", "cloud_cover_total_pct"]
+MEASURES = ["temperature_c", "precipitation_mm", "wind_speed_knots", "cloud_cover_total_pct",
+            "cloud_cover_low_pct"]
+PLAIN = [c for c in S.FEATURE_COLUMNS if c.startswith(("rolling", "wind_speed_d", "lag", "dest_prev"))]
 
-
-@query("feature_medians", with_tables("joined", body=" UNION ALL ".join(
-    f"SELECT '{c}' AS feature, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 9) AS median "
-    "FROM joined" for c in [*MEASURES, "distance_miles", "dep_delay_minutes"])))
+#: The model frame: operated flights with all features, none missing.
+FEATURES = {**HUBS, "feat": (["fact", "hubs"], f"""
+    SELECT flight_id, origin_airport_id AS "Origin", dest_airport_id AS "Dest",
+      CAST(flight_month AS DOUBLE) AS flight_month, CAST(day_of_week AS DOUBLE) AS day_of_week,
+      CAST(hour_id AS DOUBLE) AS scheduled_dep_hour, CAST(distance_miles AS DOUBLE) AS "Distance",
+      coalesce(temperature_c, 24.5) AS temperature_c,
+      coalesce(precipitation_mm, 0) AS precipitation_mm,
+      coalesce(wind_speed_knots, 5) AS wind_speed_knots,
+      CAST(coalesce(cloud_cover_total_pct, 22) AS DOUBLE) AS cloud_cover_total_pct,
+      CAST(coalesce(cloud_cover_low_pct, 0) AS DOUBLE) AS cloud_cover_low_pct,
+      {', '.join(f'CAST(coalesce({c}, 0) AS DOUBLE) AS {c}' for c in PLAIN)},
+      {', '.join(f"coalesce({a}.{m}, 0) AS {side}_{m}" for a, side in (("ho", "origin"), ("hd", "dest"))
+                 for m in ("pagerank", "betweenness"))},
+      dep_delay_minutes, CASE WHEN dep_delay_minutes > 15 THEN 1 ELSE 0 END AS is_delayed
+    FROM fact LEFT JOIN hubs ho ON origin_airport_id = ho.airport
+      LEFT JOIN hubs hd ON dest_airport_id = hd.airport WHERE is_cancelled = FALSE""")}
+
+
+def frame(spark, sf):
+    """The model frame, written once for all queries on it."""
+    return base.once(spark, sf, "frame", lambda: scoring.feature_frame(
+        base.fact(spark, sf), hubs(spark, sf)))
+
+
+@query("feature_medians", with_tables(recursive=True, extra=FEATURES, body=" UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, round(quantile_cont("{c}", 0.5), 9) AS median FROM feat"""
+    for c in S.FEATURE_COLUMNS)))
 def feature_medians(spark, sf):
-    from delaylens.operators import joins
-    j = joins.join_weather(base.stg_flights(spark, sf), base.stg_weather(spark, sf))
-    return rounded(quantiles.medians(j, [*MEASURES, "distance_miles", "dep_delay_minutes"]),
-                   "median")
+    return rounded(quantiles.medians(frame(spark, sf), S.FEATURE_COLUMNS), "median")
 
 
 @query("constant_imputation", with_tables("scores", body="""
 SELECT flight_number, coalesce(temperature_c, 24.5) AS temperature_c,
   coalesce(precipitation_mm, 0) AS precipitation_mm,
   coalesce(wind_speed_knots, 5) AS wind_speed_knots,
-  coalesce(cloud_cover_total_pct, 22) AS cloud_cover_total_pct FROM scores"""))
+  coalesce(cloud_cover_total_pct, 22) AS cloud_cover_total_pct,
+  coalesce(cloud_cover_low_pct, 0) AS cloud_cover_low_pct FROM scores"""))
 def constant_imputation(spark, sf):
     filled = reshape.impute(base.scores(spark, sf), S.WEATHER_MEDIANS)
     return filled.select("flight_number", *MEASURES)
@@ -71,14 +95,14 @@ def class_weights(spark, sf):
     return rounded(risk.class_weights(base.scores(spark, sf)), "weight")
 
 
-@query("standardised_features", with_tables("scores", body="SELECT flight_number, " + ", ".join(
-    f'round((s."{c}" - (SELECT avg("{c}") FROM scores)) '
-    f'/ (SELECT stddev_pop("{c}") FROM scores), 7) AS "{c}"'
-    for c in ("Distance", "dep_delay_minutes", "scheduled_dep_hour")) + " FROM scores s"))
+@query("standardised_features", with_tables(recursive=True, extra=FEATURES, body="""
+SELECT flight_id, """ + ", ".join(
+    f'round(coalesce((f."{c}" - (SELECT avg("{c}") FROM feat)) '
+    f'/ nullif((SELECT stddev_pop("{c}") FROM feat), 0), 0), 6) AS "{c}"'
+    for c in S.FEATURE_COLUMNS) + " FROM feat f"))
 def standardised_features(spark, sf):
-    names = ["Distance", "dep_delay_minutes", "scheduled_dep_hour"]
-    out = risk.standardise(base.scores(spark, sf), names)
-    return rounded(out.select("flight_number", *names), *names, digits=7)
+    out = risk.standardise(frame(spark, sf), S.FEATURE_COLUMNS)
+    return rounded(out.select("flight_id", *S.FEATURE_COLUMNS), *S.FEATURE_COLUMNS, digits=6)
 
 
 @query("confusion_matrix", with_tables("scores", body="""
@@ -145,85 +169,89 @@ def mean_absolute_error(spark, sf):
 
 # --- scenarios: every scored flight is taken as one form ---------------------------------
 
-FORM = {"form": (["scores", "hubs", "airports", "med"], """
-    SELECT flight_number AS scenario, s."Origin", s."Dest",
-      CAST(flight_month AS DOUBLE) AS flight_month, CAST(day_of_week AS DOUBLE) AS day_of_week,
-      CAST(scheduled_dep_hour AS DOUBLE) AS scheduled_dep_hour,
-      2 * 3958.8 * asin(sqrt(pow(sin(radians(d.lat - o.lat) / 2), 2)
-        + cos(radians(o.lat)) * cos(radians(d.lat)) * pow(sin(radians(d.lon - o.lon) / 2), 2)))
-        AS miles,
-      coalesce(temperature_c, (SELECT median FROM med WHERE feature = 'temperature_c'), 0)
-        AS temperature_c,
-      coalesce(wind_speed_knots, (SELECT median FROM med WHERE feature = 'wind_speed_knots'), 0)
-        AS wind_speed_knots,
-      coalesce(ho.pagerank, 0) AS origin_pagerank, coalesce(hd.betweenness, 0) AS dest_betweenness
-    FROM scores s LEFT JOIN airports o ON s."Origin" = o.airport
-      LEFT JOIN airports d ON s."Dest" = d.airport
-      LEFT JOIN hubs ho ON s."Origin" = ho.airport LEFT JOIN hubs hd ON s."Dest" = hd.airport"""),
-    "med": (["scores"], " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median FROM scores"
-        for c in ("temperature_c", "wind_speed_knots", "scheduled_dep_hour")))}
-USED = ["flight_month", "day_of_week", "scheduled_dep_hour", "Distance", "temperature_c",
-        "wind_speed_knots", "origin_pagerank", "dest_betweenness"]
+GIVEN = ["flight_month", "day_of_week", "scheduled_dep_hour", "temperature_c", "wind_speed_knots"]
+HUB_COLUMNS = ["origin_pagerank", "origin_betweenness", "dest_pagerank", "dest_betweenness"]
+
+
+def _form_column(c):
+    middle = f"(SELECT median FROM med WHERE feature = '{c}')"
+    if c == "Distance":
+        return f"coalesce(miles, {middle}) AS \"Distance\""
+    if c in HUB_COLUMNS:
+        side, measure = c.split("_")
+        return f"coalesce({'ho' if side == 'origin' else 'hd'}.{measure}, 0) AS {c}"
+    given = f"CAST(s.{c} AS DOUBLE), " if c in GIVEN else ""
+    return f"coalesce({given}{middle}, 0) AS {c}"
+
+
+FORM = {**FEATURES, "med": (["feat"], " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, quantile_cont("{c}", 0.5) AS median FROM feat"""
+    for c in S.FEATURE_COLUMNS)),
+    "miles": (["scores", "airports"], """SELECT s.*, 2 * 3958.8 * asin(sqrt(
+        pow(sin(radians(d.lat - o.lat) / 2), 2) + cos(radians(o.lat)) * cos(radians(d.lat))
+          * pow(sin(radians(d.lon - o.lon) / 2), 2))) AS miles
+      FROM scores s LEFT JOIN airports o ON s."Origin" = o.airport
+        LEFT JOIN airports d ON s."Dest" = d.airport"""),
+    "form": (["miles", "hubs", "med"], f"""
+      SELECT flight_number AS scenario, s."Origin", s."Dest",
+        {', '.join(map(_form_column, S.FEATURE_COLUMNS))}
+      FROM miles s LEFT JOIN hubs ho ON s."Origin" = ho.airport
+        LEFT JOIN hubs hd ON s."Dest" = hd.airport""")}
 
 
 def _forms(spark, sf):
-    s = base.scores(spark, sf)
-    medians = quantiles.medians(s, ["temperature_c", "wind_speed_knots", "scheduled_dep_hour"])
-    forms = s.select(F.col("flight_number").alias("scenario"), "Origin", "Dest", "flight_month",
-                     "day_of_week", "scheduled_dep_hour", "temperature_c", "wind_speed_knots")
-    return risk.complete_features(forms, medians, hubs(spark, sf), base.airports(spark, sf),
-                                  USED), medians
-
-
-@query("completed_scenarios", with_tables(recursive=True, extra={**HUBS, **FORM}, body="""
-SELECT scenario, "Origin", "Dest", flight_month, day_of_week, scheduled_dep_hour,
-  round(miles, 6) AS "Distance", round(temperature_c, 9) AS temperature_c, wind_speed_knots,
-  round(origin_pagerank, 9) AS origin_pagerank, round(dest_betweenness, 9) AS dest_betweenness
-FROM form"""))
+    medians = cut(quantiles.medians(frame(spark, sf), S.FEATURE_COLUMNS))
+    forms = base.scores(spark, sf).select(F.col("flight_number").alias("scenario"), "Origin", "Dest",
+                                          *GIVEN)
+    return risk.complete_features(forms, medians, hubs(spark, sf), base.airports(spark, sf)), medians
+
+
+@query("completed_scenarios", with_tables(recursive=True, extra=FORM, body="""
+SELECT scenario, "Origin", "Dest", """ + ", ".join(
+    f'round("{c}", 6) AS "{c}"' for c in S.FEATURE_COLUMNS) + " FROM form"))
 def completed_scenarios(spark, sf):
     full, _ = _forms(spark, sf)
-    return rounded(rounded(full, "Distance", digits=6), "temperature_c", "origin_pagerank",
-                   "dest_betweenness")
+    return rounded(full, *S.FEATURE_COLUMNS, digits=6)
 
 
-WEIGHTS = {"scheduled_dep_hour": 0.142, "temperature_c": 0.015, "wind_speed_knots": 0.021}
+#: Made-up importances, one per feature.
+WEIGHTS = {c: (i * 7 % 19 + 1) / 200 for i, c in enumerate(S.FEATURE_COLUMNS)}
 
 
-@query("scenario_drivers", with_tables(recursive=True, extra={**HUBS, **FORM, "long": (["form", "med"],
-    " UNION ALL ".join(f"""SELECT scenario, '{c}' AS feature, {c} AS value, {w}::DOUBLE AS importance,
-      (SELECT median FROM med WHERE feature = '{c}') AS median FROM form"""
+@query("scenario_drivers", with_tables(recursive=True, extra={**FORM, "long": (["form", "med"],
+    " UNION ALL ".join(f"""SELECT scenario, '{c}' AS feature, "{c}" AS value,
+      {w}::DOUBLE AS importance, (SELECT median FROM med WHERE feature = '{c}') AS median FROM form"""
                        for c, w in WEIGHTS.items()))}, body="""
-SELECT scenario, feature, round(value, 9) AS value, importance, round(median, 9) AS median,
-  round(contribution, 9) AS contribution FROM (
+SELECT scenario, feature, round(value, 6) AS value, importance, round(median, 6) AS median,
+  round(contribution, 6) AS contribution FROM (
   SELECT *, row_number() OVER (PARTITION BY scenario ORDER BY abs(contribution) DESC, feature) AS rn
   FROM (SELECT *, (value - median) / greatest(abs(median), 1) * importance AS contribution
-    FROM long)) WHERE rn <= 2"""))
+    FROM long)) WHERE rn <= 10"""))
 def scenario_drivers(spark, sf):
     full, medians = _forms(spark, sf)
     weights = spark.createDataFrame(list(WEIGHTS.items()), "feature string, importance double")
-    out = risk.drivers(full, medians, weights, 2, list(WEIGHTS))
-    return rounded(out, "value", "median", "contribution")
+    return rounded(risk.drivers(full, medians, weights, 10), "value", "median", "contribution",
+                   digits=6)
 
 
-# --- models: rows only ---------------------------------------------------------------
-
-def _frame(spark, sf):
-    frame = scoring.feature_frame(base.fact(spark, sf), hubs(spark, sf))
-    return risk.stratified_split(frame, "is_delayed", "flight_id")
-
+# --- models ----------------------------------------------------------------------------
 
 def _parts(spark, sf):
-    from delaylens.session import stored
-    split = stored(_frame(spark, sf), "features")
+    split = base.once(spark, sf, "split", lambda: risk.stratified_split(
+        frame(spark, sf), "is_delayed", "flight_id"))
     return split.where("split = 'train'"), split.where("split = 'test'"), split
 
 
-@query("feature_vectors")
+@query("feature_vectors", with_tables(recursive=True, extra=FEATURES, body="SELECT flight_id, "
+       + ", ".join(f'round("{c}", 6) AS f{i}' for i, c in enumerate(S.FEATURE_COLUMNS))
+       + ", CAST(is_delayed AS INTEGER) AS is_delayed FROM feat"))
 def feature_vectors(spark, sf):
     from pyspark.ml.functions import vector_to_array
-    out = scoring.assembler().transform(_frame(spark, sf))
-    return out.select("flight_id", vector_to_array("features").alias("features"), "is_delayed")
+    out = scoring.assembler().transform(frame(spark, sf)).withColumn(
+        "v", vector_to_array("features"))
+    return out.select("flight_id", *[F.round(F.col("v")[i], 6).alias(f"f{i}")
+                                     for i in range(len(S.FEATURE_COLUMNS))],
+                      F.col("is_delayed").cast("int").alias("is_delayed"))
 
 
 @query("model_comparison")

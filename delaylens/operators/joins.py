@@ -67,7 +67,8 @@ def with_label(df: DataFrame, code, dimension: DataFrame, label, keep_unknown=Tr
 
 
 def code_table(spark, names: dict) -> DataFrame:
-    return spark.createDataFrame(list(names.items()), "code string, label string")
+    """A literal table; the hint holds for the few codes of a Python dict only."""
+    return F.broadcast(spark.createDataFrame(list(names.items()), "code string, label string"))
 
 
 def airport_delay(flights: DataFrame, centrality: DataFrame, min_n=300) -> DataFrame:
@@ -81,10 +82,6 @@ def _airport_rates(flights, min_n):
             .where(F.col("count") >= min_n))
 
 
-def airport_rates(flights: DataFrame, min_n=100) -> DataFrame:
-    return _airport_rates(flights, min_n)
-
-
 def with_delay_rate(airports: DataFrame, flights: DataFrame, min_n=100) -> DataFrame:
     rates = _airport_rates(flights, min_n).select("airport", "delay_rate")
     return airports.join(rates, "airport", "left").fillna(0.0, ["delay_rate"])

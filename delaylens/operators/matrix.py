@@ -3,14 +3,16 @@
 from pyspark.sql import DataFrame, functions as F
 
 from delaylens import schemas as S
+from delaylens.session import cut
 
 
 def risk_matrix(airports: DataFrame) -> DataFrame:
     """Quadrant, label flag and marker size per airport.
 
     The input has one row per airport (airport, pagerank, delay_rate, count);
-    its quantiles come from one scalar subquery.
+    it is checkpointed, as its quantiles come from it too.
     """
+    airports = cut(airports)
     marks = {"p50": ("pagerank", 0.5), "d50": ("delay_rate", 0.5), "p80": ("pagerank", 0.80),
              "d92": ("delay_rate", 0.92)}
     levels = airports.agg(F.struct(*[F.percentile(c, F.lit(q)).alias(name)

@@ -1,10 +1,8 @@
 """Exact, interpolated quantiles of any number of columns in one distributed job."""
 
-from functools import reduce
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-from pyspark.sql import DataFrame, functions as F
-
-from delaylens.operators.running import running_totals
+from delaylens.session import cut
 
 CHUNKS = 256
 
@@ -17,35 +15,41 @@ def value_counts(df: DataFrame, columns) -> DataFrame:
             .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
-def quantiles(df: DataFrame, columns, probs) -> DataFrame:
+def quantiles(df: DataFrame, columns, probs, chunks=CHUNKS) -> DataFrame:
     """(feature, p, value) by linear interpolation between order statistics.
 
-    Values are counted first, then running counts are taken in chunks of the
-    value range (bounds from a mergeable sketch), so neither a column nor a
-    skewed value has to fit one task.
+    Values are counted once. Totals of ``chunks`` value ranges (bounds from a
+    mergeable sketch) tell which range holds each wanted rank; only those ranges
+    are sorted, so neither a column nor a skewed value has to fit one task.
     """
-    counts = value_counts(df, columns)
-    steps = F.array(*[F.lit(i / CHUNKS) for i in range(1, CHUNKS)])
-    bounds = counts.groupBy("feature").agg(F.percentile_approx("value", steps, 10000).alias("_b"))
+    counts = cut(value_counts(df, columns))
+    steps = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
+    bounds = counts.groupBy("feature").agg(
+        F.percentile_approx("value", steps, 10000).alias("_b"), F.sum("n").alias("total"))
     # one row per requested column on the broadcast side
-    chunked = counts.join(F.broadcast(bounds), "feature").withColumn(
+    chunked = counts.join(F.broadcast(bounds.drop("total")), "feature").withColumn(
         "_at", F.size(F.filter("_b", lambda b: b < F.col("value")))).drop("_b")
-    ranked = running_totals(chunked, ["feature"], F.col("_at"), ["value"], ["n"])
-    totals = counts.groupBy("feature").agg(F.sum("n").alias("total"))
-    placed = ranked.join(F.broadcast(totals), "feature")
-    aggregates = []
-    for i, p in enumerate(probs):
-        spot = F.lit(float(p)) * (F.col("total") - 1)
-        aggregates += [
-            F.min(F.when(F.col("running_n") > F.floor(spot), F.col("value"))).alias(f"lo_{i}"),
-            F.min(F.when(F.col("running_n") > F.ceil(spot), F.col("value"))).alias(f"hi_{i}"),
-            F.first(spot - F.floor(spot)).alias(f"w_{i}"),
-        ]
-    wide = placed.groupBy("feature").agg(*aggregates)
-    cells = [F.struct(F.lit(float(p)).alias("p"),
-                      (F.col(f"lo_{i}") + F.col(f"w_{i}") * (F.col(f"hi_{i}") - F.col(f"lo_{i}"))
-                       ).alias("value")) for i, p in enumerate(probs)]
-    return wide.select("feature", F.inline(F.array(*cells)))
+    order = W.partitionBy("feature").orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
+    ranges = (chunked.groupBy("feature", "_at").agg(F.sum("n").alias("size"))
+              .withColumn("end", F.sum("size").over(order)))
+    spot = F.col("p") * (F.col("total") - 1)
+    wanted = bounds.select("feature", "total", F.explode(
+        F.array(*[F.lit(float(p)) for p in probs])).alias("p")).select(
+        "feature", "p", (spot - F.floor(spot)).alias("w"),
+        F.explode(F.array(F.floor(spot), F.ceil(spot))).alias("rank")).distinct()
+    # columns x probabilities x 2 rows
+    found = wanted.join(ranges, "feature").where(
+        (F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("size"))).select(
+        "feature", "p", "w", "rank", "_at", (F.col("end") - F.col("size")).alias("start"))
+    found = F.broadcast(found)
+    inside = W.partitionBy("feature", "_at").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    sorted_ = chunked.join(F.broadcast(found.select("feature", "_at", "start").distinct()),
+                           ["feature", "_at"]).withColumn(
+        "upto", F.col("start") + F.sum("n").over(inside)).drop("start")
+    hits = sorted_.join(found, ["feature", "_at"]).where(
+        (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+    low, high = F.min("value"), F.max("value")
+    return hits.groupBy("feature", "p").agg((low + F.max("w") * (high - low)).alias("value"))
 
 
 def medians(df: DataFrame, columns) -> DataFrame:
@@ -57,13 +61,13 @@ def impute_medians(df: DataFrame, columns):
     """Fill NULLs with the column median.
 
     Returns the filled frame and the report (feature, missing, median). The
-    report has one row per column, so its values are read back as constants.
+    report has one row per column; it is joined to every row as one map.
     """
     gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
     missing = gaps.unpivot([], list(columns), "feature", "missing")
-    report = missing.join(medians(df, columns), "feature", "left")
-    fills = {r["feature"]: r["median"] for r in report.collect() if r["median"] is not None}
-    filled = reduce(
-        lambda d, c: d.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(fills.get(c)))),
-        columns, df)
-    return filled, report
+    report = cut(missing.join(medians(df, columns), "feature", "left"))
+    middles = report.agg(F.map_from_entries(F.collect_list(F.struct("feature", "median")))).scalar()
+    known = df.withColumn("_medians", middles)
+    filled = known.withColumns({c: F.coalesce(
+        F.col(c).cast("double"), F.try_element_at("_medians", F.lit(c))) for c in columns})
+    return filled.drop("_medians"), report

@@ -1,12 +1,12 @@
 """Splits, weights, model metrics and driver attribution as DataFrame jobs."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from delaylens import schemas as S
 from delaylens.functions import columns as C
 from delaylens.operators.running import running_totals
+from delaylens.session import cut
+
 
 def _n():
     return F.count(F.lit(1))
@@ -60,81 +60,109 @@ def standardise(df: DataFrame, columns) -> DataFrame:
 
 # --- metrics ------------------------------------------------------------------
 
+def outcome_counts(scored: DataFrame, label="is_delayed", prediction="prediction",
+                   score="risk_score") -> DataFrame:
+    """(score, label, prediction, n): what every metric needs, made in one pass over the rows."""
+    return cut(scored.groupBy(
+        F.col(score).alias("score"), F.col(label).cast("int").alias("label"),
+        F.col(prediction).cast("int").alias("prediction")).agg(_n().alias("n")))
+
+
 def confusion(scored: DataFrame, label="is_delayed", prediction="prediction") -> DataFrame:
     return scored.groupBy(F.col(label).cast("int").alias("label"),
                           F.col(prediction).cast("int").alias("prediction")).agg(_n().alias("n"))
 
 
-def _score_counts(scored, label, score):
-    return scored.groupBy(F.col(score).alias("score")).agg(
-        F.sum(F.col(label).cast("long")).alias("pos"),
-        F.sum(1 - F.col(label).cast("long")).alias("neg"))
+def roc_of(counts: DataFrame) -> DataFrame:
+    """The curve from ``outcome_counts``; running counts are taken in ranges of the score."""
+    by_score = counts.groupBy("score").agg(
+        F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("pos"),
+        F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("neg"))
+    curve = running_totals(by_score.withColumn("all", F.lit(1)), ["all"],
+                           -F.floor(F.col("score") * 4096), [F.desc("score")], ["pos", "neg"])
+    totals = counts.agg(F.struct(
+        F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("pos"),
+        F.sum(F.when(F.col("label") == 0, F.col("n"))).alias("neg"))).scalar()
+    return curve.select(
+        "score", "pos", "neg", "running_pos", "running_neg",
+        F.try_divide("running_pos", totals["pos"]).alias("tpr"),
+        F.try_divide("running_neg", totals["neg"]).alias("fpr"))
 
 
 def roc(scored: DataFrame, label="is_delayed", score="risk_score") -> DataFrame:
     """(score, tpr, fpr) for every distinct score as threshold, from high to low.
 
-    Equal scores are counted first; running counts are taken in 4096 score
-    ranges, so the curve never has to fit one task.
+    Equal scores are counted first; the curve never has to fit one task.
     """
-    counts = _score_counts(scored, label, score)
-    chunk = -F.floor(F.col("score") * 4096)
-    curve = running_totals(counts.withColumn("all", F.lit(1)), ["all"], chunk,
-                           [F.desc("score")], ["pos", "neg"])
-    totals = counts.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))).scalar()
-    return curve.select(
-        "score", "pos", "neg", "running_pos", "running_neg",
-        F.try_divide("running_pos", totals["pos"]).alias("tpr"),
-        F.try_divide("running_neg", totals["neg"]).alias("fpr"))
+    return roc_of(outcome_counts(scored, label, label, score))
 
 
-def auc(scored: DataFrame, label="is_delayed", score="risk_score") -> DataFrame:
+def _area(curve):
     """Area under the curve; each tied pair counts one half."""
-    curve = roc(scored, label, score)
     area = F.sum(F.col("neg") * (F.col("running_pos") - F.col("pos") / 2))
     return curve.agg(F.try_divide(area, F.sum("pos") * F.sum("neg").cast("double")).alias("auc"))
 
 
+def auc(scored: DataFrame, label="is_delayed", score="risk_score") -> DataFrame:
+    return _area(roc(scored, label, score))
+
+
 def binary_metrics(scored: DataFrame, label="is_delayed", prediction="prediction",
                    score="risk_score") -> DataFrame:
     """Accuracy, F1 of the positive class and AUC in one row."""
-    y, p = F.col(label) == 1, F.col(prediction) == 1
-    row = scored.agg(F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"),
-                     F.count_if(y & ~p).alias("fn"), _n().alias("n"), F.count_if(y == p).alias("hit"))
+    counts = outcome_counts(scored, label, prediction, score)
+
+    def total(which):
+        return F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0))
+
+    y, p = F.col("label") == 1, F.col("prediction") == 1
+    row = counts.agg(total(y & p).alias("tp"), total(~y & p).alias("fp"), total(y & ~p).alias("fn"),
+                     F.sum("n").alias("n"), total(y == p).alias("hit"))
     return row.select(
         F.try_divide("hit", "n").alias("accuracy"),
         F.coalesce(F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")),
                    F.lit(0.0)).alias("f1"),
-        auc(scored, label, score).scalar().alias("auc"))
+        _area(roc_of(counts)).scalar().alias("auc"))
 
 
 def class_report(scored: DataFrame, label="is_delayed", prediction="prediction",
                  names=("On-time", "Delayed >15min")) -> DataFrame:
-    """Precision, recall, F1 and support per class, with macro and weighted averages."""
-    cells = confusion(scored, label, prediction)
-    parts = []
+    """Precision, recall, F1 and support per class, with macro and weighted averages.
+
+    One aggregate over the confusion cells makes one row, which is spread again.
+    """
+    def total(which):
+        return F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0))
+
+    zero = F.lit(0.0)
+    sums = []
     for value, name in enumerate(names):
         y, p = F.col("label") == value, F.col("prediction") == value
-        parts.append(cells.agg(
-            F.sum(F.when(y & p, F.col("n")).otherwise(0)).alias("tp"),
-            F.sum(F.when(p, F.col("n")).otherwise(0)).alias("called"),
-            F.sum(F.when(y, F.col("n")).otherwise(0)).alias("support"),
-        ).withColumn("class", F.lit(name)))
-    zero = F.lit(0.0)
-    per_class = reduce(DataFrame.unionByName, parts).select(
-        "class",
-        F.coalesce(F.try_divide("tp", "called"), zero).alias("precision"),
-        F.coalesce(F.try_divide("tp", "support"), zero).alias("recall"),
-        F.coalesce(F.try_divide(2 * F.col("tp"), F.col("called") + F.col("support")), zero)
-        .alias("f1"), "support")
+        tp, called, support = total(y & p), total(p), total(y)
+        sums.append(F.struct(
+            F.lit(name).alias("class"),
+            F.coalesce(F.try_divide(tp, called), zero).alias("precision"),
+            F.coalesce(F.try_divide(tp, support), zero).alias("recall"),
+            F.coalesce(F.try_divide(2 * tp, called + support), zero).alias("f1"),
+            support.alias("support")))
+    rows = confusion(scored, label, prediction).agg(F.array(*sums).alias("c"))
     measures = ["precision", "recall", "f1"]
-    macro = per_class.agg(*[F.avg(m).alias(m) for m in measures],
-                          F.sum("support").alias("support"))
-    weighted = per_class.agg(
-        *[(F.sum(F.col(m) * F.col("support")) / F.sum("support")).alias(m) for m in measures],
-        F.sum("support").alias("support"))
-    return (per_class.unionByName(macro.withColumn("class", F.lit("macro avg")))
-            .unionByName(weighted.withColumn("class", F.lit("weighted avg"))))
+
+    def over(fn, start=0.0):
+        return F.aggregate("c", F.lit(start), fn)
+
+    def plain(name):
+        return lambda a, x: a + x[name]
+
+    def by_support(name):
+        return lambda a, x: a + x[name] * x["support"]
+
+    n = F.aggregate("c", F.lit(0).cast("long"), lambda a, x: a + x["support"])
+    macro = F.struct(F.lit("macro avg").alias("class"), *[
+        (over(plain(m)) / len(names)).alias(m) for m in measures], n.alias("support"))
+    weighted = F.struct(F.lit("weighted avg").alias("class"), *[
+        F.try_divide(over(by_support(m)), n).alias(m) for m in measures], n.alias("support"))
+    return rows.select(F.inline(F.concat("c", F.array(macro, weighted))))
 
 
 def mean_absolute_error(scored: DataFrame, actual, predicted) -> DataFrame:

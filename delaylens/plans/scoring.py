@@ -17,7 +17,7 @@ from delaylens import schemas as S
 from delaylens.functions import columns as C
 from delaylens.operators import graph, joins, quantiles, reports, reshape, risk
 from delaylens.plans import fact as fact_plan
-from delaylens.session import shared_dir, stored
+from delaylens.session import cut, shared_dir, stored
 from delaylens.sources.tables import export_centrality, export_scores, table_exists
 
 CLASSIFIERS = {"Logistic Regression": "logistic", "Random Forest": "forest",
@@ -115,6 +115,7 @@ def compare(models: dict, test: DataFrame) -> DataFrame:
     rows = [risk.binary_metrics(predict(test, m)).withColumn("model", F.lit(name))
             for name, m in models.items()]
     table = reduce(DataFrame.unionByName, rows)
+    table = cut(table)  # one row per model
     best = table.agg(F.max_by("model", "auc")).scalar()
     return table.withColumn("best", F.col("model") == best).select(
         "model", "accuracy", "f1", "auc", "best")
