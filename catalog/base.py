@@ -69,22 +69,26 @@ def ontime(spark, sf_dir) -> DataFrame:
     )
 
 
-def weather_feeds(spark, sf_dir):
-    """(archive, observations, forecasts) in their landed shapes."""
+def weather_feeds(spark, sf_dir, feeds=3):
+    """(archive, observations, forecasts) in their landed shapes.
+
+    Events are dealt to the three feeds by id; with one feed, each has all events.
+    """
     e = events(spark, sf_dir)
+    feed = F.col("event_id") % feeds
     k, airport = F.col("k"), _code(F.col("k") % 25)
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     wind = (k % 40).cast("double")
-    archive = e.where(F.col("event_type").isin("signup", "purchase")).select(
+    archive = e.where(feed == 0).select(
         airport.alias("airport_code"), stamp.alias("time"),
         (F.col("value") - 20).alias("temperature_2m"), (F.col("value") / 50).alias("precipitation"),
         wind.alias("wind_speed_10m"), k.cast("long").alias("cloud_cover"),
         F.floor(k / 2).cast("long").alias("cloud_cover_low"))
-    observations = e.where(F.col("event_type") == "view").select(
+    observations = e.where(feed == (1 if feeds > 1 else 0)).select(
         airport.alias("iata_code"), F.when(k == 55, F.lit("unreadable")).otherwise(stamp)
         .alias("obs_time"), (F.col("value") - 20).alias("temp_c"),
         wind.alias("wind_speed_knots"), stamp.alias("ingested_at"))
-    forecasts = e.where(F.col("event_type") == "click").select(
+    forecasts = e.where(feed == (2 if feeds > 1 else 0)).select(
         airport.alias("iata_code"),
         F.when(k != 77, F.unix_timestamp(F.col("ts").cast("timestamp"))).alias("valid_from"),
         wind.alias("wind_speed_knots"), stamp.alias("ingested_at"))
@@ -219,17 +223,28 @@ CTES = {
           date_trunc('second', ts) AS t, value - 20 AS temperature_2m, value / 50 AS precipitation,
           CAST(k % 40 AS DOUBLE) AS wind_speed_10m, CAST(k AS BIGINT) AS cloud_cover,
           CAST(k // 2 AS BIGINT) AS cloud_cover_low
-        FROM ev WHERE event_type IN ('signup', 'purchase')"""),
+        FROM ev WHERE event_id % 3 = 0"""),
+    "archive_all": (["ev"], """
+        SELECT 'A' || lpad(CAST(k % 25 AS VARCHAR), 2, '0') AS airport_code,
+          date_trunc('second', ts) AS t, value - 20 AS temperature_2m, value / 50 AS precipitation,
+          CAST(k % 40 AS DOUBLE) AS wind_speed_10m, CAST(k AS BIGINT) AS cloud_cover,
+          CAST(k // 2 AS BIGINT) AS cloud_cover_low
+        FROM ev"""),
+    "obs_all": (["ev"], """
+        SELECT 'A' || lpad(CAST(k % 25 AS VARCHAR), 2, '0') AS iata_code,
+          CASE WHEN k <> 55 THEN date_trunc('second', ts) END AS obs_time, value - 20 AS temp_c,
+          CAST(k % 40 AS DOUBLE) AS wind_speed_knots, date_trunc('second', ts) AS ingested_at
+        FROM ev"""),
     "obs": (["ev"], """
         SELECT 'A' || lpad(CAST(k % 25 AS VARCHAR), 2, '0') AS iata_code,
           CASE WHEN k <> 55 THEN date_trunc('second', ts) END AS obs_time, value - 20 AS temp_c,
           CAST(k % 40 AS DOUBLE) AS wind_speed_knots, date_trunc('second', ts) AS ingested_at
-        FROM ev WHERE event_type = 'view'"""),
+        FROM ev WHERE event_id % 3 = 1"""),
     "fcst": (["ev"], """
         SELECT 'A' || lpad(CAST(k % 25 AS VARCHAR), 2, '0') AS iata_code,
           CASE WHEN k <> 77 THEN date_trunc('second', ts) END AS valid_from,
           CAST(k % 40 AS DOUBLE) AS wind_speed_knots, date_trunc('second', ts) AS ingested_at
-        FROM ev WHERE event_type = 'click'"""),
+        FROM ev WHERE event_id % 3 = 2"""),
     "stg_flights": (["ontime"], """
         SELECT flightdate || '_' || reporting_airline || '_' || flight_number_reporting_airline
             || '_' || origin || '_' || crsdeptime AS flight_id,

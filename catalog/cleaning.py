@@ -70,15 +70,15 @@ def cleaning_steps(spark, sf):
                                clean=staging.clean_flights(raw))
 
 
-@query("clean_weather", with_tables("archive", body="""
+@query("clean_weather", with_tables("archive_all", body="""
 SELECT airport_code AS airport_id, strftime(t, '%Y-%m-%dT%H:%M:%S') AS time,
   strftime(t, '%Y-%m-%d %H:%M:%S') AS time_parsed, CAST(t AS DATE) AS date_id,
   CAST(hour(t) AS BIGINT) AS hour_id, airport_code || '-' || CAST(CAST(t AS DATE) AS VARCHAR)
     || '-' || hour(t) AS weather_id, temperature_2m AS temperature_c,
   precipitation AS precipitation_mm, wind_speed_10m AS wind_speed_knots, cloud_cover, cloud_cover_low
-FROM archive"""))
+FROM archive_all"""))
 def clean_weather(spark, sf):
-    archive, _, _ = base.weather_feeds(spark, sf)
+    archive, _, _ = base.weather_feeds(spark, sf, feeds=1)
     return staging.clean_weather(archive).withColumn(
         "time_parsed", F.date_format("time_parsed", "yyyy-MM-dd HH:mm:ss"))
 

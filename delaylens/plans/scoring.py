@@ -191,15 +191,17 @@ def report_tables(scored: DataFrame) -> dict:
 
 
 def run_training(fact: DataFrame, cfg: Settings = Settings(), sample_pct=100, k=100,
-                 out: Optional[str] = None) -> dict:
+                 out: Optional[str] = None, edges: Optional[DataFrame] = None) -> dict:
     """Network, features, models, scores and report tables from a fact table.
 
     The feature frame is written to the shared folder once and read by every
-    model; nothing but model parameters and metric rows reaches the driver.
+    model; nothing but model parameters and metric rows reaches the driver. The
+    network is that of the flown flights unless ``edges`` gives another.
     """
     spark = fact.sparkSession
     flown = fact.where(F.col("is_cancelled") == F.lit(False))
-    edges = graph.network(flown, "origin_airport_id", "dest_airport_id")
+    if edges is None:
+        edges = graph.network(flown, "origin_airport_id", "dest_airport_id")
     # as a table its size is known, so the joins can decide to broadcast it
     centrality = stored(graph.centrality_scores(edges, k), "centrality")
     frame = feature_frame(fact, centrality, sample_pct)
