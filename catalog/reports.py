@@ -433,6 +433,26 @@ def report_delay_by_airline(spark, sf):
                    "delay_rate")
 
 
+@query("report_delay_by_origin", with_tables("legs", body="""
+SELECT "Origin", round(r, 9) AS delay_rate, n FROM (
+  SELECT origin AS "Origin", avg(CASE WHEN depdelay > 15 THEN 1 ELSE 0 END) AS r, count(*) AS n
+  FROM legs WHERE depdelay IS NOT NULL GROUP BY 1 HAVING count(*) >= 500)
+ORDER BY r DESC, "Origin" LIMIT 20"""))
+def report_delay_by_origin(spark, sf):
+    flown = base.legs(spark, sf).where("depdelay IS NOT NULL").select(
+        F.col("origin").alias("Origin"), C.is_delayed("depdelay").alias("is_delayed"))
+    return rounded(reports.report_rates(flown, "Origin", 500, 20), "delay_rate")
+
+
+@query("report_delay_by_hour", with_tables("scores", body="""
+SELECT CAST(scheduled_dep_hour AS BIGINT) AS hour, round(avg(is_delayed), 9) AS mean, count(*) AS n
+FROM scores GROUP BY 1"""))
+def report_delay_by_hour(spark, sf):
+    hours = reports.group_mean(base.scores(spark, sf), "scheduled_dep_hour", "is_delayed")
+    return rounded(hours.select(F.col("scheduled_dep_hour").cast("long").alias("hour"), "mean", "n"),
+                   "mean")
+
+
 @query("monthly_score_trend", with_tables("scores", body="""
 SELECT CAST(date_trunc('month', flight_date) AS DATE) AS month,
   round(avg(is_delayed), 9) AS delay_rate FROM scores GROUP BY 1"""))

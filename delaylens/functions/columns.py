@@ -103,10 +103,6 @@ def is_delayed(c, threshold=S.DELAY_THRESHOLD) -> Column:
     return F.when(col(c) > threshold, 1).otherwise(0)
 
 
-def count_where(cond: Column) -> Column:
-    return F.count_if(cond)
-
-
 def delay_rate(c="depdelay", threshold=S.DELAY_THRESHOLD) -> Column:
     return F.try_divide(F.count_if(col(c) > threshold), F.count(F.lit(1)))
 

@@ -25,11 +25,17 @@ def table_exists(spark: SparkSession, path) -> bool:
     return True
 
 
+def _gathered(df, partition_by):
+    """Rows of one partition folder in few tasks, so few files; large folders are split again."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def write_table(df: DataFrame, path, mode="TRUNCATE", partition_by=()) -> None:
     """Write a Parquet table; the mode is TRUNCATE or APPEND in any case."""
     if mode.upper() not in WRITE_MODES:
         raise ValueError(f"mode must be TRUNCATE or APPEND, not {mode!r}")
-    writer = df.write.mode(WRITE_MODES[mode.upper()]).option("partitionOverwriteMode", "static")
+    writer = _gathered(df, partition_by).write.mode(WRITE_MODES[mode.upper()]).option(
+        "partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
@@ -43,8 +49,8 @@ def load_csv(spark: SparkSession, csv_path, path, mode="TRUNCATE") -> DataFrame:
 
 def replace_partitions(df: DataFrame, path, *partition_by) -> None:
     """Replace only the partitions present in ``df``, so a repeated load changes nothing."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    (_gathered(df, partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 
 def describe_table(df: DataFrame) -> DataFrame:

@@ -93,7 +93,7 @@ def test_haversine(spark):
 
 
 def test_label_falls_back_to_the_code_or_drops(spark):
-    names = joins.code_table(spark, S.AIRLINE_NAMES)
+    names = joins.code_table(spark, {"DL": "Delta Air Lines", "AA": "American Airlines"})
     df = spark.createDataFrame([("DL",), ("??",)], "c string")
     kept = {r["c"]: r["name"] for r in joins.with_label(df, "c", names, "name").collect()}
     assert kept == {"DL": "Delta Air Lines", "??": "??"}

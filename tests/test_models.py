@@ -233,3 +233,14 @@ def test_history(spark):
     assert versions(third) == versions(second)
     live = third.where("is_current AND flight_id IS NOT NULL")
     assert live.count() == live.select("flight_id").distinct().count()
+
+
+def test_history_takes_one_of_repeated_keys(spark):
+    day = "2024-01-0{} 00:00:00".format
+    was = spark.createDataFrame([("a", 1.0, 5), ("b", 1.0, 5)], "flight_id string, x double, y int")
+    now = spark.createDataFrame([("a", 3.0, 2), ("a", 2.0, 9), ("a", 2.0, 8), ("b", 1.0, 7),
+                                 ("c", None, 1), ("c", None, 0)], was.schema)
+    out = snapshot.snapshot_scd2(now, snapshot.open_history(was, day(1)), "flight_id", ["x"], day(2))
+    live = sorted((r["flight_id"], r["x"] or 0, r["y"]) for r in out.where("is_current").collect())
+    assert live == [("a", 2.0, 8), ("b", 1.0, 5), ("c", 0, 0)]
+    assert out.where("NOT is_current").count() == 1
