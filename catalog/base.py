@@ -104,7 +104,10 @@ def stg_weather(spark, sf_dir):
 
 
 def fact(spark, sf_dir):
-    return fact_plan.build_fact(stg_flights(spark, sf_dir), stg_weather(spark, sf_dir))
+    """The fact over staged tables, as a daily job has them: each is derived and written once."""
+    flights = once(spark, sf_dir, "stg_flights", lambda: stg_flights(spark, sf_dir))
+    weather = once(spark, sf_dir, "stg_weather", lambda: stg_weather(spark, sf_dir))
+    return fact_plan.build_fact(flights, weather)
 
 
 _KEPT = {}
