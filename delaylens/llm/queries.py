@@ -56,7 +56,7 @@ def op4(spark, sf_dir):
         "page_id", "url", "text", "n_chars")
 
 
-@query("op5_substring_dedup")
+@query("op5_substring_dedup", substrings.ORACLE)
 def op5(spark, sf_dir):
     """Words of every document without passages that an earlier document has."""
     return substrings.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -379,3 +379,20 @@ def digests(docs: DataFrame, doc_id="doc_id", text="text", **sizes) -> DataFrame
         F.when(F.col("rid") != NO_ID, F.col("rid")).alias("doc_id"), "n_words",
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("own_sha", "kept_sha256").alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM d, unnest(range(1, len(w) - 48)) AS t(i)),
+earliest AS (SELECT h, min(doc_id) AS lo FROM win GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, p FROM win JOIN earliest USING (h), unnest(range(i, i + 50)) AS t(p)
+  WHERE lo < doc_id),
+words AS (SELECT doc_id, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(p)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS s
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+cut AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(cut.n, 0) AS n_removed,
+  sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)"""
