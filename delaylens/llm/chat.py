@@ -94,13 +94,15 @@ def format_chats(conversations: DataFrame, budget=BUDGET, history=HISTORY, chunk
     windows = placed.groupBy("conv_id", "window").agg(F.min("start").alias("begin"))
     fresh = placed.withColumn("is_repeat", F.lit(False))
 
-    spoken = placed.where(~F.col("is_system"))
-    later = spoken.select("*", F.explode(F.sequence(
-        F.col("window"), F.floor((F.col("start") + history) / F.col("half")) * 2 + 1)).alias("to")
-    ).where("to > window") if history > 0 else spoken.where("false").withColumn("to", F.col("window"))
     names = windows.select(F.col("conv_id").alias("w_conv"), F.col("window").alias("w"), "begin")
-    old = later.join(names, later.conv_id.eqNullSafe(names.w_conv) & (later["to"] == names.w)).where(
-        F.col("begin") <= F.col("start") + history).select(
+    # only keys meet the windows; a turn that is longer than the history is never repeated
+    near = placed.where(~F.col("is_system") & (F.col("cost") <= history)).select(
+        F.col("conv_id").alias("h_conv"), F.col("at").alias("h_at"), "start", "window",
+        F.explode(F.sequence(F.col("window"), F.floor(
+            (F.col("start") + history) / F.col("half")) * 2 + 1)).alias("to")).where("to > window")
+    near = near.join(names, near.h_conv.eqNullSafe(names.w_conv) & (near["to"] == names.w)).where(
+        F.col("begin") <= F.col("start") + history).select("h_conv", "h_at", "to")
+    old = placed.join(near, placed.conv_id.eqNullSafe(near.h_conv) & (placed["at"] == near.h_at)).select(
         *[c for c in placed.columns if c != "window"], F.col("to").alias("window"),
         F.lit(True).alias("is_repeat"))
     head = placed.where("is_system")
