@@ -37,7 +37,10 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)"""
     r"""|<[a-zA-Z/!?](?:[^>"']|"[^"]*"|'[^']*')*+>|<[a-zA-Z/!?][^>]*>""", re.S | re.I)
 _NAME = re.compile(r"</?\s*([a-zA-Z][a-zA-Z0-9]*)")
-_MARKS = re.compile(r"""\b(class|id|role|data-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+#: Label of a container in re-laid pages. No attribute of HTML has a NUL in its name, and only
+#: ``blocks(..., relaid=True)`` reads it.
+_LABEL = re.compile(r'\0label="([01])"')
 _PART = re.compile(r"[a-z]+")
 _INLINE = frozenset(
     "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small "
@@ -56,8 +59,8 @@ class Block:
         self.path, self.text, self.linked, self.label = path, text, linked, label
 
 
-def blocks(source):
-    """Leaf blocks of a page with a visible text; ``label`` is the nearest data-label, if any."""
+def blocks(source, relaid=False):
+    """Leaf blocks of a page with a visible text; ``label`` is the nearest one of a re-laid page."""
     out, stack, text, linked, links = [], [], [], 0, 0
 
     def flush():
@@ -101,11 +104,10 @@ def blocks(source):
                 stack.pop()
             tokens, label = [name], None
             if " " in tag or "\n" in tag:
-                for key, value in _MARKS.findall(tag):
-                    if key.lower() == "data-label":
-                        label = int(value.strip("\"'"))
-                    else:
-                        tokens += _PART.findall(value.lower())
+                for value in _MARKS.findall(tag):
+                    tokens += _PART.findall(value.lower())
+                mark = _LABEL.search(tag) if relaid else None
+                label = int(mark[1]) if mark else None
             stack.append((name, tokens, label))
     text.append(source[at:])
     flush()
@@ -286,7 +288,7 @@ TALK = ['<section class="comments">', '<div id="comments">', '<div class="commen
 
 def _inside(open_tag, body, label):
     name = _NAME.match(open_tag)[1]
-    return f'{open_tag[:-1]} data-label="{label}">{body}</{name}>'
+    return f'{open_tag[:-1]} \0label="{label}">{body}</{name}>'
 
 
 def relaid(page, other, rng):
@@ -371,7 +373,7 @@ def fit_on(sources):
         for _ in range(RELAID):
             source = relaid(page, parsed[int(rng.integers(len(parsed)))], rng)
             if source:
-                again = blocks(source)
+                again = blocks(source, relaid=True)
                 for b in again:
                     b.label = b.label or 0
                 every.append(again)

@@ -36,6 +36,19 @@ def test_blocks_of_odd_markup():
     assert len(extraction.blocks("<div>" * 3000 + "x" + "</div>" * 3000)) == 1
 
 
+def test_labels_of_real_pages_are_only_attributes(spark):
+    odd = ["<article><table><tr><td data-label=\"Price\">ten<td data-label=''>two<td data-label=1>x"
+           "</table></article>", "<p \0label=\"7\">a</p><p \0label=\"1\">b</p>"]
+    assert [b.label for s in odd for b in extraction.blocks(s)] == [None] * 5
+    marked = extraction.blocks(extraction._inside("<div class=x>", "<p>a</p>", 0), relaid=True)
+    assert [(b.text, b.label) for b in marked] == [("a", 0)]
+    rng = random.Random(4)
+    rows = [page(k, rng)[:3] for k in range(12)] + [(50 + k, "u", s) for k, s in enumerate(odd)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    net = extraction.fit(df)
+    assert {r.page_id for r in extraction.extract(df, net).collect()} == {r[0] for r in rows}
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(1)
     net = extraction.Labeller(4, hidden=3)
