@@ -34,9 +34,12 @@ BATCH = 32
 SEED = 3
 
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)"""
-    r"""|<[a-zA-Z/!?](?:[^>"']|"[^"]*"|'[^']*')*+>|<[a-zA-Z/!?][^>]*>""", re.S | re.I)
-_NAME = re.compile(r"</?\s*([a-zA-Z][a-zA-Z0-9]*)")
+    r"""<!--.*?(?:-->|\Z)|<[a-zA-Z/!?](?:[^>"']|"[^"]*"|'[^']*')*+>|<[a-zA-Z/!?][^>]*>""", re.S)
+_NAME = re.compile(r"</?\s*([a-zA-Z][^\s/>]*)")
+#: Ends of elements whose content is not shown.
+_RAW = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I)
+        for name in ("script", "style", "noscript", "template", "iframe", "svg")}
+_SVG = re.compile(r"""<(/?)svg(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*+>""", re.I)
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 #: Label of a container in re-laid pages. No attribute of HTML has a NUL in its name, and only
 #: ``blocks(..., relaid=True)`` reads it.
@@ -49,7 +52,8 @@ _VOID = frozenset("br img hr input meta link wbr area base col embed source trac
 #: Elements that end an open element of the same kind.
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
            "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-_HEAD = frozenset(("head", "title", "select", "textarea", "button"))
+#: Elements whose blocks are dropped when their own end tag comes; without one they hide nothing.
+_CONTROLS = frozenset(("select", "textarea", "button"))
 
 
 class Block:
@@ -59,33 +63,79 @@ class Block:
         self.path, self.text, self.linked, self.label = path, text, linked, label
 
 
+def _title_ends(source, at):
+    """Whether </title> comes before any tag but inline ones."""
+    for m in _TOKEN.finditer(source, at):
+        name = _NAME.match(m[0])
+        if name and name[1].lower() not in _INLINE:
+            return name[1].lower() == "title" and m[0][1] == "/"
+    return False
+
+
+def _svgs(source):
+    """Start and end of every svg with an end tag; /> leaves none open."""
+    ends, starts = {}, []
+    for m in _SVG.finditer(source):
+        if m[1] and starts:
+            ends[starts.pop()] = m.end()
+        elif not m[1] and not m[0].endswith("/>"):
+            starts.append(m.start())
+    return ends
+
+
 def blocks(source, relaid=False):
     """Leaf blocks of a page with a visible text; ``label`` is the nearest one of a re-laid page."""
     out, stack, text, linked, links = [], [], [], 0, 0
 
-    def flush():
+    def close_head():
+        nonlocal in_head
+        for i in range(len(stack)) if in_head else ():
+            if stack[i][0] == "head":
+                del stack[i:]
+                break
+        in_head = False
+
+    def flush(shown=True):
         nonlocal linked
         joined = " ".join(htmllib.unescape("".join(text)).split())
         text.clear()
-        if joined and not any(name in _HEAD for name, _, _ in stack):
-            label = next((m for _, _, m in reversed(stack) if m is not None), None)
-            out.append(Block([t for _, tokens, _ in stack for t in tokens], joined, linked, label))
+        if joined and shown:
+            close_head()
+            label = next((m for _, _, m, _ in reversed(stack) if m is not None), None)
+            out.append(Block([t for _, tokens, _, _ in stack for t in tokens], joined, linked, label))
         linked = 0
 
-    at = 0
-    for m in _TOKEN.finditer(source):
+    at, in_head, svgs = 0, False, None
+    title = None  # whether the open title has an end tag
+    while m := _TOKEN.search(source, at):
         if m.start() > at:
             piece = source[at:m.start()]
             text.append(piece)
             linked += len(piece) if links else 0
         at = m.end()
         tag = m[0]
-        if m[1] or tag[1] in "!?":
-            continue
         name = _NAME.match(tag)
         if not name:
             continue
         name, closing = name[1].lower(), tag[1] == "/"
+        if title is not None:
+            if title and name in _INLINE:
+                continue
+            flush(shown=False)
+            title = None
+        if name in _RAW and not closing:
+            if name != "svg":
+                end = _RAW[name].search(source, at)
+                at = end.end() if end else len(source)
+            else:  # one without an end tag hides nothing
+                svgs = _svgs(source) if svgs is None else svgs
+                at = svgs.get(m.start(), at)
+            continue
+        if name == "title":
+            if not closing:
+                flush()
+                links, title = 0, _title_ends(source, at)
+            continue
         if name in _INLINE:
             links = max(0, links + (-1 if closing else 1)) if name == "a" else links
             if name == "br":
@@ -96,21 +146,25 @@ def blocks(source, relaid=False):
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
+                    if name in _CONTROLS:
+                        del out[stack[i][3]:]
                     del stack[i:]
                     break
         elif name not in _VOID:
+            close_head()
+            in_head = name == "head"
             ends = _CLOSES.get(name)
             if ends and stack and stack[-1][0] in ends:
                 stack.pop()
-            tokens, label = [name], None
+            tokens, label = name.split("-"), None
             if " " in tag or "\n" in tag:
                 for value in _MARKS.findall(tag):
                     tokens += _PART.findall(value.lower())
                 mark = _LABEL.search(tag) if relaid else None
                 label = int(mark[1]) if mark else None
-            stack.append((name, tokens, label))
+            stack.append((name, tokens, label, len(out)))
     text.append(source[at:])
-    flush()
+    flush(shown=title is None)
     return out
 
 

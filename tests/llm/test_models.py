@@ -36,6 +36,28 @@ def test_blocks_of_odd_markup():
     assert len(extraction.blocks("<div>" * 3000 + "x" + "</div>" * 3000)) == 1
 
 
+def test_blocks_of_pages_with_left_out_end_tags():
+    def texts(source):
+        return [b.text for b in extraction.blocks(source)]
+
+    head = "<html><head><title>T</title>"
+    assert texts(head + "<meta charset=x><body><article><h1>a</h1><p>b") == ["a", "b"]
+    assert texts(head + "<script>s</script>a <b>c</b><br>d") == ["a c d"]
+    assert texts(head + "<style>s</style></head><body>a") == ["a"]
+    assert texts("<head><title>T <b>is</b> <!-- x --> it</title><p>a") == ["a"]
+    assert texts("<head><title>T<body><article>a") == ["a"]
+    assert texts("<head><title>T<b>a</b><p>b") == ["a", "b"] and texts("<title>T") == []
+    assert texts("<head-line>a</head-line><title-bar>b</title-bar><b-box>c</b-box>") == ["a", "b", "c"]
+    assert "head" not in extraction.blocks(head + "<main>a")[0].path
+    assert texts("<p>a <svg viewBox='0 > 1' /> b<p>c") == ["a b", "c"]
+    assert texts("<p>a<svg><svg><text>x</text></svg>y<svg/></svg>b<p>c") == ["ab", "c"]
+    assert texts("<p>a<svg width=1><path d=''><p>b<SVG><text>x</text></SVG ><p>c") == ["a", "b", "c"]
+    assert texts("<p>a<svg-icon>i</svg-icon><p>b<template-x>c<p>d") == ["a", "i", "b", "c", "d"]
+    assert texts("<p>a<template>x</template><script src='>'>x</script ><style/>x") == ["a"]
+    assert texts("<select><option>x<option>y</select><button><p>z</button><p>a") == ["a"]
+    assert texts("<button>m<article>a</article><button>x</button><p>b") == ["m", "a", "b"]
+
+
 def test_labels_of_real_pages_are_only_attributes(spark):
     odd = ["<article><table><tr><td data-label=\"Price\">ten<td data-label=''>two<td data-label=1>x"
            "</table></article>", "<p \0label=\"7\">a</p><p \0label=\"1\">b</p>"]
