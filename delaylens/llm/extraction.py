@@ -30,6 +30,8 @@ RELAID = 3
 #: Sizes of the hashed path, the hashed words, the numbers, and the state of each direction.
 PATHS, WORDS, NUMBERS, HIDDEN = 512, 32, 5, 16
 EPOCHS = 20
+#: Blocks of a training sequence; longer pages are cut into sequences that share OVERLAP blocks.
+SEQUENCE, OVERLAP = 400, 50
 BATCH = 32
 SEED = 3
 
@@ -188,9 +190,8 @@ def vectors(page):
         for t in b.path:
             out[i, bucket(t, PATHS)] = 1
         words = b.text.split(" ")
-        some = words[:200]
-        for w in some:
-            out[i, PATHS + bucket(w.lower(), WORDS)] += 1 / len(some)
+        hashed = np.fromiter((bucket(w.lower(), WORDS) for w in words), np.intp, len(words))
+        out[i, PATHS:PATHS + WORDS] = np.bincount(hashed, minlength=WORDS) / len(words)
         out[i, PATHS + WORDS:] = (
             np.log1p(len(words)) / 5, b.linked / max(1, len(b.text)),
             np.log1p(len(b.text)) / 8, len(b.text) / len(words) / 10, b.text[-1] in ".!?:;")
@@ -415,6 +416,12 @@ def fit(pages: DataFrame, page_id="page_id", html="html", sample_pages=SAMPLE_PA
     return fit_on([r[0] for r in sample.toLocalIterator()])
 
 
+def sequences(page):
+    """A page cut into sequences of at most SEQUENCE blocks that overlap by OVERLAP."""
+    step = SEQUENCE - OVERLAP
+    return [page[at:at + SEQUENCE] for at in range(0, max(1, len(page) - OVERLAP), step)] if page else []
+
+
 def fit_on(sources):
     parsed = [p for p in map(blocks, sources) if p]
     if not parsed:
@@ -431,7 +438,7 @@ def fit_on(sources):
                 for b in again:
                     b.label = b.label or 0
                 every.append(again)
-    every = [p for p in every if 0 < len(p) <= 400] or every
+    every = [part for p in every for part in sequences(p)]
     net = Labeller(PATHS + WORDS + NUMBERS)
     net.train([vectors(p) for p in every], [np.array([b.label for b in p], float) for p in every])
     return net

@@ -58,6 +58,24 @@ def test_blocks_of_pages_with_left_out_end_tags():
     assert texts("<button>m<article>a</article><button>x</button><p>b") == ["m", "a", "b"]
 
 
+def test_long_blocks_and_pages_are_used_whole(monkeypatch):
+    words = ["a"] * 200 + ["b"] * 300
+    got = extraction.vectors(extraction.blocks("<p>" + "<br>".join(words)))[0]
+    a, b = (extraction.bucket(w, extraction.WORDS) for w in "ab")
+    want = np.zeros(extraction.WORDS)
+    want[a] += 0.4
+    want[b] += 0.6
+    assert a != b and np.allclose(got[extraction.PATHS:extraction.PATHS + extraction.WORDS], want)
+    for n in (0, 1, 399, 400, 401, 750, 751, 2000):
+        cut = extraction.sequences(list(range(n)))
+        assert [x for k, p in enumerate(cut) for x in p[50 if k else 0:]] == list(range(n))
+        assert all(0 < len(p) <= 400 for p in cut)
+    seen = []
+    monkeypatch.setattr(extraction.Labeller, "train", lambda net, pages, labels: seen.extend(labels))
+    extraction.fit_on(["<article>" + "<p>one text" * 1000 + "</article>", "<article><p>short</article>"])
+    assert max(map(len, seen)) <= 400 and sum(map(len, seen)) > 1000
+
+
 def test_labels_of_real_pages_are_only_attributes(spark):
     odd = ["<article><table><tr><td data-label=\"Price\">ten<td data-label=''>two<td data-label=1>x"
            "</table></article>", "<p \0label=\"7\">a</p><p \0label=\"1\">b</p>"]
