@@ -54,16 +54,19 @@ def add_distinct(rows: DataFrame, table, key=DISTINCT_KEY, time="obs_time") -> N
 
     The table has one partition per day of the report; only the days of the batch
     are compared. A repeated batch finds its rows there and adds nothing. Reports
-    without a readable time are left out.
+    without a readable time go to the partition of the null day; NULL keys are equal.
     """
     spark = rows.sparkSession
     day = F.col(time).try_cast("timestamp").cast("date")
-    fresh = cut(rows.withColumn("report_day", day).where(F.col("report_day").isNotNull())
-                .dropDuplicates(list(key)))
+    fresh = cut(rows.withColumn("report_day", day).dropDuplicates(list(key)))
     if table_exists(spark, table):
         days = fresh.select("report_day").distinct()
-        seen = spark.read.parquet(table).join(days, "report_day", "left_semi").select(*key)
-        fresh = fresh.join(seen, list(key), "left_anti")
+        kept = spark.read.schema(fresh.select(*key, "report_day").schema).parquet(table)
+        seen = (kept.join(days, "report_day", "left_semi")
+                .unionByName(kept.where(F.col("report_day").isNull()))
+                .select(*(F.col(c).alias(f"seen_{c}") for c in key)))
+        same = [F.col(c).eqNullSafe(F.col(f"seen_{c}")) for c in key]
+        fresh = fresh.join(seen, same, "left_anti")
     fresh.write.mode("append").partitionBy("report_day").parquet(table)
 
 

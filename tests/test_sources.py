@@ -282,3 +282,16 @@ def test_better_reports_replace_worse_ones(spark, tmp_path):
     got = {r["date_id"]: (r["temperature_c"], r["weather_source"])
            for r in spark.read.parquet(table).collect()}
     assert got == {dt.date(2024, 1, 1): (7.0, "metar"), dt.date(2024, 1, 2): (2.0, "openmeteo")}
+
+
+def test_reports_without_a_readable_time_are_kept_once(spark, tmp_path):
+    table = str(tmp_path / "once")
+    schema = "icao_id string, obs_time string, temp_c double"
+    odd = [("A", None, 1.0), ("A", None, 2.0), ("A", "unreadable", 3.0), (None, None, 4.0)]
+    dated = [("A", "2024-01-01 10:00:00", 5.0), (None, "2024-01-01 10:00:00", 6.0)]
+    for part in (odd[:2], odd, odd + dated, dated + odd):
+        feeds.add_distinct(spark.createDataFrame(part, schema), table)
+    got = spark.read.parquet(table).collect()
+    assert len(got) == 5
+    assert {(r.icao_id, r.obs_time) for r in got} == {r[:2] for r in odd + dated}
+    assert sum(r.report_day is None for r in got) == 3
