@@ -47,6 +47,11 @@ def map_arrow(df, fn, schema):
     return df.mapInArrow(fn, schema)
 
 
+def id_remainder(doc_id, by):
+    """Remainder of the crc32 of the id as text; a missing id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % by
+
+
 def is_held_out(doc_id):
-    """crc32 of the id as text leaves 1 when divided by 3; a missing id counts as empty text."""
-    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 3 == 1
+    """crc32 of the id as text leaves 1 when divided by 3."""
+    return id_remainder(doc_id, 3) == 1

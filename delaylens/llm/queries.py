@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from delaylens.llm import (
-    chat, decontam, extraction, languages, nbsvm, rules, simhash, substrings, tokens,
+    backoff, centroids, chat, decontam, divergence, extraction, languages, nbsvm, rules, simhash,
+    substrings, tokens,
 )
-from delaylens.llm.common import is_held_out, table, vocabulary_path
+from delaylens.llm.common import id_remainder, is_held_out, table, vocabulary_path
 from delaylens.session import scratch
 
 QUERIES, ORACLES = {}, {}
@@ -103,3 +104,26 @@ def op10(spark, sf_dir):
     model = nbsvm.fit(docs, table(spark, sf_dir, "labels"))
     return nbsvm.score(docs, model).select(
         "doc_id", is_held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@query("op11_lm_scoring", backoff.ORACLE)
+def op11(spark, sf_dir):
+    """Log10 probability of every document, learnt from six of seven; scores to six decimals."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = backoff.score(docs, id_remainder("doc_id", 7) != 2)
+    return scored.select(
+        "doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        F.round("base_score", 6).alias("base_score"), F.round("score", 6).alias("score"))
+
+
+@query("op12_source_divergence_audit", divergence.ORACLE)
+def op12(spark, sf_dir):
+    """Divergence of every source from the other sources of its language, and its leading terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op13_centroid_clustering", centroids.ORACLE)
+def op13(spark, sf_dir):
+    """Cluster, distance and inertia of every vector."""
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", centroids.digest("centroid")).drop("centroid")
