@@ -1,5 +1,7 @@
 """Staging models, the fact table and its parts, history."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from catalog import base
@@ -7,7 +9,10 @@ from catalog.base import query, with_tables
 from catalog.reports import rounded
 from delaylens.functions import columns as C
 from delaylens.operators import dedup, joins, snapshot
-from delaylens.plans import fact as plan, staging
+from delaylens.plans import fact as plan, staging, upkeep
+from delaylens.session import scratch, stored
+from delaylens.sources import tables
+from delaylens.sources.history import BucketedHistory
 
 
 def _stamp(df, *columns):
@@ -109,6 +114,44 @@ def flight_weather_fact(spark, sf):
     return rounded(base.fact(spark, sf), *FLOATS)
 
 
+@query("fact_after_corrections", with_tables("fact", body="SELECT * REPLACE (" + ", ".join(
+    f"round({c}, 9) AS {c}" for c in FLOATS) + ") FROM fact"))
+def fact_after_corrections(spark, sf):
+    """The fact after a corrected day, a late day and late weather, kept up to date day by day.
+
+    At first the 10th has other delays and aircraft, the 15th is missing, and so is the weather of
+    the 12th. The days then arrive as they are, two updates in a row.
+    """
+    flights = base.once(spark, sf, "stg_flights", lambda: base.stg_flights(spark, sf))
+    weather = base.once(spark, sf, "stg_weather", lambda: base.stg_weather(spark, sf))
+    landing, store = scratch(spark, "landing"), scratch(spark, "upkeep")
+    fixed, dry, late = (dt.date(2024, 1, d) for d in (10, 12, 15))
+    wrong = F.col("flight_date") == F.lit(fixed)
+    early = flights.where(F.col("flight_date") != F.lit(late)).withColumns({
+        "dep_delay_minutes": F.when(wrong, F.col("dep_delay_minutes") + 7)
+        .otherwise(F.col("dep_delay_minutes")),
+        "tail_number": F.when(wrong, F.substring("tail_number", 1, 1))
+        .otherwise(F.col("tail_number"))})
+    tables.write_table(early, f"{landing}/flights", partition_by=["flight_date"])
+    tables.write_table(weather.where(F.col("date_id") != F.lit(dry)), f"{landing}/weather",
+                       partition_by=["date_id"])
+
+    def landed():
+        return (spark.read.schema(flights.schema).parquet(f"{landing}/flights"),
+                spark.read.schema(weather.schema).parquet(f"{landing}/weather"))
+
+    upkeep.build(*landed(), store)
+    tables.replace_partitions(flights.where(F.col("flight_date") == F.lit(fixed)),
+                              f"{landing}/flights", "flight_date")
+    tables.replace_partitions(weather.where(F.col("date_id") == F.lit(dry)), f"{landing}/weather",
+                              "date_id")
+    upkeep.refresh(*landed(), store, [fixed, dry])
+    tables.replace_partitions(flights.where(F.col("flight_date") == F.lit(late)),
+                              f"{landing}/flights", "flight_date")
+    upkeep.refresh(*landed(), store, [late])
+    return rounded(upkeep.read_fact(spark, store), *FLOATS)
+
+
 @query("model_input", with_tables("fact", body="""
 SELECT flight_id, date_id AS flight_date, flight_month, day_of_week,
   hour_id AS scheduled_dep_hour, airline_id AS airline_code, tail_number,
@@ -194,7 +237,8 @@ WHERE flight_id IN (SELECT flight_id FROM changed)
   OR flight_id NOT IN (SELECT flight_id FROM v1)"""))
 def type2_history(spark, sf):
     """First extract up to the 20th; the second from the 10th on, with corrected arrivals."""
-    j = joins.join_weather(base.stg_flights(spark, sf), base.stg_weather(spark, sf))
+    j = stored(joins.join_weather(base.stg_flights(spark, sf), base.stg_weather(spark, sf)).select(
+        "flight_date", *SNAP), "joined")
     arrival = F.col("arr_delay_minutes")
     first = j.where("flight_date <= DATE '2024-01-20'").select(*SNAP)
     second = j.where("flight_date >= DATE '2024-01-10'").withColumn(
@@ -203,3 +247,50 @@ def type2_history(spark, sf):
                                      as_of="2024-03-01 00:00:00")
     return history.withColumns({c: F.date_format(c, "yyyy-MM-dd")
                                 for c in ("valid_from", "valid_to")})
+
+
+#: Three extracts of the joined flights: columns as SQL, and which rows each has.
+EXTRACTS = [
+    ("2024-02-01 00:00:00", {}, "flight_date <= DATE '2024-01-20' AND flight_number % 7 <> 0"),
+    ("2024-03-01 00:00:00", {"arr_delay_minutes": "arr_delay_minutes + 1", "when": "arr_delay_minutes > 60"},
+     "flight_date >= DATE '2024-01-10' AND flight_number % 5 <> 0"),
+    ("2024-04-01 00:00:00", {"dep_delay_minutes": "dep_delay_minutes - 1", "when": "dep_delay_minutes > 400"},
+     "flight_date >= DATE '2024-01-05'"),
+]
+
+
+def _extract(change, rows):
+    """Select list and filter of an extract, read alike by Spark and the checking SQL."""
+    column = next((c for c in change if c != "when"), None)
+    names = ["flight_number", *SNAP]
+    return ", ".join(
+        f"CASE WHEN {change['when']} THEN {change[c]} ELSE {c} END AS {c}" if c == column else c
+        for c in names), rows
+
+
+def _observed():
+    return " UNION ALL ".join(
+        f"SELECT {names}, '{at}' AS seen_on FROM joined WHERE {rows}"
+        for at, (names, rows) in ((at, _extract(c, r)) for at, c, r in EXTRACTS))
+
+
+@query("bucketed_history", with_tables("joined", extra={
+    "observed": (["joined"], _observed()),
+    "starts": (["observed"], f"""SELECT * FROM (SELECT *,
+        lag(struct_pack({', '.join(f'{c} := {c}' for c in SNAP[1:])})) OVER w AS before,
+        row_number() OVER w AS rn FROM observed WINDOW w AS (PARTITION BY flight_id ORDER BY seen_on))
+      WHERE rn = 1 OR struct_pack({', '.join(f'{c} := {c}' for c in SNAP[1:])})
+        IS DISTINCT FROM before"""),
+}, body=f"""
+SELECT flight_number, {', '.join(SNAP)}, seen_on AS valid_from,
+  lead(seen_on) OVER w AS valid_to, lead(seen_on) OVER w IS NULL AS is_current
+FROM starts WINDOW w AS (PARTITION BY flight_id ORDER BY seen_on)"""))
+def bucketed_history(spark, sf):
+    """Three snapshots of changing extracts in bucketed tables."""
+    j = stored(joins.join_weather(base.stg_flights(spark, sf), base.stg_weather(spark, sf)).select(
+        "flight_date", "flight_number", *SNAP), "joined")
+    history = BucketedHistory(spark, scratch(spark, "history"), j.drop("flight_date").schema)
+    for at, change, rows in EXTRACTS:
+        names, kept = _extract(change, rows)
+        history.snapshot(j.where(kept).selectExpr(*names.split(", ")), at)
+    return _stamp(history.history(), "valid_from", "valid_to")

@@ -20,12 +20,8 @@ def chunk_keys(df: DataFrame, group, day) -> DataFrame:
     return df.withColumns({"_g": C.group_token(group), "_d": _no_date(F.col(day))})
 
 
-def carried_rows(df: DataFrame, order, payload, depth) -> DataFrame:
-    """For each (_g, _d): its last ``depth`` earlier rows, latest first, as ``_carry``.
-
-    Every day keeps its last ``depth`` rows; as each day has at least one row,
-    the ``depth`` days before are enough to fill the array exactly.
-    """
+def day_tails(df: DataFrame, order, payload, depth) -> DataFrame:
+    """(_g, _d, _tail): the last ``depth`` rows of each group and day, latest first."""
     in_day = W.partitionBy("_g", "_d").orderBy(*order)
     marked = df.select(
         "_g", "_d", F.struct(*payload).alias("_row"),
@@ -36,13 +32,24 @@ def carried_rows(df: DataFrame, order, payload, depth) -> DataFrame:
         marked.where("_last").groupBy("_g", "_d")
         .agg(F.sort_array(F.collect_list(F.struct("_rn", "_row")), asc=False).alias("_tail"))
     )
-    earlier = W.partitionBy("_g").orderBy(F.col("_d").desc()).rowsBetween(1, depth)
-    recent = F.flatten(F.collect_list("_tail").over(earlier))
-    return tails.select(
-        "_g", "_d", F.transform(F.slice(recent, 1, depth), lambda x: x["_row"]).alias("_carry"))
+    return tails.withColumn("_tail", F.transform("_tail", lambda x: x["_row"]))
+
+
+def rows_before(depth, tail="_tail", group="_g", day="_d"):
+    """The last ``depth`` rows of earlier days, latest first, from one tail per group and day.
+
+    Every day has at least one row, so the tails of ``depth`` days before are enough.
+    """
+    earlier = W.partitionBy(group).orderBy(F.col(day).desc()).rowsBetween(1, depth)
+    return F.slice(F.flatten(F.collect_list(tail).over(earlier)), 1, depth)
+
+
+def carried_rows(df: DataFrame, order, payload, depth) -> DataFrame:
+    """For each (_g, _d): its last ``depth`` earlier rows, latest first, as ``_carry``."""
+    return day_tails(df, order, payload, depth).select("_g", "_d", rows_before(depth).alias("_carry"))
 
 
-def with_previous(df: DataFrame, order, payload, features, narrow=None) -> DataFrame:
+def with_previous(df: DataFrame, order, payload, features, narrow=None, carry=None) -> DataFrame:
     """Add features over the rows before each row of its group.
 
     ``df`` has ``_g`` and ``_d``. ``features`` maps a column name to
@@ -50,11 +57,13 @@ def with_previous(df: DataFrame, order, payload, features, narrow=None) -> DataF
     rows before within the day, and ``merge(here, rows)`` completes it near the
     start of a day from the carried rows that are still within reach (latest
     first). ``narrow`` is a cheaper frame with the same rows, if there is one,
-    from which the carried rows are taken.
+    from which the carried rows are taken; ``carry`` has them ready, if they are
+    stored (``df`` may then be any whole days).
     """
     in_day = W.partitionBy("_g", "_d").orderBy(*order)
     depth = max(n for n, _, _ in features.values())
-    carry = carried_rows(df if narrow is None else narrow, order, payload, depth)
+    if carry is None:
+        carry = carried_rows(df if narrow is None else narrow, order, payload, depth)
     seen = df.select(
         "*", F.row_number().over(in_day).alias("_rn"),
         *[over(in_day).alias(f"_in_{name}") for name, (_, over, _) in features.items()],

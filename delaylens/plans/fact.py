@@ -52,7 +52,17 @@ def prev_hour(hours: DataFrame) -> DataFrame:
         F.lag("current_hour_flight_count").over(w).alias("prev_hour_flight_count"))
 
 
-def tail_lag(flights: DataFrame, null_tail_chain=True) -> DataFrame:
+def hour_history(hours: DataFrame, carry: DataFrame) -> DataFrame:
+    """As ``prev_hour``, for any whole days, with the last hour before each day from a table."""
+    avg, n = "current_hour_delay_avg", "current_hour_flight_count"
+    features = {f"prev_hour_{name}": (
+        1, lambda w, c=c: F.lag(c).over(w), lambda here, rows, c=c: F.get(rows, F.lit(0))[c])
+        for name, c in (("delay_avg", avg), ("flight_count", n))}
+    keyed = chunk_keys(hours, "airport_id", "date_id")
+    return with_previous(keyed, ["hour_id"], [avg, n], features, carry=carry).drop("_g", "_d", avg, n)
+
+
+def tail_lag(flights: DataFrame, null_tail_chain=True, carry=None) -> DataFrame:
     """Arrival delay of the aircraft's previous flight.
 
     Flights without a tail number form one chain, or none at all when
@@ -64,7 +74,7 @@ def tail_lag(flights: DataFrame, null_tail_chain=True) -> DataFrame:
     features = {"lag_1_tail_arr_delay_mins": (
         1, lambda w: F.lag("arr_delay_minutes").over(w),
         lambda here, rows: F.get(rows, F.lit(0))["arr_delay_minutes"])}
-    out = with_previous(keyed, DAY_ORDER, payload, features, narrow).drop("_g", "_d")
+    out = with_previous(keyed, DAY_ORDER, payload, features, narrow, carry).drop("_g", "_d")
     if not null_tail_chain:
         out = out.withColumn("lag_1_tail_arr_delay_mins", F.when(
             F.col("tail_number").isNotNull(), F.col("lag_1_tail_arr_delay_mins")))
@@ -98,10 +108,15 @@ def _present(rows, field):
     return F.size(F.filter(rows, lambda r: r[field].isNotNull())).cast("long")
 
 
-def origin_history(keyed: DataFrame, narrow: DataFrame = None) -> DataFrame:
-    """Rolling delay, wind change and weather-delay flag of earlier flights at the origin."""
-    delay, wind = F.col("dep_delay_minutes"), F.col("wind_speed_knots")
+def origin_payload():
+    """(delay, wind, weather-delay flag) of a flight, as later flights at its origin see it."""
     late = F.when(F.col("weather_delay_mins") > 0, 1).otherwise(0)
+    return F.col("dep_delay_minutes"), F.col("wind_speed_knots"), late
+
+
+def origin_history(keyed: DataFrame, narrow: DataFrame = None, carry=None) -> DataFrame:
+    """Rolling delay, wind change and weather-delay flag of earlier flights at the origin."""
+    delay, wind, late = origin_payload()
     payload = [delay.alias("delay"), wind.alias("wind"), late.alias("late")]
     features = {
         "_delay_sum": (
@@ -117,25 +132,39 @@ def origin_history(keyed: DataFrame, narrow: DataFrame = None) -> DataFrame:
             lambda here, rows: F.greatest(
                 here, F.array_max(F.transform(rows, lambda r: r["late"])))),
     }
-    return with_previous(keyed, DAY_ORDER, payload, features, narrow).withColumns({
+    return with_previous(keyed, DAY_ORDER, payload, features, narrow, carry).withColumns({
         "rolling_6_flight_origin_delay_avg": F.try_divide(
             "_delay_sum", "rolling_6_flight_origin_count"),
         "wind_speed_delta": wind - F.col("_last_wind"),
     }).drop("_delay_sum", "_last_wind")
 
 
-def build_fact(flights: DataFrame, weather: DataFrame, null_tail_chain=True) -> DataFrame:
-    """Staged flights and staged weather to the 34-column feature fact."""
-    f = flights.withColumnsRenamed(FACT_NAMES)
-    daily = daily_weather(weather)
+def origin_rows(f: DataFrame, daily: DataFrame) -> DataFrame:
+    """What the chain of an origin airport needs of each flight."""
     narrow = chunk_keys(
         f.select("date_id", *DAY_ORDER, "origin_airport_id", "dep_delay_minutes", "weather_delay_mins"),
         "origin_airport_id", "date_id")
+    return _with_weather(narrow, daily)
+
+
+def build_fact(flights: DataFrame, weather: DataFrame, null_tail_chain=True,
+               carries=None) -> DataFrame:
+    """Staged flights and staged weather to the 34-column feature fact.
 
-    chained = tail_lag(f, null_tail_chain)
-    congested = join_prev_hour(chained, prev_hour(airport_hour(f)))
-    keyed = _with_weather(chunk_keys(congested, "origin_airport_id", "date_id"), daily)
-    return origin_history(keyed, _with_weather(narrow, daily)).select(*FACT_COLUMNS)
+    ``carries`` has stored carried rows by chain (see ``plans.upkeep``); flights and weather may
+    then be any whole days of theirs.
+    """
+    f = flights.withColumnsRenamed(FACT_NAMES)
+    daily = daily_weather(weather)
+    carries = carries or {}
+
+    chained = tail_lag(f, null_tail_chain, carries.get("aircraft"))
+    hours = airport_hour(f)
+    shifted = hour_history(hours, carries["hour"]) if "hour" in carries else prev_hour(hours)
+    keyed = _with_weather(chunk_keys(join_prev_hour(chained, shifted), "origin_airport_id", "date_id"),
+                          daily)
+    narrow = None if "origin" in carries else origin_rows(f, daily)
+    return origin_history(keyed, narrow, carries.get("origin")).select(*FACT_COLUMNS)
 
 
 def model_input(fact: DataFrame, sample_pct=100) -> DataFrame:
