@@ -32,8 +32,8 @@ from delaylens.llm.common import stored
 from delaylens.llm.kernels import mixed, range_hashes, slices
 
 #: Text in a block; tokens of the corpus for each bucket.
-BLOCK_BYTES = 8_000_000
-BUCKET_TOKENS = 2_000_000
+BLOCK_BYTES = 4_000_000
+BUCKET_TOKENS = 800_000
 #: Pseudo-counts of the lower order in each history.
 WEIGHT = 500.0
 
