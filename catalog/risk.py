@@ -1,6 +1,5 @@
 """Features, splits, metrics and models."""
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from catalog import base
@@ -13,9 +12,8 @@ from delaylens.operators import quantiles, reshape, risk
 from delaylens.plans import scoring
 from delaylens.session import cut, scratch
 
-# Model sizes for the registered queries; the library defaults are larger.
-SMALL = scoring.Settings(logistic_iterations=50, forest_trees=20, forest_depth=8,
-                         boosted_rounds=10, min_leaf=20)
+#: The sizes of the scoring job, with the leaf size of the study.
+SIZES = scoring.Settings(min_leaf=20)
 MEASURES = ["temperature_c", "precipitation_mm", "wind_speed_knots", "cloud_cover_total_pct",
             "cloud_cover_low_pct"]
 PLAIN = [c for c in S.FEATURE_COLUMNS if c.startswith(("rolling", "wind_speed_d", "lag", "dest_prev"))]
@@ -261,9 +259,9 @@ def _model(spark, sf, kind):
     key = (spark.sparkContext.applicationId, sf, kind)
     if key not in _FITTED:
         path = scratch(spark, f"model-{kind}")
-        scoring.train(_parts(spark, sf)[0], kind, SMALL).write().save(path)
+        scoring.save_model(scoring.train(_parts(spark, sf)[0], kind, SIZES), spark, path)
         _FITTED[key] = path
-    return PipelineModel.load(_FITTED[key])
+    return scoring.load_model(spark, _FITTED[key])
 
 
 _FITTED = {}
@@ -368,7 +366,7 @@ FROM (VALUES ('scored'), ('centrality'), ('medians'), ('importance'), ('comparis
 def training_run(spark, sf):
     """The whole job on the fact table and its own network; returns the sizes of its tables."""
     fact = base.once(spark, sf, "fact", lambda: base.fact(spark, sf))
-    got = scoring.run_training(fact, SMALL, edges=base.edges(spark, sf))
+    got = scoring.run_training(fact, SIZES, edges=base.edges(spark, sf))
     names = ["scored", "centrality", "medians", "importance", "comparison", "mae"]
     return reshape.union_all(*[got[n].agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(n).alias("name"), "n") for n in names])

@@ -2,22 +2,20 @@
 
 from dataclasses import dataclass
 from functools import reduce
-from typing import Optional
+from typing import Optional, Union
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from delaylens import schemas as S
 from delaylens.functions import columns as C
-from delaylens.operators import graph, joins, quantiles, reports, reshape, risk
+from delaylens.operators import boosting, graph, joins, quantiles, reports, reshape, risk
+from delaylens.operators.boosting import Boosted
 from delaylens.plans import fact as fact_plan
-from delaylens.session import cut, shared_dir, stored
+from delaylens.session import cut, stored
 from delaylens.sources.tables import export_centrality, export_scores, table_exists
 
 CLASSIFIERS = {"Logistic Regression": "logistic", "Random Forest": "forest",
@@ -26,13 +24,17 @@ CLASSIFIERS = {"Logistic Regression": "logistic", "Random Forest": "forest",
 
 @dataclass(frozen=True)
 class Settings:
-    """Model sizes of the scoring job; the study adds a minimum leaf size of 20."""
+    """Model sizes of the scoring job; the study adds a minimum leaf size of 20.
+
+    Boosting stops early when the loss on held-back rows has not fallen for ``patience`` rounds.
+    """
     logistic_iterations: int = 1000
     forest_trees: int = 200
     forest_depth: int = 15
     boosted_rounds: int = 200
     boosted_depth: int = 5
     boosted_rate: float = 0.1
+    patience: int = 10
     min_leaf: int = 1
     seed: int = 42
     features: tuple = tuple(S.FEATURE_COLUMNS)
@@ -71,40 +73,41 @@ def stages(kind, cfg: Settings):
         return [assembler(cfg.features), RandomForestClassifier(
             labelCol="is_delayed", weightCol="weight", numTrees=cfg.forest_trees,
             maxDepth=cfg.forest_depth, minInstancesPerNode=cfg.min_leaf, seed=cfg.seed)]
-    boosted = dict(maxIter=cfg.boosted_rounds, maxDepth=cfg.boosted_depth,
-                   stepSize=cfg.boosted_rate, minInstancesPerNode=cfg.min_leaf, seed=cfg.seed,
-                   cacheNodeIds=True, checkpointInterval=10)
-    if kind == "boosted":
-        return [assembler(cfg.features), GBTClassifier(labelCol="is_delayed", **boosted)]
-    if kind == "minutes":
-        return [assembler(cfg.features), GBTRegressor(labelCol="dep_delay_minutes", **boosted)]
     raise ValueError(f"unknown model kind {kind!r}")
 
 
-def train(df: DataFrame, kind, cfg: Settings = Settings()) -> PipelineModel:
+#: Target and loss of the boosted models.
+BOOSTED = {"boosted": ("is_delayed", "logistic"), "minutes": ("dep_delay_minutes", "squared")}
+
+Model = Union[PipelineModel, Boosted]
+
+
+def train(df: DataFrame, kind, cfg: Settings = Settings()) -> Model:
     """Fit one model on a frame with the features, ``is_delayed`` and minutes."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
     ready = _filled(df, cfg.features)
-    if kind in ("logistic", "forest"):
-        ready = _weighted(ready)
-    return Pipeline(stages=stages(kind, cfg)).fit(ready)
+    if kind in BOOSTED:
+        target, loss = BOOSTED[kind]
+        return boosting.fit(ready, cfg.features, target, loss, cfg.boosted_rounds, cfg.boosted_depth,
+                            cfg.boosted_rate, cfg.min_leaf, patience=cfg.patience)
+    return Pipeline(stages=stages(kind, cfg)).fit(_weighted(ready))
 
 
-def predict(df: DataFrame, model: PipelineModel, features=S.FEATURE_COLUMNS) -> DataFrame:
+def predict(df: DataFrame, model: Model, features=S.FEATURE_COLUMNS) -> DataFrame:
     """Add ``risk_score`` and ``prediction``."""
-    out = model.transform(_filled(df, features))
-    return out.withColumn("risk_score", vector_to_array("probability")[1]).drop(
+    ready = _filled(df, features)
+    if isinstance(model, Boosted):
+        return model.predict(ready, "risk_score").withColumn(
+            "prediction", F.when(F.col("risk_score") > 0.5, 1.0).otherwise(0.0))
+    return model.transform(ready).withColumn(
+        "risk_score", vector_to_array("probability")[1]).drop(
         "features", "raw", "rawPrediction", "probability")
 
 
-def predict_minutes(df: DataFrame, model: PipelineModel, features=S.FEATURE_COLUMNS) -> DataFrame:
-    return model.transform(_filled(df, features)).drop("features").withColumnRenamed(
-        "prediction", "predicted_minutes")
+def predict_minutes(df: DataFrame, model: Boosted, features=S.FEATURE_COLUMNS) -> DataFrame:
+    return model.predict(_filled(df, features), "predicted_minutes")
 
 
-def score_flights(df: DataFrame, model: PipelineModel) -> DataFrame:
+def score_flights(df: DataFrame, model: Model) -> DataFrame:
     """Score every row, training rows included; ``split`` stays when it is there."""
     scored = with_target(predict(df, model)).withColumn("risk_label", C.risk_label("risk_score"))
     return reshape.select_existing(scored, [*S.SCORE_COLUMNS, "split"])
@@ -121,11 +124,14 @@ def compare(models: dict, test: DataFrame) -> DataFrame:
         "model", "accuracy", "f1", "auc", "best")
 
 
-def importance(spark, model: PipelineModel, features=S.FEATURE_COLUMNS) -> DataFrame:
+def importance(spark, model: Model, features=S.FEATURE_COLUMNS) -> DataFrame:
     """(feature, importance, label), highest first; absolute weights for linear models."""
-    last = model.stages[-1]
-    values = (last.featureImportances if hasattr(last, "featureImportances")
-              else last.coefficients).toArray()
+    if isinstance(model, Boosted):
+        values = model.importance()
+    else:
+        last = model.stages[-1]
+        values = (last.featureImportances if hasattr(last, "featureImportances")
+                  else last.coefficients).toArray()
     rows = [(f, abs(float(v)), S.FEATURE_LABELS.get(f, f)) for f, v in zip(features, values)]
     return spark.createDataFrame(rows, "feature string, importance double, label string").orderBy(
         F.desc("importance"), "feature")
@@ -139,16 +145,28 @@ def weather_importance(table: DataFrame) -> DataFrame:
 
 @dataclass
 class Artifacts:
-    model: PipelineModel
+    model: Model
     features: list
     medians: DataFrame
-    regressor: Optional[PipelineModel] = None
+    regressor: Optional[Boosted] = None
+
+
+def save_model(model: Model, spark, path) -> None:
+    if isinstance(model, Boosted):
+        model.save(spark, path)
+    else:
+        model.write().overwrite().save(path)
+
+
+def load_model(spark, path) -> Model:
+    return (PipelineModel.load(path) if table_exists(spark, f"{path}/metadata")
+            else Boosted.load(spark, path))
 
 
 def save_artifacts(path, spark, models: dict, medians: DataFrame,
                    features=S.FEATURE_COLUMNS) -> None:
     for kind, model in models.items():
-        model.write().overwrite().save(f"{path}/{kind}")
+        save_model(model, spark, f"{path}/{kind}")
     names = spark.createDataFrame(list(enumerate(features)), "position int, feature string")
     names.write.mode("overwrite").parquet(f"{path}/features")
     medians.write.mode("overwrite").parquet(f"{path}/medians")
@@ -159,9 +177,9 @@ def load_artifacts(path, spark) -> Optional[Artifacts]:
     if not all(table_exists(spark, f"{path}/{p}") for p in ("boosted", "features", "medians")):
         return None
     named = spark.read.parquet(f"{path}/features").orderBy("position").collect()
-    regressor = (PipelineModel.load(f"{path}/minutes")
+    regressor = (load_model(spark, f"{path}/minutes")
                  if table_exists(spark, f"{path}/minutes") else None)
-    return Artifacts(PipelineModel.load(f"{path}/boosted"), [r["feature"] for r in named],
+    return Artifacts(load_model(spark, f"{path}/boosted"), [r["feature"] for r in named],
                      spark.read.parquet(f"{path}/medians"), regressor)
 
 
