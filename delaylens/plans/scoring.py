@@ -27,6 +27,7 @@ class Settings:
     """Model sizes of the scoring job; the study adds a minimum leaf size of 20.
 
     Boosting stops early when the loss on held-back rows has not fallen for ``patience`` rounds.
+    ``fit_rows`` bounds the rows that a model learns from (a hash sample; None: all); all are scored.
     """
     logistic_iterations: int = 1000
     forest_trees: int = 200
@@ -36,6 +37,7 @@ class Settings:
     boosted_rate: float = 0.1
     patience: int = 10
     min_leaf: int = 1
+    fit_rows: Optional[int] = None
     seed: int = 42
     features: tuple = tuple(S.FEATURE_COLUMNS)
 
@@ -82,9 +84,18 @@ BOOSTED = {"boosted": ("is_delayed", "logistic"), "minutes": ("dep_delay_minutes
 Model = Union[PipelineModel, Boosted]
 
 
+def learnt_rows(df: DataFrame, cfg: Settings) -> DataFrame:
+    """All rows, or about ``fit_rows`` of them by a hash of their values."""
+    n = df.count() if cfg.fit_rows else 0
+    if n <= (cfg.fit_rows or 0):
+        return df
+    draw = F.pmod(F.xxhash64(*cfg.features, "is_delayed", "dep_delay_minutes"), F.lit(n))
+    return df.where(draw < cfg.fit_rows)
+
+
 def train(df: DataFrame, kind, cfg: Settings = Settings()) -> Model:
     """Fit one model on a frame with the features, ``is_delayed`` and minutes."""
-    ready = _filled(df, cfg.features)
+    ready = _filled(learnt_rows(df, cfg), cfg.features)
     if kind in BOOSTED:
         target, loss = BOOSTED[kind]
         return boosting.fit(ready, cfg.features, target, loss, cfg.boosted_rounds, cfg.boosted_depth,
@@ -138,7 +149,9 @@ def importance(spark, model: Model, features=S.FEATURE_COLUMNS) -> DataFrame:
 
 
 def weather_importance(table: DataFrame) -> DataFrame:
-    return table.where(F.col("feature").isin(S.WEATHER_FEATURES))
+    """The weather features alone, with the label that the flag has among them."""
+    label = F.when(F.col("feature") == S.WEATHER_FLAG, S.WEATHER_FLAG_LABEL).otherwise(F.col("label"))
+    return table.where(F.col("feature").isin(S.WEATHER_FEATURES)).withColumn("label", label)
 
 
 # --- artefacts ---------------------------------------------------------------------

@@ -98,6 +98,8 @@ WEATHER_FEATURES = [
     "cloud_cover_total_pct", "cloud_cover_low_pct", "wind_speed_delta",
     "rolling_3_flight_weather_delay_flag",
 ]
+WEATHER_FLAG = "rolling_3_flight_weather_delay_flag"
+WEATHER_FLAG_LABEL = "Recent weather delay (rolling 3-flight flag)"
 
 # --- Fixed values: thresholds and constants ---------------------------------
 
