@@ -185,6 +185,18 @@ def edges(spark, sf_dir) -> DataFrame:
         "src <> dest"))
 
 
+def wide_edges(spark, sf_dir) -> DataFrame:
+    """Routes of a network that grows: one airport per supplier, to 17 others by customer."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    airports = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
+    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("n", airports)
+    origin = F.col("l_suppkey") % F.col("n")
+    dest = (origin * 3 + 1 + F.col("o_custkey") % 17 * 5) % F.col("n")
+    flown = j.select(origin.cast("string").alias("origin"), dest.cast("string").alias("dest"))
+    return once(spark, sf_dir, "wide-edges", lambda: graph.network(flown).where("src <> dest"))
+
+
 def centrality(spark, sf_dir) -> DataFrame:
     """PageRank and betweenness of all airports, as the scoring job makes them."""
     return once(spark, sf_dir, "centrality", lambda: graph.centrality_scores(
@@ -374,6 +386,12 @@ CTES = {
         SELECT origin AS src, dest, count(*) AS weight FROM legs GROUP BY ALL"""),
     "edges": (["routes"], """
         SELECT src, dest, weight FROM routes WHERE src <> dest"""),
+    "wide_edges": ([], """
+        SELECT src, dest, count(*) AS weight FROM (
+          SELECT CAST(a AS VARCHAR) AS src, CAST((a * 3 + 1 + o_custkey % 17 * 5) % n AS VARCHAR) AS dest
+          FROM (SELECT l_suppkey % n AS a, o_custkey, n FROM lineitem
+              JOIN orders ON l_orderkey = o_orderkey CROSS JOIN (SELECT count(*) AS n FROM supplier)))
+        WHERE src <> dest GROUP BY ALL"""),
 }
 
 

@@ -370,3 +370,48 @@ def airport_risk_matrix(spark, sf):
     table = joins.airport_delay(base.scores(spark, sf), hubs(spark, sf), min_n=50)
     m = matrix.risk_matrix(table.select("airport", "pagerank", "delay_rate", "count"))
     return rounded(m.select("airport", "quadrant", "show_label", "count", "size"), "size")
+
+
+# --- a network that grows with the tables ------------------------------------------------
+
+@query("wide_network_summary", with_tables("wide_edges", extra={
+    "wide_nodes": (["wide_edges"], "SELECT src AS a FROM wide_edges UNION SELECT dest FROM wide_edges")},
+    body="""
+SELECT (SELECT count(*) FROM wide_nodes) AS nodes, count(*) AS edges, CAST(sum(weight) AS BIGINT) AS flights,
+  round(avg(weight), 9) AS flights_per_route,
+  round(count(*) / ((SELECT count(*) FROM wide_nodes) * ((SELECT count(*) FROM wide_nodes) - 1)), 9)
+    AS density FROM wide_edges"""))
+def wide_network_summary(spark, sf):
+    return rounded(graph.network_summary(base.wide_edges(spark, sf)), "flights_per_route", "density")
+
+
+@query("wide_degree_centrality", with_tables("wide_edges", extra={
+    "ends": (["wide_edges"], "SELECT src AS a FROM wide_edges UNION ALL SELECT dest FROM wide_edges")},
+    body="""
+SELECT a AS airport, count(*) AS degree,
+  round(count(*) / ((SELECT count(DISTINCT a) FROM ends) - 1), 9) AS degree_centrality
+FROM ends GROUP BY a"""))
+def wide_degree_centrality(spark, sf):
+    return rounded(graph.degree(base.wide_edges(spark, sf)), "degree_centrality")
+
+
+#: Exact distances by levels; the network of the tables has a diameter of a few hops.
+@query("sketched_closeness", with_tables("wide_edges", recursive=True, extra={
+    "wide_nodes": (["wide_edges"], "SELECT src AS a FROM wide_edges UNION SELECT dest FROM wide_edges"),
+    "walks": (["wide_nodes"], """SELECT a AS s, a AS v, 0 AS d FROM wide_nodes
+      UNION SELECT s, dest, d + 1 FROM walks JOIN wide_edges ON v = src WHERE d < 8"""),
+    "hops": (["walks"], "SELECT s, v, min(d) AS d FROM walks GROUP BY s, v")},
+    body="""
+SELECT v AS airport, round((count(*) - 1) * (count(*) - 1)
+  / (sum(d)::DOUBLE * ((SELECT count(*) FROM wide_nodes) - 1)), 6) AS closeness_centrality
+FROM hops GROUP BY v"""))
+def sketched_closeness(spark, sf):
+    """Closeness from sketches of the airports in reach, which are exact for few airports."""
+    return rounded(graph.closeness_by_sketches(base.wide_edges(spark, sf)), "closeness_centrality",
+                   digits=6)
+
+
+@query("betweenness_within_bound")
+def betweenness_within_bound(spark, sf):
+    """Betweenness of all airports from as many sources as an error of 0.2 asks for."""
+    return graph.betweenness_within(base.wide_edges(spark, sf), 0.2, cost="hops")

@@ -5,9 +5,10 @@ their lineage with reliable checkpoints; the driver sees only one-row totals
 that decide when to stop.
 """
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from delaylens.session import cut
 
@@ -162,17 +163,13 @@ def _sum_levels(levels, out):
             .agg(F.sum("x").alias(out)))
 
 
-def betweenness(edges: DataFrame, cost="weight", k=None) -> DataFrame:
-    """Share of shortest paths through each airport, normalised (Freeman, 1977).
+def dependencies(edges: DataFrame, sources: DataFrame, cost="weight") -> DataFrame:
+    """(source, airport, x): how much the shortest paths from a source depend on each airport.
 
     Pair dependencies are accumulated per source along the shortest-path edges
-    (Brandes, 2001), so the work is sources x routes and never all pairs of
-    pairs. With ``k`` only k pivots are sources and the sum is scaled by N / k
-    (Brandes & Pich, 2007).
+    (Brandes, 2001), so the work is sources x routes and never all pairs of pairs.
     """
-    edges = cut(edges)
     hops = edges.where("src <> dest").select("src", "dest", edge_cost(cost).alias("cost"))
-    sources = cut(pivots(edges, k))
     dist = shortest_distances(edges, sources, cost)
     ahead = dist.select("source", F.col("airport").alias("dest"), F.col("dist").alias("reach"))
     tight = cut(
@@ -198,7 +195,18 @@ def betweenness(edges: DataFrame, cost="weight", k=None) -> DataFrame:
         .where("src <> source").groupBy("source", F.col("src").alias("airport"))
         .agg(F.sum(F.col("x") * F.col("share")).alias("x"))))
     through = levels[1:] or [ends.limit(0)]
-    raw = reduce(DataFrame.unionByName, through).groupBy("airport").agg(F.sum("x").alias("raw"))
+    return reduce(DataFrame.unionByName, through)
+
+
+def betweenness(edges: DataFrame, cost="weight", k=None) -> DataFrame:
+    """Share of shortest paths through each airport, normalised (Freeman, 1977).
+
+    With ``k`` only k pivots are sources and the sum is scaled by N / k
+    (Brandes & Pich, 2007).
+    """
+    edges = cut(edges)
+    sources = cut(pivots(edges, k))
+    raw = dependencies(edges, sources, cost).groupBy("airport").agg(F.sum("x").alias("raw"))
 
     n = nodes(edges).agg(F.count(F.lit(1))).first()[0]
     used = sources.agg(F.count(F.lit(1))).first()[0]
@@ -207,6 +215,48 @@ def betweenness(edges: DataFrame, cost="weight", k=None) -> DataFrame:
         "airport", (F.coalesce("raw", F.lit(0.0)) * scale).alias("betweenness"))
 
 
+def betweenness_within(edges: DataFrame, error=0.05, doubt=0.05, cost="weight", batch=32) -> DataFrame:
+    """Betweenness from as few sources as an error bound asks for: ``betweenness, bound, sources``.
+
+    Sources are taken in batches, in the order of ``pivots``. After each batch every airport has a
+    bound on its error, the better of one from the spread of what its sources gave (empirical
+    Bernstein; Audibert, Munos & Szepesvari, 2007) and one that shrinks as sources run out (Serfling,
+    1974). Sampling stops when all bounds are at most ``error``; all of them hold together, at all
+    batches, with a probability of 1 - ``doubt`` over the order of sources. With every source used
+    the result is exact and the bound 0. The driver sees one row per batch.
+    """
+    edges = cut(edges)
+    order = F.row_number().over(W.orderBy(F.md5("source"), "source"))
+    ranked = cut(pivots(edges).withColumn("at", order))  # one row per airport
+    n = ranked.count()
+    if n < 3:
+        return nodes(edges).select("airport", F.lit(0.0).alias("betweenness"), F.lit(0.0).alias("bound"),
+                                   F.lit(n).alias("sources"))
+    sums = nodes(edges).select("airport", F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
+    used = step = 0
+    while True:
+        step += 1
+        part = cut(ranked.where((F.col("at") > used) & (F.col("at") <= used + batch)).select("source"))
+        used = min(n, used + batch)
+        share = dependencies(edges, part, cost).groupBy("source", "airport").agg(
+            (F.sum("x") / (n - 2)).alias("y"))
+        new = share.groupBy("airport").agg(F.sum("y").alias("s"), F.sum(F.col("y") ** 2).alias("q"))
+        sums = cut(sums.unionByName(new).groupBy("airport").agg(F.sum("s").alias("s"),
+                                                                F.sum("q").alias("q")))
+        # a share of the doubt for every airport, batch and kind of bound
+        part_of_doubt = doubt / (2 * n * step * (step + 1))
+        spread = F.greatest(F.col("q") / used - (F.col("s") / used) ** 2, F.lit(0.0))
+        by_spread = (F.sqrt(2 * spread * math.log(3 / part_of_doubt) / used)
+                     + 3 * math.log(3 / part_of_doubt) / used)
+        by_size = math.sqrt((1 - (used - 1) / n) * math.log(2 / part_of_doubt) / (2 * used))
+        to_scale = n / (n - 1)  # a source is no path end for itself
+        bound = F.least(by_spread, F.lit(by_size)) * to_scale if used < n else F.lit(0.0)
+        rows = sums.select("airport", (F.col("s") / used * to_scale).alias("betweenness"),
+                           bound.alias("bound"), F.lit(used).alias("sources"))
+        if used == n or rows.agg(F.max("bound")).first()[0] <= error:
+            return rows
+
+
 def closeness(edges: DataFrame) -> DataFrame:
     """Closeness over incoming hop distances, scaled by the share of airports that
     can reach the airport (Wasserman & Faust, 1994)."""
@@ -219,6 +269,43 @@ def closeness(edges: DataFrame) -> DataFrame:
     return reach.select("airport", F.coalesce(value, F.lit(0.0)).alias("closeness_centrality"))
 
 
+def closeness_by_sketches(edges: DataFrame, lg_k=12, max_rounds=None) -> DataFrame:
+    """Closeness from distinct-count sketches, in space that does not grow with the reach.
+
+    Each airport keeps one sketch of the airports that can come to it within r hops. A round unites
+    the sketches of its neighbours (Boldi & Vigna, 2013), so work is rounds x routes where exact
+    distances need airports x routes. The sum of distances follows from the counts of all rounds.
+    A sketch has at most about 2**lg_k bytes; the relative standard error of a count is near
+    1.04 / sqrt(2**lg_k), and counts well below 2**lg_k / 8 are practically exact.
+    """
+    edges = cut(edges.where("src <> dest").select("src", "dest").distinct())
+    n = nodes(edges).agg(F.count(F.lit(1))).first()[0]
+    state = cut(nodes(edges).groupBy("airport").agg(F.hll_sketch_agg("airport", lg_k).alias("ball"))
+                .withColumns({"reach": F.lit(1).cast("long"), "inner": F.lit(0).cast("long")}))
+    rounds = 0
+    while max_rounds is None or rounds < max_rounds:
+        given = edges.join(state.select(F.col("airport").alias("src"), "ball"), "src").select(
+            F.col("dest").alias("airport"), "ball")
+        united = state.select("airport", "ball").unionByName(given).groupBy("airport").agg(
+            F.hll_union_agg("ball").alias("grown"))
+        following = cut(state.join(united, "airport").select(
+            "airport", F.col("grown").alias("ball"),
+            # counts of a growing set are kept from falling
+            F.greatest(F.hll_sketch_estimate("grown"), "reach").alias("reach"),
+            (F.col("inner") + F.col("reach")).alias("inner"),
+            (F.hll_sketch_estimate("grown") > F.col("reach")).alias("moved")))
+        moved = not following.where("moved").isEmpty()
+        if not moved:
+            break
+        rounds += 1
+        state = following.drop("moved")
+    # with N_r airports within r hops, distances sum to the sum of N - N_r over all rounds before
+    others = F.col("reach") - 1
+    total = rounds * F.col("reach") - F.col("inner")
+    value = F.try_divide(others * others, total * (n - 1))
+    return state.select("airport", F.coalesce(value, F.lit(0.0)).alias("closeness_centrality"))
+
+
 def centrality(edges: DataFrame, cost="weight", tol=1e-6) -> DataFrame:
     """The eight-column centrality table of the network study."""
     edges = cut(edges)

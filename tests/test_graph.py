@@ -116,3 +116,44 @@ def test_degree_strength_and_summary(spark):
     assert (s["nodes"], s["edges"], s["flights"], s["density"]) == (3, 3, 8, 0.5)
     sub = graph.subgraph(df, spark.createDataFrame([("n0",), ("n1",)], "airport string"))
     assert sorted(r["width"] for r in sub.collect()) == [0.2, 1.0]
+
+
+def test_closeness_by_sketches(spark):
+    edges = sample(4)
+    exact = {r[0]: r[1] for r in graph.closeness(frame(spark, edges)).collect()}
+    got = {r[0]: r[1] for r in graph.closeness_by_sketches(frame(spark, edges)).collect()}
+    assert got.keys() == exact.keys() and all(abs(got[k] - exact[k]) < 1e-9 for k in exact)
+
+
+def test_coarse_sketches_keep_their_error(spark):
+    """600 airports on a ring with chords, 16 registers: counts are off by some tens of percent."""
+    n = 600
+    edges = {(a, (a + step) % n): 1 for a in range(n) for step in (1, 50)}
+    dist = shortest(edges, 0, lambda w: 1)  # the same for every airport
+    want = (n - 1) ** 2 / (sum(dist.values()) * (n - 1))
+    for lg_k, error in ((12, 0.05), (4, 0.8)):
+        df = graph.closeness_by_sketches(frame(spark, edges), lg_k)
+        values = [r[1] for r in df.collect()]
+        assert len(values) == n
+        assert abs(sum(values) / n / want - 1) < error
+
+
+def test_betweenness_within_its_bound(spark):
+    rng = random.Random(8)
+    edges = {(a, b): 1 for a in range(60) for b in rng.sample(range(60), 5) if a != b}
+    df = frame(spark, edges)
+    exact = {r[0]: r[1] for r in graph.betweenness(df, "hops").collect()}
+    some = {r.airport: r for r in graph.betweenness_within(df, 0.3, cost="hops", batch=12).collect()}
+    used = next(iter(some.values())).sources
+    assert some.keys() == exact.keys() and used < 60
+    assert all(r.bound <= 0.3 and abs(r.betweenness - exact[k]) <= r.bound for k, r in some.items())
+    whole = graph.betweenness_within(df, 0.0, cost="hops", batch=40).collect()
+    assert all(r.bound == 0 and r.sources == 60 and abs(r.betweenness - exact[r.airport]) < 1e-12
+               for r in whole)
+
+
+def test_networks_of_one_route(spark):
+    df = frame(spark, {(0, 1): 3})
+    assert {tuple(r) for r in graph.betweenness_within(df).collect()} == {
+        ("n0", 0.0, 0.0, 2), ("n1", 0.0, 0.0, 2)}
+    assert {tuple(r) for r in graph.closeness_by_sketches(df).collect()} == {("n0", 0.0), ("n1", 1.0)}
