@@ -236,6 +236,16 @@ class Encoder:
         starts, ends = starts[real], ends[real]
         at, size = self._looked_up(whole, starts, ends, range_hashes(points, starts, ends))
         ids = self.pool[spread(at, size)]
+        # the memo goes by hashes: ids that do not spell the texts would be another token's
+        spelt = self.plain_data[spread(self.plain_at[ids], self.plain_len[ids])]
+        if not np.array_equal(spelt, np.frombuffer("".join(texts).encode(), np.uint8)):
+            known = {}
+            each = [whole[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+            for token in each:
+                if token not in known:
+                    known[token] = np.asarray(self.encode_token(token), np.uint32)
+            size = np.array([len(known[token]) for token in each], np.int64)
+            ids = np.concatenate([known[token] for token in each])
         return ids, np.bincount(text_of, size, minlength=len(texts)).astype(np.int64)
 
     def _pretokens(self, points):

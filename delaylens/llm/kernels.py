@@ -3,30 +3,35 @@
 import numpy as np
 import pyarrow as pa
 
-#: Odd multiplier of the rolling hash, and the finaliser's two multipliers.
+#: Odd multiplier of sequence hashes, and the finaliser's two multipliers.
 BASE = 0x9E3779B97F4A7C15
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+#: Prime moduli of the range hash with a base each. Powers of one base modulo a power of two would
+#: let two words over two letters collide (one is the complement of the other).
+MODULI = ((2147483647, 1000000007), (2147483629, 998244353))
 #: Bytes of text handled at once; bounds the memory of a task whatever the batch size.
 SLICE_BYTES = 700_000
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_POWERS = [(np.ones(1, np.uint64), np.ones(1, np.uint64)) for _ in MODULI]
 
 
-def _grown(known, base, size):
+def _grown(known, base, prime, size):
     while len(known) < size:
-        step = np.uint64(pow(base, len(known), 1 << 64))
-        known = np.concatenate([known, known * step])
+        step = np.uint64(pow(base, len(known), prime))
+        known = np.concatenate([known, known * step % np.uint64(prime)])
     return known
 
 
-def powers(size):
-    """Powers of the multiplier and of its inverse modulo 2**64, at least ``size`` of each."""
-    _POWERS[0] = _grown(_POWERS[0], BASE, size)
-    _POWERS[1] = _grown(_POWERS[1], pow(BASE, -1, 1 << 64), size)
-    return _POWERS
+def powers(which, size):
+    """Powers of a base and of its inverse by its prime, at least ``size`` of each."""
+    prime, base = MODULI[which]
+    up, down = _POWERS[which]
+    if len(up) < size:
+        _POWERS[which] = (_grown(up, base, prime, size), _grown(down, pow(base, -1, prime), prime, size))
+    return _POWERS[which]
 
 
 def mixed(h):
@@ -39,12 +44,58 @@ def mixed(h):
 
 
 def range_hashes(values, starts, ends):
-    """64-bit hash of each ``values[start:end]``, equal for equal content."""
-    up, down = powers(len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[:len(values)], out=total[1:])
-    raw = (total[ends] - total[starts]) * down[starts]
-    return mixed(raw ^ (ends - starts).astype(np.uint64))
+    """64-bit hash of each ``values[start:end]``, equal for equal content.
+
+    Not proof of equal content: compare what is behind equal hashes (``exact_groups``).
+    """
+    n = len(values)
+    parts = []
+    for which, (prime, _) in enumerate(MODULI):
+        up, down = powers(which, n + 1)
+        prime = np.uint64(prime)
+        total = np.zeros(n + 1, np.uint64)
+        # terms are below 2**31, so their running sum fits for any text
+        np.multiply(values, up[:n], out=total[1:], dtype=np.uint64, casting="unsafe")
+        total[1:] %= prime
+        np.cumsum(total, out=total)
+        parts.append((total[ends] - total[starts]) % prime * down[starts] % prime)
+    raw = parts[0] << np.uint64(32) | parts[1]
+    return mixed(mixed(raw) ^ (ends - starts).astype(np.uint64))
+
+
+def exact_groups(hashes, same, content):
+    """Group number of each item, equal exactly for equal content.
+
+    ``same(i, j)`` compares items with equal hashes pair by pair; only if some differ, items are
+    numbered by ``content(i)``.
+    """
+    order = np.argsort(hashes, kind="stable")
+    h = hashes[order]
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    tied = np.flatnonzero(~new)
+    group = np.empty(len(h), np.int64)
+    group[order] = np.cumsum(new) - 1
+    if len(tied) and not same(order[tied], order[tied - 1]).all():
+        seen = {}
+        for i in range(len(h)):
+            group[i] = seen.setdefault(content(i), len(seen))
+    return group
+
+
+def same_ranges(data, starts, ends, a, b):
+    """Whether ranges ``a`` and ``b`` hold the same values, pair by pair."""
+    length = ends - starts
+    out = length[a] == length[b]
+    rows = np.flatnonzero(out)
+    step = 4096
+    for at in range(0, len(rows), step):
+        part = rows[at:at + step]
+        size = length[a[part]]
+        own = np.repeat(part, size)
+        differ = data[spread(starts[a[part]], size)] != data[spread(starts[b[part]], size)]
+        out[own[differ]] = False
+    return out
 
 
 def sequence_hashes(hashes, length):

@@ -11,12 +11,13 @@ Without documents or labels there is no forest and only the fixed limits count.
 """
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from delaylens.llm.common import appended, with_fields
+from delaylens.llm.common import appended, stored, with_fields
 from delaylens.llm.kernels import (
-    mixed, per_text, range_hashes, sequence_hashes, slices, texts_of,
+    exact_groups, mixed, per_text, range_hashes, same_ranges, sequence_hashes, slices, texts_of,
 )
 
 MIN_WORDS = 50
@@ -52,14 +53,16 @@ def _between(mask, bounds):
     return np.diff(np.concatenate([[0], np.cumsum(mask)])[bounds])
 
 
-def _repeats(text_of, hashes):
+def _repeats(text_of, hashes, same, content):
     """For each value, whether it occurs again, and whether it occurred before, in its text."""
     key = mixed(hashes ^ (text_of.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
-    order = np.argsort(key, kind="stable")
-    same = key[order[1:]] == key[order[:-1]]
+    group = exact_groups(key, lambda a, b: (text_of[a] == text_of[b]) & same(a, b),
+                         lambda i: (text_of[i], content(i)))
+    order = np.argsort(group, kind="stable")
+    alike = group[order[1:]] == group[order[:-1]]
     again, before = np.zeros(len(key), bool), np.zeros(len(key), bool)
-    again[order[:-1][same]] = True
-    before[order[1:][same]] = True
+    again[order[:-1][alike]] = True
+    before[order[1:][alike]] = True
     return again, before
 
 
@@ -82,14 +85,21 @@ def measured(texts):
     line_end = np.minimum(next_break, offsets[line_text + 1])
     full = np.searchsorted(starts, line_end) > np.searchsorted(starts, line_start)
     line_start, line_end, line_text = line_start[full], line_end[full], line_text[full]
-    _, earlier = _repeats(line_text, range_hashes(data, line_start, line_end))
+    _, earlier = _repeats(
+        line_text, range_hashes(data, line_start, line_end),
+        lambda a, b: same_ranges(data, line_start, line_end, a, b),
+        lambda i: data[line_start[i]:line_end[i]].tobytes())
     n_dup = np.bincount(line_text, earlier, minlength=n).astype(np.int64)
     n_lines = np.bincount(line_text, minlength=n)
 
     text_of = np.repeat(np.arange(n), n_words)
     three = sequence_hashes(range_hashes(data, starts, ends), 3)
     own = np.flatnonzero(text_of[:len(three)] == text_of[2:]) if len(three) else np.zeros(0, int)
-    again, before = _repeats(text_of[own], three[own])
+    again, before = _repeats(
+        text_of[own], three[own],
+        lambda a, b: np.all([same_ranges(data, starts, ends, own[a] + k, own[b] + k)
+                             for k in range(3)], axis=0),
+        lambda i: tuple(data[starts[own[i] + k]:ends[own[i] + k]].tobytes() for k in range(3)))
     hit = np.zeros(len(starts), bool)
     found = own[again | before]
     for shift in range(3):
@@ -112,11 +122,10 @@ def failed_limits(counts):
         100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"])
 
 
-def statistics(docs: DataFrame, text="text", model=None, keep_text=True) -> DataFrame:
-    """Add the counts, ``base_failed`` and either ``features`` or, given a model, the verdict."""
-    extra = {c: T.LongType() for c in COUNTS} | {"base_failed": T.BooleanType()}
-    extra |= ({"anomaly": T.DoubleType(), "kept": T.BooleanType()} if model is not None
-              else {"features": T.ArrayType(T.DoubleType())})
+def statistics(docs: DataFrame, text="text", keep_text=True) -> DataFrame:
+    """Add the counts, ``base_failed`` and ``features``; columns of these names are replaced."""
+    extra = {c: T.LongType() for c in COUNTS} | {
+        "base_failed": T.BooleanType(), "features": T.ArrayType(T.DoubleType())}
     base = docs.schema if keep_text else T.StructType(
         [f for f in docs.schema.fields if f.name != text])
 
@@ -124,15 +133,11 @@ def statistics(docs: DataFrame, text="text", model=None, keep_text=True) -> Data
         for batch in slices(batches, text):
             at = batch.schema.get_field_index(text)
             counts, features = measured(texts_of(batch.column(at)))
-            bad = failed_limits(counts)
-            cols = {c: pa.array(v) for c, v in counts.items()} | {"base_failed": pa.array(bad)}
-            if model is None:
-                cols["features"] = pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(bad) + 1, dtype=np.int32) * len(FEATURES)),
-                    pa.array(features.ravel()))
-            else:
-                score = model.score(features)
-                cols |= {"anomaly": pa.array(score), "kept": pa.array(~bad & model.accepts(score))}
+            cols = {c: pa.array(v) for c, v in counts.items()}
+            cols["base_failed"] = pa.array(failed_limits(counts))
+            cols["features"] = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(features) + 1, dtype=np.int32) * len(FEATURES)),
+                pa.array(features.ravel()))
             own = batch if keep_text else batch.select(
                 [i for i in range(batch.num_columns) if i != at])
             yield appended(own, cols)
@@ -243,29 +248,29 @@ def threshold(bins, good_weight, n_bins=BINS):
     return float(best[len(best) // 2] / n_bins)
 
 
+def judged(table: DataFrame, forest: Forest) -> DataFrame:
+    """``statistics`` with ``anomaly`` and ``kept`` in place of ``features``."""
+    score = forest.score
+
+    @F.pandas_udf("double")
+    def anomaly(features: pd.Series) -> pd.Series:
+        return pd.Series(score(np.stack(features.to_list()).astype(float)) if len(features) else [])
+
+    cut = float(forest.threshold)
+    return table.withColumn("anomaly", anomaly("features")).withColumn(
+        "kept", ~F.col("base_failed") & (F.col("anomaly") < F.lit(cut))).drop("features")
+
+
 def apply(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
-    """Documents with their counts, ``base_failed``, ``anomaly`` and ``kept``."""
-    forest = fit(statistics(docs.select(doc_id, text), text, keep_text=False), labels, doc_id)
-    return statistics(docs, text, forest)
+    """Documents with their counts, ``base_failed``, ``anomaly`` and ``kept``.
+
+    Texts are measured once; they are stored with their statistics for the verdict.
+    """
+    table = stored(statistics(docs, text), "rules")
+    return judged(table, fit(table, labels, doc_id))
 
 
 def apply_stored(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
-    """As ``apply``, without texts and other columns: the statistics are made once and stored."""
-    from delaylens.llm.common import stored
+    """As ``apply``, without texts and other columns."""
     table = stored(statistics(docs.select(doc_id, text), text, keep_text=False), "rules")
-    forest = fit(table, labels, doc_id)
-    schema = with_fields(table.drop("features").schema, anomaly=T.DoubleType(),
-                         kept=T.BooleanType())
-
-    def judge(batches):
-        for batch in batches:
-            at = batch.schema.get_field_index("features")
-            score = forest.score(
-                batch.column(at).flatten().to_numpy().reshape(-1, len(FEATURES)))
-            bad = batch.column(batch.schema.get_field_index("base_failed")).to_numpy(
-                zero_copy_only=False)
-            yield appended(batch.select([i for i in range(batch.num_columns) if i != at]),
-                           {"anomaly": pa.array(score),
-                            "kept": pa.array(~bad & forest.accepts(score))})
-
-    return table.mapInArrow(judge, schema)
+    return judged(table, fit(table, labels, doc_id))

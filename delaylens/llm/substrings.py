@@ -9,8 +9,9 @@ the bucket of the minimiser, where windows are sorted and counted exactly.
 3. Only documents with such runs send packed strings. A bucket holds a bounded number of them.
 4. A minimiser with more than ``hot_rows`` runs is dealt over salted groups: each reduces its
    windows to (hash, smallest id, largest id), these are merged by ranges of the hash, and the
-   windows that repeat go back to every salted group. There, windows are told apart by two 64-bit
-   hashes (minimiser and window) instead of their words.
+   hashes that occur under two ids go back to every salted group. Only a filter so far: each salted
+   group then sends the words of its windows with such hashes, once, to groups by hash, where
+   they are compared as bytes, and gets back the smallest id of exactly these words.
 
 Every window whose words also start in a document with a smaller id is removed with all words it
 covers; windows are judged on the input. Null texts have no words. A null id counts as larger than
@@ -27,7 +28,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from delaylens.llm.common import appended, stored, with_fields
 from delaylens.llm.kernels import (
-    Texts, mixed, range_hashes, sequence_hashes, slices, sliding_minimum, spread, texts_of,
+    exact_groups, mixed, range_hashes, same_ranges, sequence_hashes, slices, sliding_minimum, spread,
+    texts_of,
 )
 
 WINDOW = 50
@@ -35,7 +37,9 @@ MINIMISER = 8
 #: Windows of one packed string, packed strings of a bucket, and runs from which a key is salted.
 RUN = 64
 BUCKET_ROWS = 4000
-HOT_ROWS = 4000
+HOT_ROWS = 2000
+#: Packed strings whose windows are spelt out at once (more only if one minimiser has them).
+PART_ROWS = 500
 NO_ID = (1 << 63) - 1
 
 
@@ -94,34 +98,10 @@ def windows_of(strings, window):
     return texts.data, lo, hi, range_hashes(texts.data, lo, hi), np.repeat(np.arange(len(texts)), count)
 
 
-def same_bytes(data, a, b, length):
-    """Whether the byte strings at ``a`` and ``b`` agree, pair by pair."""
-    out = np.ones(len(a), bool)
-    for at in range(0, len(a), 4096):
-        part = slice(at, at + 4096)
-        own = np.repeat(np.arange(len(a[part])), length[part])
-        differ = data[spread(a[part], length[part])] != data[spread(b[part], length[part])]
-        out[part][own[differ]] = False
-    return out
-
-
-def exact_groups(data, starts, ends, hashes):
+def window_groups(data, starts, ends, hashes):
     """Group number of each window, equal exactly for equal words."""
-    order = np.argsort(hashes, kind="stable")
-    h, length = hashes[order], (ends - starts)[order]
-    new = np.ones(len(h), bool)
-    new[1:] = h[1:] != h[:-1]
-    tied = np.flatnonzero(~new)
-    alike = length[tied] == length[tied - 1]
-    alike[alike] = same_bytes(data, starts[order[tied[alike]]], starts[order[tied[alike] - 1]],
-                              length[tied[alike]])
-    group = np.empty(len(h), np.int64)
-    group[order] = np.cumsum(new) - 1
-    if not alike.all():  # a collision: number the windows by their bytes
-        seen = {}
-        for i in range(len(h)):
-            group[i] = seen.setdefault(data[starts[i]:ends[i]].tobytes(), len(seen))
-    return group
+    return exact_groups(hashes, lambda a, b: same_ranges(data, starts, ends, a, b),
+                        lambda i: data[starts[i]:ends[i]].tobytes())
 
 
 def distinct_strings(group):
@@ -216,9 +196,21 @@ def repeats(keyed: DataFrame, runs: DataFrame, window=WINDOW, bucket_rows=BUCKET
         "mh long, salts int, salt int, rid long, th long, s int, packed binary")
 
     def count(group: pa.Table) -> pa.Table:
+        """A bucket by stretches of minimisers, which share no window, so a few strings at a time."""
+        group = group.sort_by("mh")
+        mh = group.column("mh").to_numpy()
+        ends = np.append(np.flatnonzero(mh[1:] != mh[:-1]) + 1, len(mh))
+        out, low = [], 0
+        for end in ends.tolist():
+            if end - low >= PART_ROWS or end == len(mh):
+                out.append(counted(group.slice(low, end - low)))
+                low = end
+        return pa.concat_tables(out)
+
+    def counted(group):
         strings, code = distinct_strings(group)
         data, a, b, h, string_of = windows_of(strings, window)
-        groups = exact_groups(data, a, b, h)
+        groups = window_groups(data, a, b, h)
         lo = least_of(code, group.column("rid").to_numpy(), len(strings))
         smallest = least_of(groups, lo[string_of], len(h))
         return removed_ranges(group, code, string_of, smallest[groups], window)
@@ -233,16 +225,23 @@ def repeats(keyed: DataFrame, runs: DataFrame, window=WINDOW, bucket_rows=BUCKET
 
 
 def _hot_ranges(hot, window):
-    def reduce(group: pa.Table) -> pa.Table:
-        """Hash, smallest and largest id of the windows of a salted group, by range of the hash."""
+    def spelt(group):
+        """Windows of the distinct strings of a salted group with the smallest and largest ids."""
         strings, code = distinct_strings(group)
-        _, _, _, h, string_of = windows_of(strings, window)
+        data, a, b, h, string_of = windows_of(strings, window)
+        groups = window_groups(data, a, b, h)
         rid = group.column("rid").to_numpy()
-        lo = least_of(code, rid, len(strings))[string_of]
-        hi = least_of(code, rid, len(strings), np.maximum, -NO_ID)[string_of]
+        lo = least_of(groups, least_of(code, rid, len(strings))[string_of], len(h))
+        hi = least_of(groups, least_of(code, rid, len(strings), np.maximum, -NO_ID)[string_of],
+                      len(h), np.maximum, -NO_ID)
+        return code, string_of, data, a, b, h, groups, lo, hi
+
+    def reduce(group: pa.Table) -> pa.Table:
+        """Hash, smallest and largest id of the windows of a salted group, by range of the hash."""
+        *_, h, groups, lo, hi = spelt(group)
         values, inverse = np.unique(h, return_inverse=True)
-        lo = least_of(inverse, lo, len(values))
-        hi = least_of(inverse, hi, len(values), np.maximum, -NO_ID)
+        lo = least_of(inverse, lo[groups], len(values))
+        hi = least_of(inverse, hi[groups], len(values), np.maximum, -NO_ID)
         salts = group.column("salts")[0].as_py()
         part = (values % np.uint64(salts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
@@ -258,32 +257,45 @@ def _hot_ranges(hot, window):
         values, inverse = np.unique(h, return_inverse=True)
         lo = least_of(inverse, lo, len(values))
         hi = least_of(inverse, hi, len(values), np.maximum, -NO_ID)
-        twice = lo < hi
         return pa.table({"mh": group.column("mh")[:1], "salts": group.column("salts")[:1],
-                         "h": pa.array([values[twice]], pa.list_(pa.int64())),
-                         "lo": pa.array([lo[twice]], pa.list_(pa.int64()))})
+                         "h": pa.array([values[lo < hi]], pa.list_(pa.int64()))})
+
+    def candidates(group: pa.Table, known: pa.Table) -> pa.Table:
+        """The words of the windows whose hash occurs under two ids, once for the salted group."""
+        if not group.num_rows:
+            return pa.table({"mh": pa.array([], pa.int64()), "salt": pa.array([], pa.int32()),
+                             "h": pa.array([], pa.int64()), "words": pa.array([], pa.binary()),
+                             "lo": pa.array([], pa.int64())})
+        _, _, data, a, b, h, groups, lo, _ = spelt(group)
+        keys = known.column("h").combine_chunks().flatten().to_numpy()
+        _, first = np.unique(groups, return_index=True)
+        first = first[np.isin(h[first].view(np.int64), keys)]
+        return pa.table({
+            "mh": pa.array([group.column("mh")[0].as_py()] * len(first), pa.int64()),
+            "salt": pa.array([group.column("salt")[0].as_py()] * len(first), pa.int32()),
+            "h": pa.array(h[first].view(np.int64)), "words": binaries(data, a[first], b[first]),
+            "lo": pa.array(lo[groups[first]])})
 
     def back(group: pa.Table, known: pa.Table) -> pa.Table:
         if not group.num_rows:
             return pa.table({c: pa.array([], pa.int64()) for c in ("rid", "th", "start", "end")})
-        strings, code = distinct_strings(group)
-        _, _, _, h, string_of = windows_of(strings, window)
-        h = h.view(np.int64)
-        keys = known.column("h").combine_chunks().flatten().to_numpy()
-        los = known.column("lo").combine_chunks().flatten().to_numpy()
-        order = np.argsort(keys)
-        keys, los = np.append(keys[order], 0), np.append(los[order], NO_ID)
-        at = np.searchsorted(keys[:-1], h)
-        smallest = np.where(keys[at] == h, los[at], NO_ID)
-        return removed_ranges(group, code, string_of, smallest, window)
+        code, string_of, data, a, b, _, groups, _, _ = spelt(group)
+        found = dict(zip(known.column("words").to_pylist(), known.column("lo").to_pylist()))
+        _, first, of = np.unique(groups, return_index=True, return_inverse=True)
+        smallest = np.array([found.get(data[a[i]:b[i]].tobytes(), NO_ID) for i in first.tolist()],
+                            np.int64)
+        return removed_ranges(group, code, string_of, smallest[of], window)
 
     lists = "mh long, part int, salts int, h array<long>, lo array<long>, hi array<long>"
     merged = hot.groupBy("mh", "salt").applyInArrow(reduce, lists).groupBy("mh", "part").applyInArrow(
-        merge, "mh long, salts int, h array<long>, lo array<long>")
+        merge, "mh long, salts int, h array<long>")
     everywhere = merged.where(F.size("h") > 0).select(
-        "mh", "h", "lo", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    return hot.groupBy("mh", "salt").cogroup(everywhere.groupBy("mh", "salt")).applyInArrow(
-        back, RANGES)
+        "mh", "h", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    asked = stored(hot.groupBy("mh", "salt").cogroup(everywhere.groupBy("mh", "salt")).applyInArrow(
+        candidates, "mh long, salt int, h long, words binary, lo long"), "hot-windows")
+    exact = asked.groupBy("mh", "h", "words").agg(F.min("lo").alias("lo"))
+    known = asked.drop("lo").join(exact, ["mh", "h", "words"]).select("mh", "salt", "words", "lo")
+    return hot.groupBy("mh", "salt").cogroup(known.groupBy("mh", "salt")).applyInArrow(back, RANGES)
 
 
 def _packed_rows(batches, window):
