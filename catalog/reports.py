@@ -7,6 +7,8 @@ from catalog.base import query, with_tables
 from delaylens.functions import columns as C
 from delaylens.operators import filters, quantiles, reports, reshape
 from delaylens.operators.filters import FilterSpec
+from delaylens.session import scratch
+from delaylens.sources import profiles
 
 LATE = "count(*) FILTER (WHERE depdelay > 15)"
 FLOWN = "cancelled = 0 AND depdelay IS NOT NULL"
@@ -481,3 +483,80 @@ def score_quantiles(spark, sf):
         base.scores(spark, sf),
         ["risk_score", "dep_delay_minutes", "temperature_c", "wind_speed_knots"],
         [0.5, 0.8, 0.92, 0.95]), "value")
+
+
+# --- profiles from monthly sketches --------------------------------------------------------
+
+def _profiled(spark, sf):
+    """A folder with the monthly profile of the multi-year flights, made once."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _PROFILED:
+        path = scratch(spark, "profiles")
+        flights = base.legs(spark, sf).withColumns({
+            "year": F.substring("flightdate", 1, 4).cast("int"),
+            "month": F.substring("flightdate", 6, 2).cast("int")})
+        profiles.update(flights, path, ["depdelay", "cancelled"],
+                        ["reporting_airline", "origin", "dest", "l_partkey"])
+        _PROFILED[key] = path
+    return _PROFILED[key]
+
+
+_PROFILED = {}
+_MONTHLY = """SELECT *, CAST(substr(flightdate, 1, 4) AS INTEGER) AS year,
+      CAST(substr(flightdate, 6, 2) AS INTEGER) AS month FROM legs"""
+_PROFILE_COLUMNS = {"depdelay": True, "cancelled": True, "reporting_airline": False, "origin": False,
+                    "dest": False, "l_partkey": False}
+
+
+@query("profile_from_sketches", with_tables("legs", extra={"monthly": (["legs"], _MONTHLY), "years": (
+    ["monthly"], "SELECT * FROM monthly WHERE year = 1995 OR year = 1996 AND month <= 6")},
+    body=" UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS missing,
+  count(DISTINCT {c}) AS distinct_values, {f'min({c})' if n else 'NULL'}::DOUBLE AS low,
+  {f'max({c})' if n else 'NULL'}::DOUBLE AS high,
+  {f'round(avg({c}), 9)' if n else 'NULL'}::DOUBLE AS mean,
+  {f'round(stddev_samp({c}), 6)' if n else 'NULL'}::DOUBLE AS std FROM years"""
+                            for c, n in _PROFILE_COLUMNS.items())))
+def profile_from_sketches(spark, sf):
+    """Profile of the months from 1995 to mid-1996, merged from stored monthly rows."""
+    out = profiles.summary(spark, _profiled(spark, sf), (1995, 1), (1996, 6))
+    return rounded(rounded(out, "mean"), "std", digits=6)
+
+
+@query("monthly_quantiles_from_sketches", with_tables("legs", extra={"monthly": (["legs"], _MONTHLY)},
+       body=" UNION ALL ".join(f"""
+SELECT year, month, '{c}' AS column_name, {p}::DOUBLE AS p, quantile_disc({c}, {p}) AS value
+FROM monthly GROUP BY year, month HAVING count({c}) > 0"""
+                               for c in ("depdelay", "cancelled") for p in (0.25, 0.5, 0.9))))
+def monthly_quantiles_from_sketches(spark, sf):
+    """Quantiles of every month; months of up to two thousand flights are kept whole."""
+    return profiles.quantiles(spark, _profiled(spark, sf), [0.25, 0.5, 0.9], by=["year", "month"])
+
+
+@query("quantiles_from_merged_sketches", " UNION ALL ".join(
+    f"SELECT {p}::DOUBLE AS p, TRUE AS rank_is_right" for p in (0.05, 0.25, 0.5, 0.75, 0.95)))
+def quantiles_from_merged_sketches(spark, sf):
+    """Quantiles of all years; their ranks among all flights are right to one percent."""
+    shares = [0.05, 0.25, 0.5, 0.75, 0.95]
+    found = profiles.quantiles(spark, _profiled(spark, sf), shares).where("column_name = 'depdelay'")
+    delays = base.legs(spark, sf).where("depdelay IS NOT NULL")
+    counts = delays.groupBy("depdelay").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    # five quantiles against the counts of distinct delays
+    ranked = F.broadcast(found).join(counts, F.col("depdelay") <= F.col("value"), "left")
+    below = ranked.groupBy("p", "value").agg(
+        F.sum("n").alias("upto"),
+        F.sum(F.when(F.col("depdelay") < F.col("value"), F.col("n")).otherwise(0)).alias("below"))
+    return below.select("p", ((F.col("upto") / total >= F.col("p") - 0.01)
+                              & (F.col("below") / total <= F.col("p") + 0.01)).alias("rank_is_right"))
+
+
+@query("value_frequencies_from_sketches", with_tables("legs", body="""
+SELECT 'reporting_airline' AS column_name, reporting_airline AS value, count(*) AS n FROM legs
+GROUP BY ALL UNION ALL SELECT 'origin', origin, count(*) FROM legs GROUP BY ALL"""))
+def value_frequencies_from_sketches(spark, sf):
+    """How often each airline and origin occurs; few values, so no two share all their counters."""
+    flights = base.legs(spark, sf)
+    asked = reshape.union_all(*[flights.select(F.lit(c).alias("column_name"), F.col(c).alias("value"))
+                                .distinct() for c in ("reporting_airline", "origin")])
+    return profiles.frequencies(spark, _profiled(spark, sf), asked)
