@@ -1,6 +1,6 @@
 """File sources and table sinks: events are written as files by Spark, then read back."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from catalog import base
 from catalog.base import query, with_tables
@@ -187,6 +187,13 @@ def hourly_archive_from_json(spark, sf):
     return weather.explode_hourly(weather.read_json(spark, path, S.ARCHIVE_SCHEMA, False))
 
 
+CATEGORIES, COVERS = ["VFR", "MVFR", "IFR", "LIFR"], ["CLR", "FEW", "SCT", "BKN", "OVC"]
+
+
+def _one_of(names, k):
+    return F.element_at(F.array(*[F.lit(n) for n in names]), (k % len(names) + 1).cast("int"))
+
+
 def station_reports(spark, sf):
     """Events as station reports."""
     k = F.col("k")
@@ -198,9 +205,17 @@ def station_reports(spark, sf):
         .alias("icaoId"),
         F.when(k == 55, F.lit("unreadable")).otherwise(stamp).alias("reportTime"),
         stamp.alias("receiptTime"), (F.col("value") - 20).alias("temp"),
+        F.when(k % 6 != 0, F.col("value") - 25).alias("dewp"),
         F.when(k % 7 == 0, F.lit("VRB")).otherwise((k * 3).cast("string")).alias("wdir"),
-        (k % 40).cast("double").alias("wspd"), F.concat((k % 10).cast("string"), F.lit("+"))
-        .alias("visib"), F.lit("VFR").alias("fltCat"), stamp.alias("ingested_at"))
+        (k % 40).cast("double").alias("wspd"),
+        F.when(k % 3 == 0, (k % 40 + 10).cast("double")).alias("wgst"),
+        F.concat((k % 10).cast("string"), F.lit("+")).alias("visib"),
+        (990.5 + k % 50).alias("altim"), F.when(k % 8 != 0, 991.25 + k % 50).alias("slp"),
+        _one_of(CATEGORIES, k).alias("fltCat"), _one_of(COVERS, k).alias("cover"),
+        F.when(k % 2 == 0, F.lit("METAR")).otherwise(F.lit("SPECI")).alias("metarType"),
+        F.concat(F.lit("METAR "), F.col("event_id").cast("string")).alias("rawOb"),
+        (25 + k % 25).cast("double").alias("lat"), (k % 50 - 120).cast("double").alias("lon"),
+        (k * 10).cast("double").alias("elev"), stamp.alias("ingested_at"))
 
 
 STATIONS = {"rep": (["ev"], """SELECT CASE WHEN k < 50 THEN (['KATL', 'KDFW', 'KDEN', 'KORD',
@@ -208,15 +223,26 @@ STATIONS = {"rep": (["ev"], """SELECT CASE WHEN k < 50 THEN (['KATL', 'KDFW', 'K
       ELSE 'K' || lpad(CAST(k % 25 AS VARCHAR), 3, '0') END AS icao_id,
     CASE WHEN k = 55 THEN 'unreadable' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS obs_time,
     strftime(ts, '%Y-%m-%dT%H:%M:%S') AS receipt_time, value - 20 AS temp_c,
+    CASE WHEN k % 6 <> 0 THEN value - 25 END AS dewpoint_c,
     CASE WHEN k % 7 = 0 THEN 'VRB' ELSE CAST(k * 3 AS VARCHAR) END AS wind_dir_deg,
-    CAST(k % 40 AS DOUBLE) AS wind_speed_knots, CAST(k % 10 AS VARCHAR) || '+' AS visibility_sm,
-    'VFR' AS flight_category, 'awc_metar' AS source_name,
-    strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ingested_at FROM ev"""),
+    CAST(k % 40 AS DOUBLE) AS wind_speed_knots,
+    CASE WHEN k % 3 = 0 THEN CAST(k % 40 + 10 AS DOUBLE) END AS wind_gust_knots,
+    CAST(k % 10 AS VARCHAR) || '+' AS visibility_sm,
+    CAST(990.5 + k % 50 AS DOUBLE) AS altimeter_hpa,
+    CASE WHEN k % 8 <> 0 THEN CAST(991.25 + k % 50 AS DOUBLE) END AS sea_level_pres_hpa,
+    (['VFR', 'MVFR', 'IFR', 'LIFR'])[k % 4 + 1] AS flight_category,
+    (['CLR', 'FEW', 'SCT', 'BKN', 'OVC'])[k % 5 + 1] AS cloud_cover,
+    CASE WHEN k % 2 = 0 THEN 'METAR' ELSE 'SPECI' END AS metar_type,
+    'METAR ' || CAST(event_id AS VARCHAR) AS raw_metar, CAST(25 + k % 25 AS DOUBLE) AS latitude,
+    CAST(k % 50 - 120 AS DOUBLE) AS longitude, CAST(k * 10 AS DOUBLE) AS elevation_m,
+    'awc_metar' AS source_name, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ingested_at FROM ev"""),
     "stations": (["rep"], """SELECT *, CASE WHEN icao_id IN ('KATL', 'KDFW', 'KDEN', 'KORD',
       'KLAX', 'KJFK', 'KSFO', 'KSEA', 'KLAS', 'KMCO') THEN substr(icao_id, 2) ELSE icao_id END
       AS iata_code FROM rep""")}
-STATION_COLUMNS = ["icao_id", "iata_code", "obs_time", "receipt_time", "temp_c", "wind_dir_deg",
-                   "wind_speed_knots", "visibility_sm", "flight_category", "source_name",
+STATION_COLUMNS = ["icao_id", "iata_code", "obs_time", "receipt_time", "temp_c", "dewpoint_c",
+                   "wind_dir_deg", "wind_speed_knots", "wind_gust_knots", "visibility_sm",
+                   "altimeter_hpa", "sea_level_pres_hpa", "flight_category", "cloud_cover",
+                   "metar_type", "raw_metar", "latitude", "longitude", "elevation_m", "source_name",
                    "ingested_at"]
 
 
@@ -235,28 +261,49 @@ def forecast_docs(spark, sf):
     period = lambda i: F.struct(
         F.when(k % 9 == 0, F.lit("soon")).otherwise((start + i * 3600).cast("string"))
         .alias("timeFrom"), (start + i * 3600 + 3600).cast("string").alias("timeTo"),
+        F.when(i > 1, F.lit("TEMPO")).alias("fcstChange"),
+        F.when(k % 7 == 0, F.lit("VRB")).otherwise((k * 3).cast("string")).alias("wdir"),
         (k % 40).cast("double").alias("wspd"),
-        F.when(k % 2 == 0, F.lit("6+")).otherwise(F.lit("6")).alias("visib"))
+        F.when(k % 3 == 0, (k % 40 + 10).cast("double")).alias("wgst"),
+        F.when(k % 2 == 0, F.lit("6+")).otherwise(F.lit("6")).alias("visib"),
+        F.when(k % 5 == 0, F.lit("-RA")).alias("wxString"),
+        _one_of(CATEGORIES, k).alias("fltCat"))
     periods = F.transform(F.sequence(F.lit(1).cast("long"), (k % 4).cast("long")), period)
-    kind = "array<struct<timeFrom:string,timeTo:string,wspd:double,visib:string>>"
-    listed = F.when(k % 4 > 0, periods).otherwise(F.array().cast(kind))
+    listed = F.when(k % 4 > 0, periods).otherwise(F.array().cast(T.ArrayType(S.FORECAST_PERIOD)))
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     return base.events(spark, sf).select(
         F.col("event_id").cast("string").alias("rawTAF"), F.lit("KATL").alias("icaoId"),
-        F.when(k % 11 != 0, listed).alias("fcsts"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("ingested_at"))
-
-
-FORECASTS = {"periods": (["ev"], """
-    SELECT CAST(event_id AS VARCHAR) AS raw_taf, 'ATL' AS iata_code,
+        stamp.alias("issueTime"), F.when(k % 10 != 0, stamp).alias("bulletinTime"),
+        (25 + k % 25).cast("double").alias("lat"), (k % 50 - 120).cast("double").alias("lon"),
+        F.when(k % 11 != 0, listed).alias("fcsts"), stamp.alias("ingested_at"))
+
+
+FORECASTS = {"bulletins": (["ev"], """
+    SELECT *, 'KATL' AS icao_id, 'ATL' AS iata_code, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS issue_time,
+      CASE WHEN k % 10 <> 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS bulletin_time,
+      CAST(event_id AS VARCHAR) AS raw_taf, CAST(25 + k % 25 AS DOUBLE) AS latitude,
+      CAST(k % 50 - 120 AS DOUBLE) AS longitude, 'awc_taf' AS source_name,
+      strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ingested_at FROM ev"""),
+    "periods": (["bulletins"], """
+    SELECT icao_id, iata_code, issue_time, bulletin_time,
       CASE WHEN k % 9 <> 0 THEN CAST(floor(epoch(ts)) AS BIGINT) + i * 3600 END AS valid_from,
       CAST(floor(epoch(ts)) AS BIGINT) + i * 3600 + 3600 AS valid_to,
+      CASE WHEN i > 1 THEN 'TEMPO' END AS forecast_change_type,
+      CASE WHEN k % 7 = 0 THEN 'VRB' ELSE CAST(k * 3 AS VARCHAR) END AS wind_dir_deg,
       CAST(k % 40 AS DOUBLE) AS wind_speed_knots,
-      CASE WHEN k % 2 = 0 THEN '6+' ELSE '6' END AS visibility_sm
-    FROM ev, unnest(range(1, k % 4 + 1)) u(i) WHERE k % 11 <> 0
-    UNION ALL SELECT CAST(event_id AS VARCHAR), 'ATL', NULL, NULL, NULL, NULL FROM ev
+      CASE WHEN k % 3 = 0 THEN CAST(k % 40 + 10 AS DOUBLE) END AS wind_gust_knots,
+      CASE WHEN k % 2 = 0 THEN '6+' ELSE '6' END AS visibility_sm,
+      CASE WHEN k % 5 = 0 THEN '-RA' END AS wx_string,
+      (['VFR', 'MVFR', 'IFR', 'LIFR'])[k % 4 + 1] AS flight_category,
+      raw_taf, latitude, longitude, source_name, ingested_at
+    FROM bulletins, unnest(range(1, k % 4 + 1)) u(i) WHERE k % 11 <> 0
+    UNION ALL SELECT icao_id, iata_code, issue_time, bulletin_time, NULL, NULL, NULL, NULL, NULL, NULL,
+      NULL, NULL, NULL, raw_taf, latitude, longitude, source_name, ingested_at FROM bulletins
     WHERE k % 11 = 0""")}
-FORECAST_COLUMNS = ["raw_taf", "iata_code", "valid_from", "valid_to", "wind_speed_knots",
-                    "visibility_sm"]
+FORECAST_COLUMNS = ["icao_id", "iata_code", "issue_time", "bulletin_time", "valid_from", "valid_to",
+                    "forecast_change_type", "wind_dir_deg", "wind_speed_knots", "wind_gust_knots",
+                    "visibility_sm", "wx_string", "flight_category", "raw_taf", "latitude",
+                    "longitude", "source_name", "ingested_at"]
 
 
 @query("forecast_periods_from_json", with_tables(extra=FORECASTS, body="SELECT * FROM periods"))
