@@ -47,6 +47,22 @@ def flights_from_unknown_separator(spark, sf):
     return delimited.read_flights_csv(spark, path).drop("source_file")
 
 
+@query("flights_from_mixed_headers", with_tables("ontime", body=f"""
+SELECT {MANUAL.replace("CAST(CAST(depdelay AS DOUBLE) AS VARCHAR)", """CASE WHEN
+    flight_number_reporting_airline % 3 < 2 THEN CAST(CAST(depdelay AS DOUBLE) AS VARCHAR) END""")}
+FROM ontime"""))
+def flights_from_mixed_headers(spark, sf):
+    """Three layouts in one folder: another order, another separator, a column less."""
+    rows, folder = _manual(spark, sf), scratch(spark, "mixed")
+    kind = F.col("OP_CARRIER_FL_NUM") % 3
+    layouts = [(rows, ",", ".csv"), (rows.select(*reversed(rows.columns)), "|", ".txt"),
+               (rows.drop("DEP_DELAY", "NOT_WANTED"), "\t", ".txt")]
+    for k, (layout, sep, end) in enumerate(layouts):
+        layout.where(kind == k).write.mode("append").option("extension", end[1:]).csv(
+            folder, header=True, sep=sep)
+    return delimited.read_mixed_flights(spark, folder).drop("source_file")
+
+
 @query("airport_operations", with_tables("ontime", body="""
 SELECT CAST(dayofmonth AS VARCHAR) AS dep_day, CAST(crsdeptime // 100 AS VARCHAR) AS dep_hour,
   reporting_airline AS carrier, CAST(flight_number_reporting_airline AS VARCHAR) AS flight_number,

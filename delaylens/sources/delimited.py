@@ -1,6 +1,7 @@
 """Delimited and HTML-table landing files as raw, all-string tables."""
 
 from html import unescape
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -56,6 +57,41 @@ def read_delimited(spark, paths, preferred, source, name_rule=plain_name, sep=No
     return union_all(*frames)
 
 
+def header_families(spark, path) -> list:
+    """(header line, separator, files) of every kind of header in a folder, by one job.
+
+    Only first splits of files are looked at; the driver gets one row per kind of header.
+    """
+    by_name = F.lower("file")
+    sep = F.when(by_name.endswith(".csv"), ",").when(by_name.endswith(".tsv"), "\t")
+    firsts = (
+        spark.read.text(path).select(
+            "value", F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("line"))
+        .where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header")))
+    kinds = firsts.withColumn("sep", sep).groupBy("header", "sep").agg(
+        F.sort_array(F.collect_list("file")).alias("files"))
+    return [(r["header"], r["sep"] or max(SEPARATORS, key=r["header"].count),
+             [unquote(f) for f in r["files"]]) for r in kinds.orderBy("header", "sep").collect()]
+
+
+def read_mixed(spark, path, preferred, source, name_rule=plain_name) -> DataFrame:
+    """As ``read_delimited``, for a folder whose files differ in header, order and separator.
+
+    Files with one header are read together; columns that a kind of file lacks are NULL.
+    """
+    frames = [read_delimited(spark, [files], preferred, source, name_rule, sep)
+              for _, sep, files in header_families(spark, path)]
+    if not frames:
+        raise FileNotFoundError(f"no rows in {path}")
+    return union_all(*frames)
+
+
+def read_mixed_flights(spark, path) -> DataFrame:
+    return read_mixed(spark, path, S.MANUAL_FLIGHT_COLUMNS, S.FLIGHT_SOURCE)
+
+
 def read_flights_csv(spark, paths) -> DataFrame:
     return read_delimited(spark, paths, S.MANUAL_FLIGHT_COLUMNS, S.FLIGHT_SOURCE)
 

@@ -42,6 +42,25 @@ def test_mixed_headers_in_one_folder_are_an_error(spark, tmp_path):
         delimited.read_flights_csv(spark, str(tmp_path / "f")).collect()
 
 
+def test_a_folder_of_several_layouts(spark, tmp_path):
+    folder = tmp_path / "mixed folder"
+    write(folder / "a b.csv", "FL_DATE,ORIGIN,EXTRA\n2024-01-01,ATL,x\n2024-01-02,ATL,y\n")
+    write(folder / "b.csv", "ORIGIN,FL_DATE\nLAX,2024-01-03\n")
+    write(folder / "c.txt", "ORIGIN;FL_DATE\nSFO;2024-01-04\n")
+    write(folder / "d.tsv", "FL_DATE\tDEST\n2024-01-05\tDEN\n")
+    write(folder / "e.csv", "odd,other\n1,2\n")
+    write(folder / "f.csv", "FL_DATE,ORIGIN,EXTRA\n2024-01-06,JFK,z\n")
+    write(folder / "empty.csv", "")
+    kinds = delimited.header_families(spark, str(folder))
+    assert len(kinds) == 5 and sorted(len(files) for *_, files in kinds) == [1, 1, 1, 1, 2]
+    rows = {(r["fl_date"], r["origin"], r["dest"], r["odd"], r["source_file"])
+            for r in delimited.read_mixed_flights(spark, str(folder)).collect()}
+    assert {r[:4] for r in rows} == {
+        ("2024-01-01", "ATL", None, None), ("2024-01-02", "ATL", None, None),
+        ("2024-01-03", "LAX", None, None), ("2024-01-04", "SFO", None, None),
+        ("2024-01-05", None, "DEN", None), ("2024-01-06", "JFK", None, None), (None, None, None, "1")}
+
+
 def test_facility_names(spark, tmp_path):
     path = write(tmp_path / "d.csv", "Date,Service Area,Local Hour\n2024,East,5\n")
     assert delimited.read_facility_counts(spark, path).columns[:3] == [
