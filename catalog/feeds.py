@@ -9,7 +9,7 @@ from catalog.landing import (
 )
 from delaylens.plans import staging
 from delaylens.session import scratch
-from delaylens.streaming import feeds
+from delaylens.streaming import feeds, windows
 
 
 #: Files of one poll, and files per batch: every stream runs over several batches.
@@ -84,3 +84,51 @@ def streamed_airport_hours(spark, sf):
     return spark.read.parquet(table).select(
         "airport_id", "date_id", "hour_id", "temperature_c", "precipitation_mm",
         "wind_speed_knots", "cloud_cover_total_pct", "cloud_cover_low_pct")
+
+
+#: Every report of the month counts, whatever the order of the files.
+MONTH_LATE = "60 days"
+
+
+def _observed(spark, landing):
+    return feeds.observations(spark, landing, FILES)
+
+
+@query("streamed_hourly_reports", with_tables(extra=STATIONS, body="""
+SELECT iata_code, strftime(date_trunc('hour', CAST(obs_time AS TIMESTAMP)), '%Y-%m-%d %H:%M:%S')
+    AS hour_start, count(*) AS reports, round(avg(temp_c), 6) AS mean_temp_c,
+  max(wind_speed_knots) AS max_wind_knots
+FROM (SELECT * FROM stations UNION ALL SELECT * FROM stations) WHERE obs_time <> 'unreadable'
+GROUP BY ALL"""))
+def streamed_hourly_reports(spark, sf):
+    """Airport-hours by event time, kept up to date over several batches."""
+    landing, table = _polls(station_reports(spark, sf), "polls"), scratch(spark, "hourly")
+    _run(windows.keep_updated(windows.hourly(_observed(spark, landing), MONTH_LATE), table,
+                              scratch(spark, "offsets")))
+    return spark.read.parquet(table).select(
+        "iata_code", F.date_format("hour_start", "yyyy-MM-dd HH:mm:ss").alias("hour_start"), "reports",
+        F.round("mean_temp_c", 6).alias("mean_temp_c"), "max_wind_knots")
+
+
+@query("streamed_report_sessions", with_tables(extra={**STATIONS, "marked": (["stations"], """
+    SELECT iata_code, t, CASE WHEN t > lag(t) OVER w + INTERVAL 3 HOUR OR lag(t) OVER w IS NULL
+      THEN 1 ELSE 0 END AS begins
+    FROM (SELECT iata_code, CAST(obs_time AS TIMESTAMP) AS t FROM stations
+      WHERE obs_time <> 'unreadable') WINDOW w AS (PARTITION BY iata_code ORDER BY t)"""),
+    "numbered": (["marked"], """SELECT *, sum(begins) OVER (PARTITION BY iata_code ORDER BY t
+      ROWS UNBOUNDED PRECEDING) AS session FROM marked""")}, body="""
+SELECT iata_code, strftime(min(t), '%Y-%m-%d %H:%M:%S') AS first_report,
+  strftime(max(t), '%Y-%m-%d %H:%M:%S') AS last_report, count(*) AS reports
+FROM numbered GROUP BY iata_code, session"""))
+def streamed_report_sessions(spark, sf):
+    """Sessions of every airport; a report from the year after closes the last ones."""
+    landing, target = scratch(spark, "polls"), scratch(spark, "sessions")
+    reports = station_reports(spark, sf)
+    reports.repartition(POLLS).write.json(landing)
+    reports.orderBy("ingested_at").limit(1).withColumn(
+        "reportTime", F.lit("2099-01-01T00:00:00")).write.mode("append").json(landing)
+    _run(windows.keep_closed(windows.sessions(_observed(spark, landing), delay=MONTH_LATE), target,
+                             scratch(spark, "offsets")))
+    return spark.read.parquet(target).select(
+        "iata_code", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+                       for c in ("first_report", "last_report")], "reports")
