@@ -3,8 +3,9 @@
 Subwords are byte n-grams of lower-cased (A-Z) words with a space on both sides. Each is hashed to a
 row of an embedding table; the mean of a text's rows goes through a linear softmax. Table and softmax
 are trained together by stochastic gradient descent in numpy on a bounded sample of labelled rows,
-about ``per_language`` of each of the ``languages`` most frequent values. A fifth of the sample
-sets the temperature of the probabilities and the confidence below which a prediction is rejected.
+about ``per_language`` of each value and ``sample_rows`` in all: every value is learnt, with fewer rows
+each where there are many. A fifth of the sample sets the temperature of the probabilities and the
+confidence below which a prediction is rejected.
 
 Whole texts are read. Null texts and texts without a letter get ``und`` with score 0. Rows with a
 missing label are not learnt from. Without labelled rows every text is ``und``.
@@ -23,7 +24,9 @@ BUCKETS = 1 << 14
 SIZES = (2, 3, 4)
 DIM = 16
 PER_LANGUAGE = 500
-LANGUAGES = 256
+SAMPLE_ROWS = 128_000
+#: Rows of a value that are drawn at least (all, if it has fewer).
+LEAST = 20
 EPOCHS = 4
 #: Share of right answers wanted of the accepted predictions.
 WANTED = 0.99
@@ -121,19 +124,21 @@ def rejection(confidence, right, wanted=WANTED):
 
 
 def fit(docs: DataFrame, doc_id="doc_id", text="text", lang="lang", per_language=PER_LANGUAGE,
-        languages=LANGUAGES):
-    """Model learnt from rows that are not held out; None without such rows."""
-    known = docs.where(~is_held_out(doc_id) & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = known.groupBy(F.col(lang).alias("lang")).count().orderBy(
-        F.desc("count"), "lang").limit(languages).collect()
-    names = sorted(r["lang"] for r in counts)
+        sample_rows=SAMPLE_ROWS):
+    """Model learnt from rows that are not held out; None without such rows.
+
+    Rows are drawn by a hash of id and text and taken in its order, so a fit can be repeated.
+    """
+    known = docs.where(~is_held_out(doc_id) & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"),
+        F.pmod(F.xxhash64(F.lit("sample"), F.col(doc_id), F.col(text)), F.lit(1 << 30)).alias("draw"))
+    counts = known.groupBy("lang").count()
+    names = sorted(r["lang"] for r in counts.collect())  # the classes of the model
     if not names:
         return None
-    share = F.create_map(*[x for r in counts for x in (
-        F.lit(r["lang"]), F.lit(per_language / r["count"]))])[F.col(lang)]
-    chance = F.pmod(F.xxhash64(F.lit("sample"), F.col(doc_id), F.col(text)), F.lit(1 << 30)) / (1 << 30)
-    sample = known.where(chance < share).limit(2 * per_language * len(names)).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"))
+    each = min(per_language, max(LEAST, sample_rows // len(names)))
+    sample = known.join(counts, "lang").where(
+        F.col("draw") < F.lit(float(1 << 30)) * each / F.col("count")).select("lang", "text", "draw")
 
     def featured(batches):
         for batch in slices(batches):
@@ -143,15 +148,17 @@ def fit(docs: DataFrame, doc_id="doc_id", text="text", lang="lang", per_language
             offsets = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(at.astype(np.int32))),
-                 pa.ListArray.from_arrays(offsets, pa.array(count.astype(np.int32)))],
-                names=["lang", "at", "count"])
+                 pa.ListArray.from_arrays(offsets, pa.array(count.astype(np.int32))), batch.column(2)],
+                names=["lang", "at", "count", "draw"])
 
-    got = sample.mapInArrow(featured, "lang string, at array<int>, count array<int>").toArrow()
-    rows = []
+    got = sample.mapInArrow(
+        featured, "lang string, at array<int>, count array<int>, draw long").toArrow()
+    got = got.sort_by([("draw", "ascending"), ("lang", "ascending")])
+    number, rows = {name: k for k, name in enumerate(names)}, []
     for name, at, count in zip(got.column(0).to_pylist(), got.column(1), got.column(2)):
         count = count.values.to_numpy().astype(float)
         if len(count):
-            rows.append((at.values.to_numpy(), count / count.sum(), names.index(name)))
+            rows.append((at.values.to_numpy(), count / count.sum(), number[name]))
     return train(rows, names) if rows else None
 
 

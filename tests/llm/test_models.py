@@ -159,6 +159,22 @@ def test_language(spark):
     assert languages.predict(df.limit(0), model).count() == 0
 
 
+def test_every_language_is_learnt(spark):
+    """More values than a sample of full size has room for; two fits are the same."""
+    rng = random.Random(6)
+    pairs = [a + b for a in "abcdefghijklmnopq" for b in "rstuvwxyz"][:150]
+    rows = [(k, " ".join(prose(rng, 40, pairs[k % 150])), f"l{k % 150:03d}", "x") for k in range(3000)]
+    df = spark.createDataFrame(rows, DOCS).repartition(4)
+    model = languages.fit(df, sample_rows=1500)
+    assert len(model.languages) == 150
+    got = languages.predict(df, model).select("doc_id", "lang_pred").collect()
+    right = [r.lang_pred == f"l{r.doc_id % 150:03d}" for r in got if held_out(r.doc_id)]
+    assert np.mean(right) > 0.8
+    again = languages.fit(df.repartition(3), sample_rows=1500)
+    assert languages.predict(df, again).select("doc_id", "lang_pred").exceptAll(
+        spark.createDataFrame(got)).count() == 0
+
+
 def test_subwords_belong_to_their_text():
     import pyarrow as pa
     from delaylens.llm import kernels
