@@ -15,7 +15,7 @@ from delaylens.plans import scoring
 from delaylens.session import cut, scratch, stored
 
 #: The sizes of the scoring job, with the leaf size of the study, learnt from a bounded sample.
-SIZES = scoring.Settings(min_leaf=20, fit_rows=10_000)
+SIZES = scoring.Settings(min_leaf=20, fit_rows=10_000, histogram=True)
 MEASURES = ["temperature_c", "precipitation_mm", "wind_speed_knots", "cloud_cover_total_pct",
             "cloud_cover_low_pct"]
 PLAIN = [c for c in S.FEATURE_COLUMNS if c.startswith(("rolling", "wind_speed_d", "lag", "dest_prev"))]

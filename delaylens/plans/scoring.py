@@ -5,9 +5,12 @@ from functools import reduce
 from typing import Optional, Union
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassifier, LogisticRegression, RandomForestClassifier,
+)
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from delaylens import schemas as S
@@ -15,7 +18,7 @@ from delaylens.functions import columns as C
 from delaylens.operators import boosting, graph, joins, quantiles, reports, reshape, risk
 from delaylens.operators.boosting import Boosted
 from delaylens.plans import fact as fact_plan
-from delaylens.session import cut, stored
+from delaylens.session import cut, shared_dir, stored
 from delaylens.sources.tables import export_centrality, export_scores, table_exists
 
 CLASSIFIERS = {"Logistic Regression": "logistic", "Random Forest": "forest",
@@ -26,8 +29,9 @@ CLASSIFIERS = {"Logistic Regression": "logistic", "Random Forest": "forest",
 class Settings:
     """Model sizes of the scoring job; the study adds a minimum leaf size of 20.
 
-    Boosting stops early when the loss on held-back rows has not fallen for ``patience`` rounds.
-    ``fit_rows`` bounds the rows that a model learns from (a hash sample; None: all); all are scored.
+    With ``histogram``, boosting is ``operators.boosting`` instead of MLlib's and stops early when the
+    loss on held-back rows has not fallen for ``patience`` rounds. ``fit_rows`` bounds the rows that a
+    model learns from (a hash sample; None: all); all are scored.
     """
     logistic_iterations: int = 1000
     forest_trees: int = 200
@@ -35,6 +39,7 @@ class Settings:
     boosted_rounds: int = 200
     boosted_depth: int = 5
     boosted_rate: float = 0.1
+    histogram: bool = False
     patience: int = 10
     min_leaf: int = 1
     fit_rows: Optional[int] = None
@@ -75,6 +80,13 @@ def stages(kind, cfg: Settings):
         return [assembler(cfg.features), RandomForestClassifier(
             labelCol="is_delayed", weightCol="weight", numTrees=cfg.forest_trees,
             maxDepth=cfg.forest_depth, minInstancesPerNode=cfg.min_leaf, seed=cfg.seed)]
+    boosted = dict(maxIter=cfg.boosted_rounds, maxDepth=cfg.boosted_depth,
+                   stepSize=cfg.boosted_rate, minInstancesPerNode=cfg.min_leaf, seed=cfg.seed,
+                   cacheNodeIds=True, checkpointInterval=10)
+    if kind == "boosted":
+        return [assembler(cfg.features), GBTClassifier(labelCol="is_delayed", **boosted)]
+    if kind == "minutes":
+        return [assembler(cfg.features), GBTRegressor(labelCol="dep_delay_minutes", **boosted)]
     raise ValueError(f"unknown model kind {kind!r}")
 
 
@@ -95,12 +107,17 @@ def learnt_rows(df: DataFrame, cfg: Settings) -> DataFrame:
 
 def train(df: DataFrame, kind, cfg: Settings = Settings()) -> Model:
     """Fit one model on a frame with the features, ``is_delayed`` and minutes."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
     ready = _filled(learnt_rows(df, cfg), cfg.features)
-    if kind in BOOSTED:
+    if kind in BOOSTED and cfg.histogram:
         target, loss = BOOSTED[kind]
         return boosting.fit(ready, cfg.features, target, loss, cfg.boosted_rounds, cfg.boosted_depth,
                             cfg.boosted_rate, cfg.min_leaf, patience=cfg.patience)
-    return Pipeline(stages=stages(kind, cfg)).fit(_weighted(ready))
+    if kind in ("logistic", "forest"):
+        ready = _weighted(ready)
+    return Pipeline(stages=stages(kind, cfg)).fit(ready)
 
 
 def predict(df: DataFrame, model: Model, features=S.FEATURE_COLUMNS) -> DataFrame:
@@ -114,8 +131,11 @@ def predict(df: DataFrame, model: Model, features=S.FEATURE_COLUMNS) -> DataFram
         "features", "raw", "rawPrediction", "probability")
 
 
-def predict_minutes(df: DataFrame, model: Boosted, features=S.FEATURE_COLUMNS) -> DataFrame:
-    return model.predict(_filled(df, features), "predicted_minutes")
+def predict_minutes(df: DataFrame, model: Model, features=S.FEATURE_COLUMNS) -> DataFrame:
+    ready = _filled(df, features)
+    if isinstance(model, Boosted):
+        return model.predict(ready, "predicted_minutes")
+    return model.transform(ready).drop("features").withColumnRenamed("prediction", "predicted_minutes")
 
 
 def score_flights(df: DataFrame, model: Model) -> DataFrame:
@@ -161,7 +181,7 @@ class Artifacts:
     model: Model
     features: list
     medians: DataFrame
-    regressor: Optional[Boosted] = None
+    regressor: Optional[Model] = None
 
 
 def save_model(model: Model, spark, path) -> None:
