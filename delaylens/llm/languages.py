@@ -132,12 +132,14 @@ def fit(docs: DataFrame, doc_id="doc_id", text="text", lang="lang", per_language
     known = docs.where(~is_held_out(doc_id) & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"),
         F.pmod(F.xxhash64(F.lit("sample"), F.col(doc_id), F.col(text)), F.lit(1 << 30)).alias("draw"))
-    counts = known.groupBy("lang").count()
-    names = sorted(r["lang"] for r in counts.collect())  # the classes of the model
+    counts = [tuple(r) for r in known.groupBy("lang").count().collect()]  # the classes of the model
+    names = sorted(name for name, _ in counts)
     if not names:
         return None
     each = min(per_language, max(LEAST, sample_rows // len(names)))
-    sample = known.join(counts, "lang").where(
+    # broadcast as the model is: one row per class
+    sizes = docs.sparkSession.createDataFrame(counts, "lang string, count long")
+    sample = known.join(F.broadcast(sizes), "lang").where(
         F.col("draw") < F.lit(float(1 << 30)) * each / F.col("count")).select("lang", "text", "draw")
 
     def featured(batches):
