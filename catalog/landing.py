@@ -8,7 +8,7 @@ from catalog.network import HUBS
 from catalog.reports import rounded
 from delaylens import schemas as S
 from delaylens.session import scratch
-from delaylens.sources import archives, delimited, tables, weather
+from delaylens.sources import archives, delimited, layout, tables, weather
 
 
 def _landed(df, label, fmt="csv", **options):
@@ -450,3 +450,41 @@ def exported_sample(spark, sf):
     back = spark.read.csv(path, header=True)
     return back.select("flightdate", "reporting_airline", F.col("flight_number_reporting_airline")
                        .cast("bigint").alias("n"), "origin", "tail_number")
+
+
+# --- clustered tables ---------------------------------------------------------
+
+def _clustered(spark, sf):
+    """Flights on a curve of origin and date, with Bloom filters on tail numbers."""
+    return layout.write_clustered(base.ontime(spark, sf), scratch(spark, "curve"),
+                                  ["origin", "flightdate"], bloom={"tail_number": 20_000})
+
+
+CLUSTERED = """flightdate, origin, dest, tail_number, flight_number_reporting_airline, depdelay"""
+
+
+@query("clustered_flights_in_range", with_tables("ontime", body=f"""
+SELECT {CLUSTERED} FROM ontime WHERE origin IN ('A03', 'A04', 'A05')
+  AND flightdate BETWEEN '2024-01-08' AND '2024-01-21'"""))
+def clustered_flights_in_range(spark, sf):
+    return _clustered(spark, sf).where(
+        "origin IN ('A03', 'A04', 'A05') AND flightdate BETWEEN '2024-01-08' AND '2024-01-21'"
+    ).select(*CLUSTERED.split(", "))
+
+
+@query("clustered_flights_of_a_tail", with_tables("ontime", body=f"""
+SELECT {CLUSTERED} FROM ontime WHERE tail_number = '7'"""))
+def clustered_flights_of_a_tail(spark, sf):
+    return _clustered(spark, sf).where("tail_number = '7'").select(*CLUSTERED.split(", "))
+
+
+@query("clustered_origin_days", with_tables("ontime", body="""
+SELECT origin, flightdate, count(*) AS flights, count(*) FILTER (WHERE depdelay > 15) AS late
+FROM ontime GROUP BY origin, flightdate"""))
+def clustered_origin_days(spark, sf):
+    """A table appended to on the curve it was written with: the first half of each month, then the rest."""
+    path, flights = scratch(spark, "curve"), base.ontime(spark, sf)
+    layout.write_clustered(flights.where("dayofmonth <= 15"), path, ["flightdate", "origin"])
+    return layout.append_clustered(flights.where("dayofmonth > 15"), path).groupBy(
+        "origin", "flightdate").agg(F.count(F.lit(1)).alias("flights"),
+                                    F.count_if(F.col("depdelay") > 15).alias("late"))
