@@ -8,7 +8,7 @@ from catalog.network import HUBS
 from catalog.reports import rounded
 from delaylens import schemas as S
 from delaylens.session import scratch
-from delaylens.sources import archives, delimited, layout, tables, weather
+from delaylens.sources import archives, delimited, layout, tables, weather, zipped
 
 
 def _landed(df, label, fmt="csv", **options):
@@ -146,6 +146,46 @@ def flights_from_zip(spark, sf):
     return rows
 
 
+ZIPPED = ["FlightDate", "Reporting_Airline", "Flight_Number_Reporting_Airline", "Origin", "Dest",
+          "CRSDepTime"]
+ZIPPED_SQL = """SELECT flightdate, reporting_airline, flight_number_reporting_airline, origin, dest,
+  crsdeptime, 'bts' AS source_name, 'raw' AS ingestion_stage FROM ontime"""
+
+
+def _landed_archives(spark, sf):
+    """Archives as files of a shared folder, written by the tasks that pack them."""
+    folder = scratch(spark, "zips")
+
+    def save(pdf):
+        from pyarrow import fs
+        system, base = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        system.create_dir(base)
+        for name, content in zip(pdf["path"], pdf["content"]):
+            with system.open_output_stream(f"{base}/{name}") as out:
+                out.write(content)
+        return pdf[["path"]]
+
+    packed = _archives(spark, sf)
+    packed.groupBy("path").applyInPandas(save, "path string").count()
+    return folder
+
+
+@query("flights_from_zipped_source", with_tables("ontime", body=ZIPPED_SQL))
+def flights_from_zipped_source(spark, sf):
+    """Archives through the data source: a partition for each member, no archive in memory."""
+    return zipped.read_zipped(spark, _landed_archives(spark, sf), ZIPPED)[0]
+
+
+@query("streamed_zipped_flights", with_tables("ontime", body=ZIPPED_SQL))
+def streamed_zipped_flights(spark, sf):
+    """The same archives as a stream; a second call finds nothing new."""
+    folder, table = _landed_archives(spark, sf), scratch(spark, "zipped")
+    rejects, log = scratch(spark, "rejects"), scratch(spark, "log")
+    for _ in range(2):
+        zipped.ingest_zipped(spark, folder, table, rejects, log, ZIPPED)
+    return spark.read.parquet(table).drop("batch")
+
+
 def _archives(spark, sf, rows_per_archive=5000):
     """Archives of at most 5000 flights each, packed by the tasks."""
     f = base.ontime(spark, sf)
