@@ -74,12 +74,15 @@ def confusion(scored: DataFrame, label="is_delayed", prediction="prediction") ->
 
 
 def roc_of(counts: DataFrame) -> DataFrame:
-    """The curve from ``outcome_counts``; running counts are taken in ranges of the score."""
+    """The curve from ``outcome_counts``; running counts are taken in ranges of about equally many
+    scores, however they cluster.
+    """
     by_score = counts.groupBy("score").agg(
         F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("neg"))
-    curve = running_totals(by_score.withColumn("all", F.lit(1)), ["all"],
-                           -F.floor(F.col("score") * 4096), [F.desc("score")], ["pos", "neg"])
+    ranged = cut(by_score.repartitionByRange(F.desc("score")).withColumns(
+        {"range": F.spark_partition_id(), "all": F.lit(1)}))
+    curve = running_totals(ranged, ["all"], F.col("range"), [F.desc("score")], ["pos", "neg"])
     totals = counts.agg(F.struct(
         F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("pos"),
         F.sum(F.when(F.col("label") == 0, F.col("n"))).alias("neg"))).scalar()
