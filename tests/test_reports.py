@@ -165,3 +165,19 @@ def test_missing_profile_and_steps(spark):
 
 def test_bin_edges_have_labels():
     assert len(S.WIND_BAND_LABELS) == len(S.WIND_BAND_EDGES) - 1
+
+
+def test_roc_of_clustered_scores(spark):
+    """All scores within one ten-thousandth: ranges are cut by the scores that are there."""
+    rows = [(0.5 + (i * 37 % 400) / 4e6, int(i * i % 7 < 3)) for i in range(3000)]
+    scored = spark.createDataFrame(rows, "risk_score double, is_delayed int")
+    got = {r["score"]: (r["running_pos"], r["running_neg"], r["tpr"], r["fpr"])
+           for r in risk.roc(scored).collect()}
+    pos = sum(y for _, y in rows)
+    assert len(got) == 400
+    for score, (up, down, tpr, fpr) in got.items():
+        above = [y for s, y in rows if s >= score]
+        assert (up, down) == (sum(above), len(above) - sum(above))
+        assert tpr == pytest.approx(up / pos) and fpr == pytest.approx(down / (3000 - pos))
+    none = risk.roc(scored.where("false"))
+    assert none.count() == 0
