@@ -223,10 +223,10 @@ def numeric_summary(df, column) -> DataFrame:
         F.try_divide(F.count_if(x > 15), F.count(x)).alias("share_over_15"),
         F.try_divide(F.count_if(x > 60), F.count(x)).alias("share_over_60"),
     ).withColumn("feature", F.lit(column))
-    marks = (quantiles(df, [column], [0.25, 0.5, 0.75]).groupBy("feature")
-             .pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
-             .toDF("feature", "q25", "q50", "q75"))
-    return moments.join(marks, "feature", "left")
+    at = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    marks = quantiles(df, [column], list(at.values())).agg(F.struct(*[
+        F.max(F.when(F.col("p") == p, F.col("value"))).alias(name) for name, p in at.items()])).scalar()
+    return moments.withColumns({name: marks[name] for name in at})
 
 
 def outlier_report(df, columns, cap=S.DELAY_CAP) -> DataFrame:
