@@ -42,9 +42,17 @@ class BucketedHistory:
         self._declare("heads", {c: types[c] for c in dict.fromkeys([key, *self.checks])} | since)
 
     def _declare(self, table, columns):
-        """Make the table known to the session, with the partitions that are there already."""
-        if self.spark.catalog.tableExists(self.names[table]):
-            return
+        """Make the table known to the session, with the partitions that are there already.
+
+        Its own overwrite mode holds whatever the session's is: under a static one a write of one
+        partition would drop all others, and the heads could not be read for it.
+        """
+        if not self.spark.catalog.tableExists(self.names[table]):
+            self._create(table, columns)
+        self.spark.sql(f"ALTER TABLE {self.names[table]} "
+                       "SET SERDEPROPERTIES ('partitionOverwriteMode' = 'dynamic')")
+
+    def _create(self, table, columns):
         fields = ", ".join(f"`{c}` {t}" for c, t in columns.items())
         self.spark.sql(
             f"CREATE TABLE {self.names[table]} ({fields}, snapshot string) USING parquet "
@@ -60,8 +68,8 @@ class BucketedHistory:
         """Write one partition; rows must already lie by bucket."""
         table = self.names[name]
         columns = [c for c in self._table(name).columns if c != "snapshot"]
-        (df.select(*columns, F.lit(snapshot).alias("snapshot")).write
-         .option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
+        df.select(*columns, F.lit(snapshot).alias("snapshot")).write.insertInto(
+            table, overwrite=True)
         self.spark.catalog.refreshTable(table)
 
     def _dealt(self, df):

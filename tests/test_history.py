@@ -109,3 +109,21 @@ def test_an_interrupted_snapshot_can_be_repeated(spark, monkeypatch):
     monkeypatch.setattr(store, "_put", put)
     store.snapshot(frames[1], TIMES[1])
     assert found(store) == defined(parts[:2])
+
+
+def test_the_session_may_overwrite_statically(spark):
+    parts, path = extracts(5), scratch(spark, "history")
+    frames = [spark.createDataFrame(p, SCHEMA) for p in parts]
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        store = BucketedHistory(spark, path, frames[0].schema, "id", ["a", "b"], buckets=3)
+        for k, (df, at) in enumerate(zip(frames, TIMES)):
+            if k == 2:  # tables declared without a mode of their own are given one
+                for name in store.names.values():
+                    spark.sql(f"ALTER TABLE {name} SET SERDEPROPERTIES "
+                              "('partitionOverwriteMode' = 'static')")
+                store = BucketedHistory(spark, path, frames[0].schema, "id", ["a", "b"], buckets=3)
+            store.snapshot(df, at)
+            assert found(store) == defined(parts[:k + 1])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
