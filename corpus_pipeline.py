@@ -47,9 +47,7 @@ def benchmark_decontamination(spark, docs, sf_dir):
 
 def bpe_encoding(spark, docs, sf_dir) -> DataFrame:
     """``doc_id, n_tokens, ids, ids_sha256, decoded_sha256`` of every document."""
-    path = vocabulary_path()
-    encoded = tokens.encode(docs.select("doc_id", "text"), path).select("doc_id", "ids")
-    decoded = tokens.decode(encoded, path, sha="ids_sha256")
+    decoded = tokens.round_trip(docs, vocabulary_path(), ["doc_id"], sha="ids_sha256")
     return decoded.select("doc_id", "n_tokens", "ids", "ids_sha256",
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 

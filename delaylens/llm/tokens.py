@@ -4,6 +4,8 @@
 are. Longer ones are cut into leaves that are encoded in parallel tasks and joined exactly
 (``bpe.Encoder.join_leaves``), so one very long document does not hold up one task. Rows with
 equal content are told apart by their count, so repeated documents stay repeated.
+``round_trip`` decodes the ids in the worker that made them: a task then has one Python worker with
+a vocabulary, where ``decode`` of ``encode`` has two at a time.
 
 Null texts are empty; empty texts have no ids. A column named like an output is replaced.
 """
@@ -37,8 +39,11 @@ def flat_ids(column):
 
 def encode(docs: DataFrame, path, text="text", out="ids", long=LONG) -> DataFrame:
     """Add ``out``, the ids of ``text`` under the vocabulary at ``path``."""
-    schema = with_fields(docs.schema, **{out: IDS})
+    return _encode(docs, path, text, out, long, with_fields(docs.schema, **{out: IDS}))
 
+
+def _encode(docs, path, text, out, long, schema, then=lambda batches: batches):
+    """``then`` makes ``schema`` of the encoded batches, in the task that ends their encoding."""
     def whole(batches):
         coder = bpe.load(path)
         for batch in slices(batches, text):
@@ -46,11 +51,11 @@ def encode(docs: DataFrame, path, text="text", out="ids", long=LONG) -> DataFram
             yield appended(batch, {out: id_lists(*coder.encode_all(texts))})
 
     size = F.coalesce(F.length(text), F.lit(0))
-    short = docs.where(size <= long).mapInArrow(whole, schema)
-    return short.unionByName(_encode_long(docs.where(size > long), path, text, out, schema))
+    short = docs.where(size <= long).mapInArrow(lambda batches: then(whole(batches)), schema)
+    return short.unionByName(_encode_long(docs.where(size > long), path, text, out, schema, then))
 
 
-def _encode_long(docs, path, text, out, schema):
+def _encode_long(docs, path, text, out, schema, then):
     row, key, part, no, bare, joins = (free_name(docs, n) for n in (
         "row", "row_key", "part", "part_no", "bare", "joins"))
     others = [c for c in docs.columns if c.lower() != out.lower()]
@@ -100,9 +105,10 @@ def _encode_long(docs, path, text, out, schema):
         copies = [i for i, n in enumerate(at) if n == 0]
         rows = group.column(row).combine_chunks().take(pa.array(copies, pa.int64()))
         counts = np.full(len(copies), len(ids), np.int64)
-        return pa.Table.from_arrays(
+        joined = pa.RecordBatch.from_arrays(
             [rows.field(f) for f in others] + [id_lists(np.tile(ids, len(copies)), counts)],
             names=[*others, out])
+        return pa.Table.from_batches(list(then([joined])))
 
     parted = keyed.mapInArrow(cut_up, cut_schema).repartition(F.col(key), F.col(no))
     encoded = parted.mapInArrow(encode_parts, T.StructType([
@@ -117,14 +123,31 @@ def decode(encoded: DataFrame, path, ids="ids", out="decoded", keep_ids=True,
 
     ``sha`` names columns for the number of ids and their digest, made in the same pass.
     """
+    return encoded.mapInArrow(*_decoder(
+        encoded.schema, path, ids, out, sha, () if keep_ids else (ids,)))
+
+
+def round_trip(docs: DataFrame, path, keep=(), text="text", ids="ids", out="decoded",
+               keep_ids=True, sha=None, long=LONG) -> DataFrame:
+    """The ``keep`` columns of ``encode``, then ``decode``, of ``text`` in one pass."""
+    source = docs.select(*dict.fromkeys([*keep, text]))
+    unused = [c for c, kept in ((text, text in keep or text == ids), (ids, keep_ids)) if not kept]
+    then, schema = _decoder(
+        with_fields(source.schema, **{ids: IDS}), path, ids, out, sha, unused)
+    return _encode(source, path, text, ids, long, schema, then)
+
+
+def _decoder(schema, path, ids, out, sha, unused):
+    """(function over batches of ``schema``, its output's schema, without the unused columns)."""
     extra = {out: T.StringType()}
     extra |= {"n_tokens": T.LongType(), sha: T.StringType()} if sha else {}
-    base = T.StructType([f for f in encoded.schema.fields if keep_ids or f.name != ids])
+    base = T.StructType([f for f in schema.fields if f.name not in unused])
 
     def run(batches):
         coder = bpe.load(path)
         for batch in batches:
             at = batch.schema.get_field_index(ids)
+            kept = [i for i, n in enumerate(batch.schema.names) if n not in unused]
             for row in range(0, batch.num_rows, 250):
                 part = batch.slice(row, 250)
                 flat, counts = flat_ids(part.column(at))
@@ -133,11 +156,9 @@ def decode(encoded: DataFrame, path, ids="ids", out="decoded", keep_ids=True,
                 if sha:
                     cols |= {"n_tokens": pa.array(counts),
                              sha: pa.array(_each(flat, counts, _sha256), pa.string())}
-                if not keep_ids:
-                    part = part.select([i for i in range(part.num_columns) if i != at])
-                yield appended(part, cols)
+                yield appended(part.select(kept), cols)
 
-    return encoded.mapInArrow(run, with_fields(base, **extra))
+    return run, with_fields(base, **extra)
 
 
 def _sha256(data):

@@ -7,7 +7,8 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from delaylens.llm import bpe, kernels, tokens
+import corpus_pipeline
+from delaylens.llm import bpe, kernels, queries, tokens
 from delaylens.llm.common import vocabulary_path
 from tests.llm.helpers import SCHEMA, WORD, documents
 
@@ -92,6 +93,32 @@ def test_encode_and_decode_rows(spark):
     assert tokens.decode(empty, PATH).count() == 0
 
 
+def test_round_trip_is_decode_of_encode(spark):
+    df = spark.createDataFrame(documents(), SCHEMA).withColumnRenamed("source", "IDS")
+    row = lambda r: repr(tuple(r))
+    for long in (1 << 16, 20):
+        steps = tokens.encode(df.select("doc_id", "lang", "text"), PATH, long=long)
+        want = tokens.decode(steps, PATH, sha="sha").drop("text")
+        got = tokens.round_trip(df, PATH, ["doc_id", "lang"], sha="sha", long=long)
+        assert got.schema == want.schema
+        assert sorted(map(row, got.collect())) == sorted(map(row, want.collect()))
+    got = tokens.round_trip(df, PATH, ["IDS", "text"], keep_ids=False, long=20)
+    assert got.columns == ["text", "decoded"]  # a column named like the ids gives way to them
+    assert all(r.decoded == (r.text or "") for r in got.collect())
+    assert tokens.round_trip(df.limit(0), PATH, ["doc_id"], long=20).count() == 0
+
+
+def test_a_task_has_one_worker_with_a_vocabulary(spark, tmp_path):
+    """Workers that feed one another hold their memory at the same time."""
+    spark.createDataFrame(documents(), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for df in (corpus_pipeline.bpe_encoding(spark, docs, None), queries.op1(spark, tmp_path)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # short texts: one; long ones: leaves, their ids, joined ids, each behind an exchange or scan
+        assert "Arrow" not in plan.split("Union")[0]
+        assert plan.count("InArrow") == 4 and plan.count("Exchange") == 2
+
+
 def test_token_files(spark, tmp_path):
     rows = documents()
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
