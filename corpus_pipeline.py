@@ -66,5 +66,5 @@ def run(spark, sf_dir) -> DataFrame:
     for at, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if at < len(STAGES) - 1:
-            docs = stored(docs, f"stage{at}")
+            docs = stored(docs, f"stage{at}", free=True)
     return docs

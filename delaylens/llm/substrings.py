@@ -13,6 +13,9 @@ the bucket of the minimiser, where windows are sorted and counted exactly.
    group then sends the words of its windows with such hashes, once, to groups by hash, where
    they are compared as bytes, and gets back the smallest id of exactly these words.
 
+Each of these steps is stored, and its shuffle files go, before the next one begins; stored
+tables are merged with the texts whatever their size, as a broadcast would grow with the input.
+
 Every window whose words also start in a document with a smaller id is removed with all words it
 covers; windows are judged on the input. Null texts have no words. A null id counts as larger than
 all others, and equal ids never remove each other's words. Texts without removed words stay as
@@ -189,8 +192,9 @@ def repeats(keyed: DataFrame, runs: DataFrame, window=WINDOW, bucket_rows=BUCKET
                           .otherwise(1).cast("int").alias("salts"))
     mine = flat.join(shared, "mh").groupBy("rid", "th").agg(
         F.collect_set(F.struct("mh", "s", "r", "salts")).alias("runs"))
-    carriers = stored(keyed.join(mine, ["rid", "th"]), "carriers")
-    total = carriers.agg(F.sum(F.size("runs"))).first()[0] or 0
+    mine = stored(mine, "shared-runs", free=True)
+    carriers = stored(keyed.join(mine.hint("merge"), ["rid", "th"]), "carriers", free=True)
+    total, salts = carriers.agg(F.sum(F.size("runs")), F.max(F.array_max("runs.salts"))).first()
     rows = carriers.mapInArrow(
         lambda batches: _packed_rows(batches, window),
         "mh long, salts int, salt int, rid long, th long, s int, packed binary")
@@ -215,13 +219,12 @@ def repeats(keyed: DataFrame, runs: DataFrame, window=WINDOW, bucket_rows=BUCKET
         smallest = least_of(groups, lo[string_of], len(h))
         return removed_ranges(group, code, string_of, smallest[groups], window)
 
-    buckets = max(1, int(total // bucket_rows))
+    buckets = max(1, int((total or 0) // bucket_rows))
     usual = (rows.where("salts = 1").withColumn("bucket", F.pmod("mh", F.lit(buckets)))
              .groupBy("bucket").applyInArrow(count, RANGES))
-    hot = rows.where("salts > 1")
-    if shared.where("salts > 1").limit(1).count() == 0:
+    if (salts or 1) == 1:
         return carriers, usual
-    return carriers, usual.unionByName(_hot_ranges(hot, window))
+    return carriers, usual.unionByName(_hot_ranges(rows.where("salts > 1"), window))
 
 
 def _hot_ranges(hot, window):
@@ -292,7 +295,7 @@ def _hot_ranges(hot, window):
     everywhere = merged.where(F.size("h") > 0).select(
         "mh", "h", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     asked = stored(hot.groupBy("mh", "salt").cogroup(everywhere.groupBy("mh", "salt")).applyInArrow(
-        candidates, "mh long, salt int, h long, words binary, lo long"), "hot-windows")
+        candidates, "mh long, salt int, h long, words binary, lo long"), "hot-windows", free=True)
     exact = asked.groupBy("mh", "h", "words").agg(F.min("lo").alias("lo"))
     known = asked.drop("lo").join(exact, ["mh", "h", "words"]).select("mh", "salt", "words", "lo")
     return hot.groupBy("mh", "salt").cogroup(known.groupBy("mh", "salt")).applyInArrow(back, RANGES)
@@ -320,7 +323,8 @@ def _packed_rows(batches, window):
 
 
 def spans_by_document(ranges):
-    return ranges.groupBy("rid", "th").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
+    return stored(ranges.groupBy("rid", "th").agg(
+        F.collect_set(F.struct("start", "end")).alias("gone")), "spans", free=True).hint("merge")
 
 
 def without(texts, lists):

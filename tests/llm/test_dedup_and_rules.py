@@ -1,7 +1,12 @@
+import glob
+import os
+import time
+
 import numpy as np
 import pytest
 
 from delaylens.llm import rules, simhash, substrings
+from delaylens.session import FREE_SHUFFLES, stored
 from tests.llm.helpers import (
     SCHEMA, documents, fingerprint, groups, kept_words, rule_counts, sha,
 )
@@ -116,3 +121,40 @@ def test_substring_rows(spark):
     assert sorted((key(r.doc_id), r.text or "") for r in got) == texts
     assert substrings.digests(df.limit(0)).count() == 0
     assert substrings.remove_repeats(df.limit(0)).count() == 0
+
+
+def shuffled_bytes(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = [f for d in disk.localDirsString() for f in glob.glob(f"{d}/*/shuffle_*.data")]
+    return {f: os.path.getsize(f) for f in files}
+
+
+@pytest.mark.parametrize("sizes", [{}, {"hot_rows": 2}])
+def test_substring_steps_leave_no_shuffle_files(spark, sizes):
+    df = spark.createDataFrame(documents(), SCHEMA).repartition(4)
+    earlier = set(shuffled_bytes(spark))
+    out = substrings.remove_repeats(df, **sizes)
+    for _ in range(50):
+        left = sum(n for f, n in shuffled_bytes(spark).items() if f not in earlier)
+        if left < 2000:
+            break
+        time.sleep(0.1)
+    assert left < 2000
+    assert out.where("n_removed > 0").count()
+
+
+@pytest.mark.parametrize("own", [None, "false", "true"])
+def test_stored_leaves_the_session_as_it_was(spark, own):
+    try:
+        if own:
+            spark.conf.set(FREE_SHUFFLES, own)
+        before = spark.conf.get(FREE_SHUFFLES, None)
+        frame = spark.range(50).repartition(3, "id")
+        assert stored(frame, "freed", free=True).count() == frame.count() == 50
+        assert stored(frame, "freed", free=True).count() == 50
+        assert spark.conf.get(FREE_SHUFFLES, None) == before
+        with pytest.raises(Exception):
+            stored(frame.selectExpr("raise_error('x') AS a"), "failed", free=True)
+        assert spark.conf.get(FREE_SHUFFLES, None) == before
+    finally:
+        spark.conf.unset(FREE_SHUFFLES)
