@@ -1,12 +1,14 @@
 """Centrality against brute force on small graphs."""
 
 import heapq
+import os
 import random
 from itertools import permutations
 
 import pytest
 
 from delaylens.operators import graph
+from delaylens.session import scratch
 
 
 def sample(seed, n=9, p=0.28):
@@ -157,3 +159,17 @@ def test_networks_of_one_route(spark):
     assert {tuple(r) for r in graph.betweenness_within(df).collect()} == {
         ("n0", 0.0, 0.0, 2), ("n1", 0.0, 0.0, 2)}
     assert {tuple(r) for r in graph.closeness_by_sketches(df).collect()} == {("n0", 0.0), ("n1", 1.0)}
+
+
+def test_sketches_free_their_disk(spark, monkeypatch):
+    """Sketches of earlier rounds go; a round in parts gives the same closeness."""
+    n = 50
+    rng = random.Random(5)
+    edges = frame(spark, {(a, b): 1 for a in range(n) for b in rng.sample(range(n), 3) if a != b})
+    whole = {r[0]: r[1] for r in graph.closeness_by_sketches(edges).collect()}
+    seen = []
+    monkeypatch.setattr(graph, "scratch", lambda *a: seen.append(scratch(*a)) or seen[-1])
+    parts = {r[0]: r[1] for r in graph.closeness_by_sketches(edges, transit=4096 * 45).collect()}
+    assert parts == whole
+    left = [p for p in seen if os.path.isdir(p)]
+    assert len(seen) > 3 and len(left) == 1 and sorted(os.listdir(left[0])) == list("0123")
