@@ -5,9 +5,10 @@ import os
 import random
 from itertools import permutations
 
+import numpy as np
 import pytest
 
-from delaylens.operators import graph
+from delaylens.operators import brandes, graph
 from delaylens.session import scratch
 
 
@@ -173,3 +174,28 @@ def test_sketches_free_their_disk(spark, monkeypatch):
     assert parts == whole
     left = [p for p in seen if os.path.isdir(p)]
     assert len(seen) > 3 and len(left) == 1 and sorted(os.listdir(left[0])) == list("0123")
+
+
+@pytest.mark.parametrize("cost", ["hops", "weight", "inverse"])
+def test_betweenness_by_whole_networks_and_by_joins(spark, cost, monkeypatch):
+    """Tasks that hold the network give what the joins over all routes give; a null airport has no routes."""
+    rng = random.Random(11)
+    rows = [(f"n{a}", f"n{b}", rng.randint(1, 3)) for a in range(25) for b in rng.sample(range(25), 3)]
+    rows += rows[:5] + [("n3", "n3", 2), (None, "n1", 1), ("n2", None, 1), ("x", "y", 1)]
+    df = spark.createDataFrame(rows, "src string, dest string, weight long")
+    joined = {r[0]: tuple(r)[1:] for r in graph.betweenness_within(
+        df, 0.0, cost=cost, batch=20, whole_routes=0).collect()}
+    monkeypatch.setattr(graph, "dependencies", None)  # not needed where tasks hold the network
+    whole = {r[0]: tuple(r)[1:] for r in graph.betweenness_within(df, 0.0, cost=cost, batch=20).collect()}
+    assert joined.keys() == whole.keys() and None in whole
+    assert all(abs(joined[k][0] - whole[k][0]) < 1e-12 and joined[k][1:] == whole[k][1:] for k in whole)
+
+
+def test_routes_are_followed_in_pieces(monkeypatch):
+    edges = sample(6, 14, 0.4)
+    src, dest, weight = (np.array(x) for x in zip(*[(a, b, w) for (a, b), w in edges.items()]))
+    want = brute_betweenness(edges, lambda w: w, {0})
+    for most in (1 << 18, 3):
+        monkeypatch.setattr(brandes, "AT_ONCE", most)
+        got = brandes.Network(15, src, dest, weight).dependencies(0) * 15 / (14 * 13)
+        assert all(abs(got[int(k[1:])] - v) < 1e-12 for k, v in want.items())
