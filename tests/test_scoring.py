@@ -1,13 +1,14 @@
 """Models on a small frame: fit, score, save, load, scenarios, registry contract."""
 
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from delaylens import schemas as S
 from delaylens.operators import risk
-from delaylens.plans import scoring
+from delaylens.plans import fact, scoring
 
 TINY = scoring.Settings(logistic_iterations=20, forest_trees=5, forest_depth=4, boosted_rounds=3,
                         boosted_depth=3)
@@ -96,3 +97,95 @@ def test_registered_query_agrees_with_sql(spark, name):
     cur = con.execute(e.oracle_sql()[name])
     columns = [d[0] for d in cur.description]
     assert digest(df.columns, df.collect()) == digest(columns, cur.fetchall())
+
+
+class _RowsRead:
+    """Counts how often rows of a frame are gone over while a function runs."""
+
+    def __init__(self, spark):
+        self.total = spark.sparkContext.accumulator(0)
+
+    def watched(self, df):
+        total = self.total
+
+        def run(batches):
+            for batch in batches:
+                total.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(run, df.schema)
+
+
+def test_models_of_a_run_share_their_learnt_rows(spark, frame, monkeypatch):
+    """The table is gone over twice for all models, to count it and to draw the sample."""
+    cfg = scoring.Settings(logistic_iterations=20, forest_trees=3, forest_depth=3, boosted_rounds=3,
+                           boosted_depth=2, histogram=True, fit_rows=300)
+    seen = _RowsRead(spark)
+    fit = frame.where("split = 'train'").localCheckpoint()
+    n = fit.count()
+    learnt = scoring.learnt_table(seen.watched(fit), cfg)
+    assert seen.total.value <= 2 * n
+    whole = replace(cfg, fit_rows=None)
+    for kind in ("logistic", "forest", "boosted", "minutes"):
+        scoring.train(learnt, kind, whole)
+    assert seen.total.value <= 2 * n
+    narrow = learnt.columns
+    expected = scoring.learnt_rows(fit, cfg).select(*narrow).collect()
+    assert 0 < len(expected) < n
+    assert sorted(map(str, learnt.collect())) == sorted(map(str, expected))
+
+
+def test_all_rows_are_learnt_without_a_bound(spark, frame):
+    fit = frame.where("split = 'train'")
+    assert scoring.learnt_table(fit, scoring.Settings()) is fit
+    small = scoring.learnt_table(fit, scoring.Settings(fit_rows=10 ** 6))
+    assert small.count() == fit.count()
+
+
+def test_training_run_reads_the_sample_once(spark, monkeypatch):
+    """Every model of a run gets one stored sample; none draws its own from the whole table."""
+    got, drawn = [], []
+    learnt_rows = scoring.learnt_rows
+    monkeypatch.setattr(scoring, "learnt_rows", lambda df, cfg: drawn.append(cfg.fit_rows) or learnt_rows(
+        df, cfg))
+    train = scoring.train
+    monkeypatch.setattr(scoring, "train", lambda df, kind, cfg: got.append((df, kind)) or train(
+        df, kind, cfg))
+    rows = [(f"f{i}", 1 + i % 5, i % 24, f"A{i % 4}", f"A{(i + 1 + i % 3) % 4}", float(i % 70), i % 9 == 0)
+            for i in range(400)]
+    facts = spark.createDataFrame(rows, "flight_id string, day_of_week long, hour_id long, "
+                                  "origin_airport_id string, dest_airport_id string, "
+                                  "dep_delay_minutes double, is_cancelled boolean")
+    missing = [c for c in fact.FACT_COLUMNS if c not in facts.columns]
+    texts = {"airline_id": "string", "tail_number": "string", "date_id": "date"}
+    facts = facts.select("*", *[F.lit(None).cast(texts.get(c, "double")).alias(c) for c in missing])
+    cfg = scoring.Settings(logistic_iterations=5, forest_trees=2, forest_depth=2, boosted_rounds=2,
+                           boosted_depth=2, histogram=True, fit_rows=100)
+    result = scoring.run_training(facts, cfg)
+    assert [kind for _, kind in got] == ["logistic", "forest", "boosted", "minutes"]
+    assert len({id(df) for df, _ in got}) == 1
+    assert drawn == [100, None, None, None, None]
+    assert result["scored"].count() == sum(not r[-1] for r in rows)
+    assert result["comparison"].count() == 3 and result["mae"].first()["mae"] >= 0
+
+
+def test_class_weights_and_split_read_their_rows_once(spark):
+    """One pass for the weights, three for a split; also with a class that is NULL and repeated keys."""
+    data = [(f"k{i % 90}", [0, 1, None][i % 3]) for i in range(300)]
+    df = spark.createDataFrame(data, "id string, y int").localCheckpoint()
+    seen = _RowsRead(spark)
+    weights = {r["y"]: (r["n"], r["weight"]) for r in risk.class_weights(seen.watched(df), "y").collect()}
+    assert seen.total.value == 300
+    assert weights == {y: (100, 1.0) for y in (0, 1, None)}
+    seen = _RowsRead(spark)
+    split = risk.stratified_split(seen.watched(df), "y", "id").collect()
+    assert seen.total.value <= 3 * 300
+    assert len(split) == 300
+    # NULL keys count for the size of their class
+    odd = spark.createDataFrame([(f"k{i}" if i < 95 else None, i % 2) for i in range(100)], "id string, y int")
+    sizes = {(r["y"], r["split"]): r["count"] for r in risk.stratified_split(odd, "y", "id").groupBy(
+        "y", "split").count().collect()}
+    assert sizes == {(0, "test"): 10, (0, "train"): 40, (1, "test"): 10, (1, "train"): 40}
+    none = spark.createDataFrame([], "id string, y int")
+    assert risk.class_weights(none, "y").collect() == []
+    assert risk.stratified_split(none, "y", "id").collect() == []
