@@ -189,3 +189,56 @@ def test_class_weights_and_split_read_their_rows_once(spark):
     none = spark.createDataFrame([], "id string, y int")
     assert risk.class_weights(none, "y").collect() == []
     assert risk.stratified_split(none, "y", "id").collect() == []
+
+
+def test_drivers_of_odd_rows_and_their_plan(spark):
+    """Missing values, medians and weights; and one expression for all features, whatever their number."""
+    columns = [f"c{i}" for i in range(12)]
+    rng = random.Random(3)
+    rows = [(i, *[rng.choice([None, float("nan"), 0.0, rng.uniform(-9, 9)]) for _ in columns])
+            for i in range(60)] + [(None, *[1.0] * 12), (0, *[2.5] * 12)]
+    df = spark.createDataFrame(rows, "scenario int, " + ", ".join(f"{c} double" for c in columns))
+    middles = {c: rng.uniform(-3, 3) for c in columns[:10]} | {"c3": None, "other": 1.0}
+    weights = {c: rng.random() for c in columns[1:]} | {"c5": None}
+    tables = [spark.createDataFrame(list(d.items()), f"feature string, {n} double")
+              for d, n in ((middles, "median"), (weights, "importance"))]
+    out = risk.drivers(df, *tables, k=4, columns=columns)
+
+    def expected(scenario, *values):
+        parts = []
+        for c, value in zip(columns, values):
+            middle = middles.get(c) if middles.get(c) is not None else value
+            if value is None or weights.get(c) is None:
+                parts.append((1.0, c, None))
+                continue
+            pull = (value - middle) / (max(abs(middle), 1.0) if middle == middle else middle) * weights[c]
+            parts.append((-abs(pull) if pull == pull else float("inf"), c, (
+                scenario, c, value, middle, weights[c], pull)))
+        return [p for *_, p in sorted(parts, key=lambda x: x[:2])[:4] if p]
+
+    got = [tuple(r) for r in out.select("scenario", "feature", "value", "median", "importance",
+                                        "contribution").collect()]
+    assert sorted(map(str, got)) == sorted(str(p) for r in rows for p in expected(*r))
+    assert out.columns == ["scenario", "contribution", "feature", "value", "median", "importance"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("greatest(") <= 2
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+        risk.drivers(df, tables[0].union(tables[0].limit(1)), tables[1], columns=columns).collect()
+
+
+def test_features_of_a_scenario_come_from_one_row_of_medians(spark):
+    forms = spark.createDataFrame([("s", "A", "B", None, 3.0), (None, None, "Z", 7.0, None)],
+                                  "scenario string, Origin string, Dest string, day_of_week double, "
+                                  "temperature_c double")
+    medians = spark.createDataFrame([("day_of_week", 4.0), ("temperature_c", None), ("Distance", 500.0)],
+                                    "feature string, median double")
+    hubs = spark.createDataFrame([("A", 0.1, 0.2)], "airport string, pagerank double, betweenness double")
+    coords = spark.createDataFrame([("A", 30.0, -100.0)], "airport string, lat double, lon double")
+    full = risk.complete_features(forms, medians, hubs, coords)
+    got = {r["scenario"]: r for r in full.collect()}
+    assert [got[s][c] for s in ("s", None) for c in ("day_of_week", "temperature_c", "Distance",
+            "origin_pagerank", "flight_month")] == [4.0, 3.0, 500.0, 0.1, 0.0, 7.0, 0.0, 500.0, 0.0, 0.0]
+    none = risk.complete_features(forms, medians.limit(0), hubs, coords).where("scenario = 's'").first()
+    assert (none["Distance"], none["day_of_week"]) == (S.DEFAULT_DISTANCE_MILES, 0.0)
+    rows = full._jdf.queryExecution().optimizedPlan().toString().split("coalesce(day_of_week", 1)[1]
+    assert "element_at" not in rows.split("\n", 1)[0]
