@@ -244,3 +244,25 @@ def test_history_takes_one_of_repeated_keys(spark):
     live = sorted((r["flight_id"], r["x"] or 0, r["y"]) for r in out.where("is_current").collect())
     assert live == [("a", 2.0, 8), ("b", 1.0, 5), ("c", 0, 0)]
     assert out.where("NOT is_current").count() == 1
+
+
+def test_weather_join_does_not_sort_the_flights(spark):
+    """A sort for each window and the hour join, none for the weather; odd keys find no weather, no row is lost."""
+    rows, weather = flights_and_weather(6)
+    f, w = staged(spark, rows, weather)
+    f = f.withColumns({
+        "scheduled_dep_hour": F.when(F.col("flight_number") % 7 != 0, F.col("scheduled_dep_hour")),
+        "origin_airport": F.when(F.col("flight_number") % 11 != 0, F.col("origin_airport"))})
+    twice = f.unionByName(f.where("flight_number < 5"))
+    daily = fact.daily_weather(w)
+    keyed = fact.chunk_keys(twice.withColumnsRenamed(fact.FACT_NAMES), "origin_airport_id", "date_id")
+    joined = fact._with_weather(keyed, daily)
+    plan = joined._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin [_g" in plan and "SortMergeJoin" not in plan
+    known = {(r["airport_id"], r["date_id"], r["hour_id"]): r["wind_speed_knots"] for r in w.collect()
+             if None not in (r["airport_id"], r["date_id"], r["hour_id"])}
+    got = joined.collect()
+    assert len(got) == twice.count()
+    assert any(r["wind_speed_knots"] is not None for r in got)
+    for r in got:
+        assert r["wind_speed_knots"] == known.get((r["origin_airport_id"], r["date_id"], r["hour_id"])), r
